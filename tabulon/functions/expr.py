@@ -71,6 +71,13 @@ def sample_kurtosis(c: Column) -> Column:
     return F.when(n >= 4, F.coalesce(corrected, F.lit(0.0)))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows with both values; null where one is constant
+    (``corr`` alone divides by zero there)."""
+    a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def band(x: Column, edges: Sequence[float | Column], labels: Sequence[str],
          right_closed: bool = False) -> Column:
     """Label of the interval ``x`` falls in; ``edges`` ascend, one label more than edges.

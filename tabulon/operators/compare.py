@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabulon.functions.expr import band, col
+from tabulon.functions.expr import band, col, correlation
 from tabulon.operators.common import join_small
 from tabulon.operators.evaluate import metrics
 
@@ -129,7 +129,7 @@ def wide_differences(df: DataFrame, predictions: Mapping[str, str], by: Sequence
         for i, ((a, ca), (b, cb)) in enumerate(chunk):
             d = col(ca) - col(cb)
             aggs += [F.avg(d).alias(f"m{i}"), F.stddev_pop(d).alias(f"s{i}"),
-                     F.max(F.abs(d)).alias(f"x{i}"), F.corr(col(ca), col(cb)).alias(f"r{i}"),
+                     F.max(F.abs(d)).alias(f"x{i}"), correlation(col(ca), col(cb)).alias(f"r{i}"),
                      F.count_if(F.abs(d) <= 0.5).alias(f"h{i}"),
                      F.count_if(F.abs(d) <= 1.0).alias(f"o{i}")]
             cells.append(F.struct(

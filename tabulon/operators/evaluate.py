@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.expr import band, col, normal_ppf
+from tabulon.functions.expr import band, col, correlation, normal_ppf
 from tabulon.operators.common import join_small
 from tabulon.operators.profile import histogram
 from tabulon.operators.quantiles import column_quantiles, group_quantiles
@@ -141,7 +141,7 @@ def qq_line(df: DataFrame, y: str = "y", y_pred: str = "y_pred", by: Sequence[st
     return qq_points(df, y, y_pred, by).groupBy(*_keys(by)).agg(
         F.regr_slope("ordered", "theoretical").alias("slope"),
         F.regr_intercept("ordered", "theoretical").alias("intercept"),
-        F.corr("theoretical", "ordered").alias("r"))
+        correlation(F.col("theoretical"), F.col("ordered")).alias("r"))
 
 
 def prediction_points(df: DataFrame, y: str = "y", y_pred: str = "y_pred",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabulon.functions.expr import col, sample_kurtosis, sample_skewness
+from tabulon.functions.expr import col, correlation, sample_kurtosis, sample_skewness
 from tabulon.operators.common import (
     join_small, melt, numeric_columns, rows_from_aggregate)
 from tabulon.operators.quantiles import column_quantiles, group_quantiles
@@ -163,7 +163,7 @@ def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | Non
                         ) -> DataFrame:
     """(column, correlation) with the target, strongest first; undefined ones dropped."""
     names = [c for c in (columns or numeric_columns(df)) if c != target]
-    wide = df.agg(*[F.corr(col(c).cast("double"), col(target).cast("double")).alias(f"r{i}")
+    wide = df.agg(*[correlation(col(c).cast("double"), col(target).cast("double")).alias(f"r{i}")
                     for i, c in enumerate(names)])
     out = rows_from_aggregate(wide, [
         F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("correlation"))
@@ -179,7 +179,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     parts = []
     for at in range(0, len(pairs), PAIRS_PER_SCAN):
         chunk = pairs[at:at + PAIRS_PER_SCAN]
-        wide = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"r{i}")
+        wide = df.agg(*[correlation(col(a).cast("double"), col(b).cast("double")).alias(f"r{i}")
                         for i, (a, b) in enumerate(chunk)])
         cells = []
         for i, (a, b) in enumerate(chunk):

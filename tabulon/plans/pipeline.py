@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.expr import col
 from tabulon.operators import clean, compare, evaluate, linear, split
+from tabulon.operators.common import numeric_columns
 from tabulon.operators.features import Derived, FeatureSettings, FittedFeatures, fit_features
 from tabulon.session import stored
 
@@ -149,7 +150,7 @@ def quick_training(raw: DataFrame, target: str, key: Sequence[str],
     table = clean.drop_null_target(clean.drop_duplicates(raw), target)
     table = clean.keep_filled_columns(table)
     table = split.train_test_split(table, key, 0.2, seed, "__split")
-    names = [c for c in clean.numeric_columns(table, [target, *key])]
+    names = numeric_columns(table, [target, *key, "__split"])
     table = stored(table.select(*[col(c) for c in (*key, target, "__split", *names)]),
                    "quick")
     is_train = F.col("__split") == "train"
