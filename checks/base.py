@@ -89,3 +89,34 @@ def as_columns(df: DataFrame, casts: dict[str, str]) -> DataFrame:
         return col(c).cast(casts[c]).alias(c) if c in casts else col(c)
 
     return df.select(*[cast(c) for c in df.columns])
+
+
+def normal_cdf_sql(z: str) -> str:
+    """The library's normal distribution function as SQL text."""
+    from tabulon.functions.expr import ERF_A, ERF_P
+
+    t = f"(1e0 / (1e0 + {ERF_P!r}::double * abs({z}) / sqrt(2e0)))"
+    poly = f"{ERF_A[4]!r}::double"
+    for a in ERF_A[3::-1]:
+        poly = f"({poly} * {t} + {a!r}::double)"
+    return (f"((1e0 + sign({z}) * (1e0 - {poly} * {t} * exp(-(abs({z}) / sqrt(2e0)) "
+            f"* (abs({z}) / sqrt(2e0))))) / 2e0)")
+
+
+def normal_ppf_sql(p: str) -> str:
+    """The library's normal quantile function as SQL text."""
+    from tabulon.functions.expr import PPF_A, PPF_B, PPF_C, PPF_D, PPF_LOW
+
+    def poly(x: str, coefficients) -> str:
+        out = f"({coefficients[0]!r}::double)"
+        for c in coefficients[1:]:
+            out = f"({out} * {x} + ({c!r}::double))"
+        return out
+
+    def tail(q: str) -> str:
+        return f"({poly(q, PPF_C)} / {poly(q, PPF_D + (1.0,))})"
+
+    r = f"(({p} - 0.5e0) * ({p} - 0.5e0))"
+    return (f"(case when {p} < {PPF_LOW} then {tail(f'sqrt(-2e0 * ln({p}))')} "
+            f"when {p} > {1.0 - PPF_LOW} then -{tail(f'sqrt(-2e0 * ln(1e0 - {p}))')} "
+            f"else {poly(r, PPF_A)} * ({p} - 0.5e0) / {poly(r, PPF_B + (1.0,))} end)")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import KEY, KEY_SQL, LINEITEM, NULLED, R, lineitem, nulled, rounded, table
+from checks.base import (
+    KEY, KEY_SQL, LINEITEM, NULLED, R, lineitem, normal_cdf_sql, normal_ppf_sql, nulled, rounded,
+    table)
 from tabulon.functions.expr import band, col, normal_cdf, normal_ppf, safe_divide
 from tabulon.operators import features as E
 from tabulon.operators.split import train_test_split
@@ -219,6 +221,8 @@ select {KEY_SQL}, cast(gap as integer) gap, cast(s - 1995 as integer) year_norm,
 then 'b' when l_quantity < 40 then 'c' else 'd' end as left_closed,
 case when l_quantity <= 10 then 'a' when l_quantity <= 25 then 'b' when l_quantity <= 40 then 'c'
 else 'd' end as right_closed from {LINEITEM}""",
+    "normal_functions": f"""select {KEY_SQL}, {R(normal_cdf_sql('((l_quantity - 25) / 10)'))}
+as cdf, {R(normal_ppf_sql('((l_quantity - 0.5e0) / 50)'))} as ppf from {LINEITEM}""",
     "rare_group": _RARE,
     "rare_group_joined": _RARE,
     "rare_counts": f"with m as {_MARKED} select * from {_COUNTS}",

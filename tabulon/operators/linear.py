@@ -256,8 +256,8 @@ def solve(kind: str, m: np.ndarray, alpha: float, shift: np.ndarray) -> tuple[np
 def _errors(m: np.ndarray, w: np.ndarray, b: float, shift: np.ndarray) -> tuple[float, float]:
     """(MSE, R^2) on the rows summed in ``m``."""
     v = np.concatenate([[b + w @ shift[:-1] - shift[-1]], w, [-1.0]])
-    mse = max(float(v @ m @ v) / m[0, 0], 0.0)
-    var = _centred(m)[5] / m[0, 0]
+    mse = max(float(v @ m @ v) / float(m[0, 0]), 0.0)
+    var = float(_centred(m)[5]) / float(m[0, 0])
     return mse, (1.0 - mse / var if var > 0 else float("nan"))
 
 
