@@ -14,7 +14,7 @@ from tabulon.functions.expr import col
 from tabulon.operators.common import numeric_columns
 from tabulon.operators.profile import describe, dtype_counts, duplicate_rows, null_profile
 
-EXTRA = "__extra"
+LINE = "__line"
 #: Texts that mean "no value".
 MISSING_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -35,16 +35,26 @@ class DelimitedOptions:
 
 def _text_scan(spark: SparkSession, path: str | list[str], schema: T.StructType,
                options: DelimitedOptions) -> DataFrame:
-    """All fields as text plus one more column that only over-long lines fill."""
+    """All fields as text, and the whole line where the number of fields is wrong."""
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
-                       + [T.StructField(EXTRA, T.StringType())])
+                       + [T.StructField(LINE, T.StringType())])
     return (spark.read.schema(raw)
             .option("sep", options.sep).option("encoding", options.encoding)
             .option("header", options.header).option("mode", "PERMISSIVE")
-            .option("escape", '"').option("multiLine", options.multi_line)
-            # An empty field stays an empty text, so that an empty extra field shows.
-            .option("nullValue", "\u0001").option("emptyValue", "")
-            .option("enforceSchema", True).csv(path))
+            .option("columnNameOfCorruptRecord", LINE)
+            .option("escape", '"').option("multiLine", options.multi_line).csv(path))
+
+
+def _too_long(schema: T.StructType, options: DelimitedOptions) -> Column:
+    """Whether the line has more fields than the schema, separators in quotes aside."""
+    # The reader judges a line by the columns a query asks for, and refuses queries on the
+    # line alone; asking for all fields keeps the judgement the same for every query.
+    # Without coalesce it would be asked for lines that are not null before it sets them.
+    bare = F.regexp_replace(F.coalesce(LINE, F.lit("")), '"[^"]*"', "")
+    separators = (F.length(bare) - F.length(F.replace(bare, F.lit(options.sep), F.lit("")))
+                  ) / len(options.sep)
+    read = F.length(F.concat_ws("", *[col(f.name) for f in schema.fields])) >= 0
+    return (separators >= len(schema.fields)) & read
 
 
 def _typed(f: T.StructField, missing: Sequence[str]) -> Column:
@@ -61,24 +71,25 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructT
     The schema is declared, never inferred; a text that is no number gives null.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    rows = _text_scan(spark, path, schema, options).filter(F.col(EXTRA).isNull())
+    rows = _text_scan(spark, path, schema, options).filter(~_too_long(schema, options))
     return rows.select(*[_typed(f, options.missing) for f in schema.fields])
 
 
 def read_rejects(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
                  options: DelimitedOptions = DelimitedOptions()) -> DataFrame:
-    """The skipped lines' leading fields as text, with the first field too many."""
+    """The skipped lines: leading fields as text and the whole ``line``."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return _text_scan(spark, path, schema, options).filter(F.col(EXTRA).isNotNull())
+    rows = _text_scan(spark, path, schema, options).filter(_too_long(schema, options))
+    return rows.withColumnRenamed(LINE, "line")
 
 
 def scan_counts(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
                 options: DelimitedOptions = DelimitedOptions()) -> DataFrame:
     """(accepted, rejected) in one scan."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    raw = _text_scan(spark, path, schema, options)
-    return raw.agg(F.count_if(F.col(EXTRA).isNull()).alias("accepted"),
-                   F.count_if(F.col(EXTRA).isNotNull()).alias("rejected"))
+    bad = _too_long(schema, options)
+    return _text_scan(spark, path, schema, options).agg(
+        F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "error",
