@@ -1,7 +1,7 @@
 """Exact quantiles and order statistics that never sort a column in one task.
 
 Whole-table ranks: a sketch of bounded size brackets each wanted rank, one scan
-counts the rows below and inside the bracket, and only the few values inside are
+counts the rows around the bracket, and only the few values inside are
 grouped and ranked. The bracket shrinks until it is small, so the shuffled data
 does not grow with the table.
 
@@ -48,8 +48,6 @@ class _Target:
     low_open: bool = False
     high_open: bool = False
     guess: tuple = ()
-    #: The last bracket hardly shrank (few distinct values): try a single value.
-    stalled: bool = False
     done: bool = False
 
     @property
@@ -65,29 +63,31 @@ class _Target:
         under = self.expr < F.lit(self.high) if self.high_open else self.expr <= F.lit(self.high)
         return above & under
 
-    def narrow(self, under: int, upto: int, bracket_rows: int) -> list[_Target]:
-        """Shrink to the part of the guess that holds the ranks.
+    def narrow(self, below_low: int, to_low: int, below_high: int, to_high: int,
+               bracket_rows: int) -> list[_Target]:
+        """Shrink to the part around the guess that holds the ranks.
 
-        ``under`` rows are below the guess and ``upto`` not above it. Ranks that end
-        up in different parts become separate targets.
+        The four counts are the rows below and not above either end of the guess. An
+        end that is a frequent value settles its ranks at once, and strictly between
+        the ends only the sketch's error is left. Ranks that end up in different parts
+        become separate targets.
         """
         low, high = self.guess
-        end = self.below + self.rows
+        single = dict(low_open=False, high_open=False)
         parts = [
-            ([r for r in self.ranks if r < under],
-             dict(high=low, high_open=True, rows=under - self.below)),
-            ([r for r in self.ranks if under <= r < upto],
-             dict(low=low, low_open=False, high=high, high_open=False, below=under,
-                  rows=upto - under)),
-            ([r for r in self.ranks if r >= upto],
-             dict(low=high, low_open=True, below=upto, rows=end - upto)),
+            (self.below, below_low, dict(high=low, high_open=True)),
+            (below_low, to_low, dict(low=low, high=low, **single)),
+            (to_low, below_high, dict(low=low, high=high, low_open=True, high_open=True)),
+            (max(to_low, below_high), to_high, dict(low=high, high=high, **single)),
+            (to_high, self.below + self.rows, dict(low=high, low_open=True)),
         ]
         made = []
-        for ranks, change in parts:
+        for start, end, change in parts:
+            ranks = [r for r in self.ranks if start <= r < end]
             if ranks:
-                t = replace(self, ranks=ranks, guess=(), **change)
+                t = replace(self, ranks=ranks, guess=(), below=start, rows=end - start,
+                            **change)
                 t.done = t.single or t.rows <= bracket_rows
-                t.stalled = t.rows > self.rows // 2
                 made.append(t)
         return made
 
@@ -169,8 +169,7 @@ def _guess(df: DataFrame, active: list[_Target], accuracy: int) -> None:
         t0 = ts[0]
         probs = []
         for t in ts:
-            slack = 0.0 if t.stalled else 2.0 / accuracy
-            span = max(t.rows - 1, 1)
+            span, slack = max(t.rows - 1, 1), 2.0 / accuracy
             probs += [max(0.0, (t.ranks[0] - t.below) / span - slack),
                       min(1.0, (t.ranks[-1] - t.below) / span + slack)]
         value = F.when(t0.inside(), t0.expr)
@@ -179,8 +178,6 @@ def _guess(df: DataFrame, active: list[_Target], accuracy: int) -> None:
     for g, ts in enumerate(groups.values()):
         for j, t in enumerate(ts):
             t.guess = (row[g][2 * j], row[g][2 * j + 1])
-            if t.stalled:
-                t.guess = (row[g][2 * j],) * 2
 
 
 def _narrow(df: DataFrame, active: list[_Target], targets: dict[str, list[_Target]],
@@ -189,8 +186,10 @@ def _narrow(df: DataFrame, active: list[_Target], targets: dict[str, list[_Targe
     aggs = []
     for i, t in enumerate(active):
         low, high = t.guess
-        aggs += [F.count_if(t.expr < F.lit(low)).alias(f"l{i}"),
-                 F.count_if(t.expr <= F.lit(high)).alias(f"h{i}")]
+        aggs += [F.count_if(t.expr < F.lit(low)).alias(f"a{i}"),
+                 F.count_if(t.expr <= F.lit(low)).alias(f"b{i}"),
+                 F.count_if(t.expr < F.lit(high)).alias(f"c{i}"),
+                 F.count_if(t.expr <= F.lit(high)).alias(f"d{i}")]
     row = df.agg(*aggs).first()
     at = {id(t): i for i, t in enumerate(active)}
     for key, ts in targets.items():
@@ -198,7 +197,7 @@ def _narrow(df: DataFrame, active: list[_Target], targets: dict[str, list[_Targe
         for t in ts:
             if id(t) in at:
                 i = at[id(t)]
-                moved.extend(t.narrow(row[f"l{i}"], row[f"h{i}"], bracket_rows))
+                moved.extend(t.narrow(*[row[f"{x}{i}"] for x in "abcd"], bracket_rows))
             else:
                 moved.append(t)
         targets[key] = moved
