@@ -211,34 +211,85 @@ def _ridge(xx: np.ndarray, xy: np.ndarray, alpha: float) -> np.ndarray:
         return np.linalg.lstsq(a, xy, rcond=None)[0]
 
 
-def _lasso(xx: np.ndarray, xy: np.ndarray, n: float, alpha: float, rounds: int = 20_000,
-           tol: float = 1e-12) -> np.ndarray:
-    """Coordinate descent on the products; stops on the optimality conditions."""
+def _lasso(xx: np.ndarray, xy: np.ndarray, n: float, alpha: float, sweeps: int = 300,
+           tol: float = 1e-11) -> np.ndarray:
+    """Coordinate descent on the products, finished by an active-set method.
+
+    Descent alone crawls along directions in which features are collinear.
+    """
     p = len(xy)
     a, b = xx / n, xy / n
-    w, grad = np.zeros(p), b.copy()            # grad = b - a w
     diag = np.diag(a).copy()
     usable = np.flatnonzero(diag > 1e-14 * max(diag.max(initial=0.0), 1e-300))
-    scale = max(np.abs(b).max(initial=0.0), 1e-300)
-    active = usable
-    for _ in range(rounds):
-        for j in active:
+    limit = tol * max(np.abs(b).max(initial=0.0), alpha, 1e-300)
+    w, grad = np.zeros(p), b.copy()            # grad = b - a w
+    for _ in range(sweeps):
+        for j in usable:
             old = w[j]
             z = grad[j] + diag[j] * old
             new = np.sign(z) * max(abs(z) - alpha, 0.0) / diag[j]
             if new != old:
                 grad -= a[:, j] * (new - old)
                 w[j] = new
-        # Optimality: gradient alpha*sign(w) where w is used, at most alpha elsewhere.
-        g, v = grad[usable], w[usable]
-        gap = np.where(v != 0, np.abs(g - alpha * np.sign(v)), np.maximum(np.abs(g) - alpha, 0))
-        if gap.max(initial=0.0) <= tol * scale:
+        if _gap(b - a @ w, w, alpha, usable) <= limit:
+            return w
+    return _active_set(a, b, alpha, w, usable, limit)
+
+
+def _gap(grad: np.ndarray, w: np.ndarray, alpha: float, usable: np.ndarray) -> float:
+    """Largest violation: the gradient is alpha * sign(w) where w is used, at most alpha
+    elsewhere."""
+    g, v = grad[usable], w[usable]
+    return np.where(v != 0, np.abs(g - alpha * np.sign(v)),
+                    np.maximum(np.abs(g) - alpha, 0)).max(initial=0.0)
+
+
+def _active_set(a: np.ndarray, b: np.ndarray, alpha: float, w: np.ndarray,
+                usable: np.ndarray, limit: float) -> np.ndarray:
+    """Solve exactly for fixed signs, stepping to where a sign would change."""
+    def objective(v: np.ndarray) -> float:
+        return 0.5 * v @ a @ v - b @ v + alpha * np.abs(v).sum()
+
+    best, best_gap = w.copy(), _gap(b - a @ w, w, alpha, usable)
+    for _ in range(20 * len(w) + 50):
+        grad = b - a @ w
+        gap = _gap(grad, w, alpha, usable)
+        if gap < best_gap:
+            best, best_gap = w.copy(), gap
+        if gap <= limit:
             break
-        # Work on the used coordinates until they settle, then look at all again.
-        moving = usable[(v != 0) | (np.abs(g) > alpha)]
-        inner = gap[(v != 0)].max(initial=0.0)
-        active = moving if inner > tol * scale else usable
-    return w
+        used = np.flatnonzero(w)
+        sign = np.sign(w)
+        if not len(used) or np.abs(grad[used] - alpha * sign[used]).max() <= limit:
+            rest = np.setdiff1d(usable, used)
+            j = rest[np.abs(grad[rest]).argmax()]
+            sign[j] = np.sign(grad[j])
+            used = np.append(used, j)
+        slope = b[used] - alpha * sign[used] - a[np.ix_(used, used)] @ w[used]
+        value, vector = np.linalg.eigh(a[np.ix_(used, used)])
+        curved = value > 1e-11 * value[-1]
+        along = vector[:, curved].T @ slope
+        flat = slope - vector[:, curved] @ along
+        endless = np.abs(flat).max() > 10 * limit
+        step = flat if endless else vector[:, curved] @ (along / value[curved])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            at = -w[used] / step
+        at = np.where((w[used] != 0) & np.isfinite(at) & (at > 0), at, np.inf)
+        stops = [t for t in np.unique(at) if t < (np.inf if endless else 1.0)]
+        if endless:
+            stops = stops[:1]
+            if not stops:
+                break
+        else:
+            stops.append(1.0)
+        moved = []
+        for t in stops:
+            v = w.copy()
+            v[used] = w[used] + t * step
+            v[used[at == t]] = 0.0
+            moved.append(v)
+        w = min(moved, key=objective)
+    return best
 
 
 def solve(kind: str, m: np.ndarray, alpha: float, shift: np.ndarray) -> tuple[np.ndarray, float]:
