@@ -143,7 +143,8 @@ def full_plan(spark, sf):
         "year(o_orderdate) as order_year", "10 + o_totalprice / 50000 + c_acctbal / 3000 "
         "+ cast(o_orderstatus = 'F' as double) as score", "o_totalprice")
     plan = run_plan(raw, PlanSettings(
-        "score", ("o_orderkey",), exclude=("o_totalprice",), strata=("o_orderstatus",)))
+        "score", ("o_orderkey",), exclude=("o_totalprice",), strata=("o_orderstatus",),
+        store_input=True))
     return rounded(plan.comparison, [
         "rmse", "mae", "r2", "mape", "mse", "max_error", "mean_residual", "std_residual"], 5)
 

@@ -17,6 +17,14 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def as_local(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` computed once as a local table, or None if it has more than ``limit`` rows."""
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
                limit: int = BROADCAST_ROWS, fits: bool | None = None) -> DataFrame:
     """Join on null-safe keys; broadcasts ``small`` only after checking its size.
@@ -24,9 +32,13 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     Above ``limit`` rows the join shuffles, and adaptive execution splits hot keys.
     ``fits`` tells the outcome where the caller has checked already.
     """
+    if fits is None:
+        local = as_local(small, limit)
+        fits = local is not None
+        small = local if fits else small
     right = small.select(*[
         col(c).alias(f"__r_{c}") if c in on else col(c) for c in small.columns])
-    if has_at_most(small, limit) if fits is None else fits:
+    if fits:
         right = F.broadcast(right)
     condition = F.lit(True)
     for c in on:
@@ -38,7 +50,7 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
 def settled(df: DataFrame, fits: bool, name: str = "stage") -> DataFrame:
     """``df`` computed once: as a local table if it ``fits``, else in the shared folder."""
     if fits:
-        return df.sparkSession.createDataFrame(df.collect(), df.schema)
+        return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
     return stored(df, name)
 
 

@@ -49,7 +49,7 @@ def hash_cuts(df: DataFrame, strata: Sequence[str], hashed: Column, cuts: DataFr
                          cuts.select(one, *[col(c) for c in names]), names, largest, fits,
                          bucket_rows).drop("__all")
     digits = 1
-    while largest / 16 ** digits > bucket_rows and digits < 6:
+    while largest / 16 ** digits > bucket_rows and digits < 5:
         digits += 1
     keys = [col(s) for s in strata]
     slim = df.select(*keys, hashed.alias("__h")).withColumn(

@@ -38,6 +38,9 @@ class PlanSettings:
     rare_threshold: int = 50
     models: tuple[str, ...] = ("ridge", "lasso")
     grids: Mapping[str, Sequence[float]] = field(default_factory=lambda: dict(GRIDS))
+    #: Write the loaded table first: worth it where reading it again is dear (text files,
+    #: joins), not for Parquet tables, whose scans read the needed columns only.
+    store_input: bool = False
     #: Fixed penalty instead of a search.
     quick: bool = False
     alpha: float = 1.0
@@ -83,6 +86,7 @@ def run_plan(raw: DataFrame, settings: PlanSettings) -> PlanResult:
     folder, because several fits and scores read them.
     """
     s = settings
+    raw = stored(raw, "loaded") if s.store_input else raw
     log = clean.ProcessingLog()
     log.add("start", f"target {s.target}", raw)
     roles = clean.identify_roles(raw, s.target, list(s.exclude) + list(s.key))
@@ -147,7 +151,8 @@ def quick_training(raw: DataFrame, target: str, key: Sequence[str],
     """
     from tabulon.operators.features import fit_scaler
 
-    table = clean.drop_null_target(clean.drop_duplicates(raw), target)
+    # Removing duplicates shuffles the table, so that is done once.
+    table = stored(clean.drop_null_target(clean.drop_duplicates(raw), target), "distinct")
     table = clean.keep_filled_columns(table)
     table = split.train_test_split(table, key, 0.2, seed, "__split")
     names = numeric_columns(table, [target, *key, "__split"])
