@@ -110,6 +110,12 @@ def learning_curve(spark, sf):
                    ["train_rmse", "train_band", "val_rmse", "val_band"], 5)
 
 
+def learning_curve_2f(spark, sf):
+    df = S.learning_subsets(S.kfold(_two(spark, sf), KEY, 3), KEY, "fold", 3)
+    return rounded(L.learning_curve(df, TWO, "net", "steps_from", 3, 10, "ridge", 10.0),
+                   ["train_rmse", "train_band", "val_rmse", "val_band"], 5)
+
+
 def coefficient_table(spark, sf):
     model = L.fit_linear(_many(spark, sf), MANY, "net", "lasso", 0.1)
     return rounded(model.coefficient_table(spark), ["coefficient", "abs_coefficient"], 5)
@@ -158,7 +164,7 @@ def quick_plan(spark, sf):
 QUERIES = {f.__name__: f for f in (
     ridge_fit_2f, ridge_fit_mllib, lasso_fit_1f, lasso_fit_mllib, ridge_grid_2f, ridge_cv_2f,
     ridge_predict, ridge_fit, lasso_fit, grid_search_ridge, grid_search_lasso, cross_validate,
-    learning_curve, coefficient_table, feature_importance, model_info, full_plan, quick_plan)}
+    learning_curve, learning_curve_2f, coefficient_table, feature_importance, model_info, full_plan, quick_plan)}
 
 _TWO = f"(select {KEY_SQL}, {', '.join(TWO_COLUMNS)} from {LINEITEM})"
 # Sums of centred products over the rows of a group.
@@ -208,6 +214,23 @@ select part, {R('avg(mse)', 5)} as mse_mean, {R('stddev_pop(mse)', 5)} as mse_st
 {R('avg(r2)', 5)} as r2_mean, {R('stddev_pop(r2)', 5)} as r2_std from p group by part""",
     "ridge_predict": f"""with t as {_TWO}, {_FIT}
 select {KEY_SQL}, {R('b + w1 * price + w2 * discount', 4)} as prediction from t, m""",
+    "learning_curve_2f": f"""with t as (select *, cast(ntile(3) over (order by {KEY_SQL}) - 1
+  as integer) fold, md5(concat_ws('|', {KEY_SQL}, '42')) h from {_TWO}),
+f as (select cast(range as integer) f from range(3)),
+r as (select t.*, f, row_number() over (partition by f order by h) rn,
+  count(*) over (partition by f) n_all from t, f where fold <> f),
+k as (select r.*, cast(k.range as integer) step from r, range(1, 11) k
+  where rn <= (n_all * k.range) // 10),
+s as (select f, step, {_SUMS}, 10e0 a from k group by f, step),
+w as (select *, {_RIDGE} from s),
+m as (select *, my - w1 * m1 - w2 * m2 b from w),
+e as (select m.f, m.step, avg((net - b - w1 * price - w2 * discount) ** 2) train,
+  any_value(m.n) n from k join m on k.f = m.f and k.step = m.step group by m.f, m.step),
+v as (select m.f, m.step, avg((net - b - w1 * price - w2 * discount) ** 2) val
+  from t join m on t.fold = m.f group by m.f, m.step)
+select step, min(n) as train_rows, {R('sqrt(avg(train))', 5)} as train_rmse,
+{R('sqrt(stddev_pop(train))', 5)} as train_band, {R('sqrt(avg(val))', 5)} as val_rmse,
+{R('sqrt(stddev_pop(val))', 5)} as val_band from e join v using (f, step) group by step""",
     "feature_importance": f"""with t as {_TWO}, {_FIT}
 select case when abs(w1) >= abs(w2) then 'price' else 'discount' end as feature,
 {R('case when abs(w1) >= abs(w2) then w1 else w2 end', 5)} as coefficient,

@@ -29,13 +29,13 @@ case when o_orderkey % 13 = 5 then '' else concat(';',
   case when o_orderkey % 7 = 2 then ';more' when o_orderkey % 7 = 4 then ';' else '' end) end)"""
 
 
-def _written(spark, sf) -> str:
-    """The orders as messy lines; the header is line one of every file."""
+def _written(spark, sf, header: bool = True) -> str:
+    """The orders as messy lines, by default with a header in every file."""
     path = scratch_path(spark, "lines")
     orders = table(spark, sf, "orders")
     lines = orders.selectExpr(f"{LINES} as value")
     (lines.selectExpr("value as `id;status;price;note`").write
-     .option("header", True).option("encoding", "ISO-8859-1").option("quote", "\u0000")
+     .option("header", header).option("encoding", "ISO-8859-1").option("quote", "\u0000")
      .option("sep", "\u0001").csv(path))
     return path
 
@@ -78,7 +78,7 @@ def csv_roundtrip(spark, sf):
 
 
 def detect_delimiter(spark, sf):
-    out = D.detect_delimiter(D.read_lines(spark, _written(spark, sf)))
+    out = D.detect_delimiter(D.read_lines(spark, _written(spark, sf, header=False)))
     return out.groupBy("delimiter").agg(F.sum("occurrences").alias("occurrences"))
 
 
@@ -195,6 +195,9 @@ SQL = {
                   f"{R('quantile_cont(id, 0.5)', 3)} as median from {_ACCEPTED}",
     "csv_roundtrip": r"select conv_id, turn, regexp_replace(text, '[\r\n]+', ' ', 'g') as text "
                      "from conversations",
+    "detect_delimiter": f"select ';' as delimiter, cast(sum(length(l) - "
+                        f"length(replace(l, ';', ''))) as bigint) as occurrences "
+                        f"from (select {_LINES} as l from orders)",
     "detect_delimiter_text": f"select source, {_WINNER} from (select source, {_pick('text')} "
                              "from documents group by source)",
     "field_counts": "select lang, length(text) - length(replace(text, ',', '')) + 1 as fields, "
