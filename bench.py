@@ -13,11 +13,11 @@ from checks import QUERIES  # noqa: E402
 from tabulon.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "full_plan", "quick_plan", "grid_search_ridge", "grid_search_lasso", "cross_validate",
-    "learning_curve", "numeric_summary", "table_info", "correlation_matrix", "boxplot_stats",
-    "smart_impute", "iqr_filter", "dedupe", "split_three_way", "kfold_assign",
-    "feature_pipeline", "standard_scale", "metrics", "residual_stats", "compare_models",
-    "pairwise_diff", "qq_line", "score_batch", "contributions_topn", "validate_rows", "csv_scan",
+    "numeric_summary", "table_info", "correlation_matrix", "boxplot_stats", "smart_impute",
+    "iqr_filter", "dedupe", "split_three_way", "kfold_assign", "feature_pipeline",
+    "standard_scale", "metrics", "residual_stats", "compare_models", "pairwise_diff", "qq_line",
+    "score_batch", "contributions_topn", "validate_rows", "csv_scan", "grid_search_ridge",
+    "grid_search_lasso", "cross_validate", "learning_curve", "quick_plan", "full_plan",
 ]
 
 

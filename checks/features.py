@@ -170,7 +170,7 @@ def feature_pipeline_saved(spark, sf):
 
     df = _marked(spark, sf)
     fitted = E.fit_features(df.filter("split = 'train'"),
-                            E.FeatureSettings(("c_acctbal",), ("market",)), df)
+                            E.FeatureSettings(("c_acctbal",), ("market",), rare_threshold=1), df)
     path = scratch_path(spark, "features")
     fitted.save(spark, path)
     out = E.load_features(spark, path).transform(df, ["c_custkey"])

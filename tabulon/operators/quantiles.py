@@ -31,7 +31,7 @@ BRACKET_ROWS = 50_000
 #: Most distinct values per group for which ``percentile`` may hold them all.
 GROUP_DISTINCT = 100_000
 #: Up to this many groups get brackets of their own.
-BRACKET_GROUPS = 24
+BRACKET_GROUPS = 8
 MAX_ROUNDS = 64
 
 

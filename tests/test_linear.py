@@ -62,7 +62,7 @@ def test_lasso_meets_its_optimality_conditions(df, data, alpha):
     grad = (x - x.mean(0)).T @ r / N
     assert abs(r.mean()) < 1e-8 and (np.abs(grad) <= alpha + 1e-6).all()
     np.testing.assert_allclose(grad[w != 0], alpha * np.sign(w[w != 0]), atol=1e-6)
-    other = L.mllib_model(df, NAMES, "y", "lasso", alpha)
+    other = L.mllib_model(df, NAMES, "y", "lasso", alpha, 1e-8, 40)
     objective = [((y - m.intercept - x @ np.array(m.coefficients)) ** 2).mean() / 2
                  + alpha * np.abs(m.coefficients).sum() for m in (model, other)]
     assert objective[0] <= objective[1] + 1e-6
