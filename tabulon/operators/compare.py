@@ -109,10 +109,11 @@ def pairwise_differences(df: DataFrame, key: Sequence[str], models: Sequence[str
     pairs are aggregates over that, so no pair of rows is ever materialised.
     """
     keys = [col(b) for b in by]
+    names = {m: f"p{i}" for i, m in enumerate(models)}
     wide = (df.groupBy(*keys, *[col(k) for k in key if k not in by])
-            .pivot("model", list(models)).agg(F.first(col(y_pred).cast("double"))))
-    wide = wide.select(*keys, *[col(m).alias(f"p{i}") for i, m in enumerate(models)])
-    return wide_differences(wide, {m: f"p{i}" for i, m in enumerate(models)}, by)
+            .agg(*[F.max(F.when(F.col("model") == m, col(y_pred).cast("double"))).alias(p)
+                   for m, p in names.items()]))
+    return wide_differences(wide.select(*keys, *names.values()), names, by)
 
 
 def wide_differences(df: DataFrame, predictions: Mapping[str, str], by: Sequence[str] = ()

@@ -180,7 +180,7 @@ def products(df: DataFrame, features: Sequence[str], label: str, group: Column |
     # Element-wise sums: (group, matrix row, position) is the grouping key.
     summed = (partial.select("g", "i", F.posexplode("v").alias("j", "x"))
               .groupBy("g", "i", "j").agg(F.sum("x").alias("x"))
-              .groupBy("g", "i").agg(F.array_sort(F.collect_list(F.struct("j", "x")))
+              .groupBy("g", "i").agg(F.sort_array(F.collect_list(F.struct("j", "x")))
                                      .alias("v")))
     matrices: dict[int, np.ndarray] = {}
     for r in summed.select("g", "i", F.transform("v", lambda e: e["x"]).alias("v")).collect():

@@ -339,25 +339,27 @@ def _sorted_groups(slim: DataFrame, by: Sequence[str], probs: Mapping[str, float
 
 
 def cut_by_rank(df: DataFrame, keys: Sequence[str], ranks: Sequence[int],
-                tie_rows: int = BRACKET_ROWS) -> list[tuple]:
+                tie_rows: int = BRACKET_ROWS, rows: int | None = None) -> list[tuple]:
     """Key tuples standing at ``ranks`` (from 0) in the order of ``keys``.
 
     Works key by key: the value of the first key at a rank, then the rest of the
     key among the rows sharing that value, so a value on a third of all rows is no
-    problem. Keys must be numbers, dates or timestamps without nulls.
+    problem. Keys must be numbers, dates or timestamps without nulls. ``rows``, the
+    size of the table where it is known, saves a scan.
     """
     ranks = sorted(set(ranks))
     if not ranks:
         return []
     head, rest = keys[0], list(keys[1:])
-    _, found = select_ranks(df, {head: (col(head), lambda n: ranks)})[head]
+    hints = [r / max(rows - 1, 1) for r in ranks] if rows else ()
+    _, found = select_ranks(df, {head: (col(head), lambda n: ranks)}, hints)[head]
     if not rest:
         return [(found[r][0],) for r in ranks]
     out: dict[int, tuple] = {}
     small = {r: f for r, f in found.items() if f[2] <= tie_rows}
     for r, (v, below, equal) in found.items():
         if r not in small:
-            tail = cut_by_rank(df.filter(col(head) == F.lit(v)), rest, [r - below], tie_rows)
+            tail = cut_by_rank(df.filter(col(head) == F.lit(v)), rest, [r - below], tie_rows, equal)
             out[r] = (v,) + tail[0]
     if small:
         ties = df.filter(col(head).isin([f[0] for f in small.values()]))

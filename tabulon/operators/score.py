@@ -143,15 +143,17 @@ def contributions(df: DataFrame, model: LinearModel, top_n: int = 10,
     Sorting happens inside each row's array.
     """
     x = {f: as_column((values or {}).get(f, f)).cast("double") for f in model.features}
-    parts = [F.struct((-F.abs(x[f] * F.lit(w))).alias("o"), F.lit(i).alias("i"),
+    last = F.lit(float("inf"))                       # missing values come last
+    parts = [F.struct(F.coalesce(-F.abs(x[f] * F.lit(w)), last).alias("o"), F.lit(i).alias("i"),
                       F.lit(f).alias("feature"), x[f].alias("value"),
                       F.lit(w).alias("coefficient"), (x[f] * F.lit(w)).alias("contribution"))
              for i, (f, w) in enumerate(zip(model.features, model.coefficients))]
     total = balanced_sum([x[f] * F.lit(w) for f, w in zip(model.features, model.coefficients)])
-    top = F.transform(F.slice(F.array_sort(F.array(*parts)), 1, top_n), lambda s: F.struct(
-        s["feature"].alias("feature"), s["value"].alias("value"),
-        s["coefficient"].alias("coefficient"), s["contribution"].alias("contribution")))
-    return (df.withColumn("top_features", top).withColumn("total_contribution", total)
+    sorted_top = F.slice(F.sort_array(F.array(*parts)), 1, top_n)
+    fields = ("feature", "value", "coefficient", "contribution")
+    return (df.withColumn("__t", sorted_top)
+            .withColumn("top_features", F.arrays_zip(*[F.col(f"__t.{f}") for f in fields]))
+            .drop("__t").withColumn("total_contribution", total)
             .withColumn("raw_prediction", F.col("total_contribution") + F.lit(model.intercept)))
 
 

@@ -231,7 +231,8 @@ def kfold(df: DataFrame, order: Sequence[str], k: int = 5, out: str = "fold") ->
     n = df.count()
     if n < k:
         raise ValueError(f"{n} rows cannot make {k} folds")
-    cuts = cut_by_rank(df.select(*[col(c) for c in order]), order, fold_starts(n, k)[1:])
+    cuts = cut_by_rank(df.select(*[col(c) for c in order]), order, fold_starts(n, k)[1:],
+                       rows=n)
     fold = F.lit(0)
     for cut in cuts:
         at_or_after = F.lit(True)
