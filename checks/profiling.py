@@ -37,6 +37,11 @@ def duplicate_rows(spark, sf):
         "l_quantity", "l_discount", "l_returnflag", "l_linestatus"))
 
 
+def duplicate_rows_wide(spark, sf):
+    """Whole rows: none or hardly any repeat."""
+    return P.duplicate_rows(table(spark, sf, "lineitem"))
+
+
 def distinct_counts(spark, sf):
     return P.distinct_counts(nulled(spark, sf), NULL_COLUMNS)
 
@@ -140,7 +145,8 @@ def validate_rows(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    preview, table_info, null_profile, duplicate_rows, distinct_counts, quality_report,
+    preview, table_info, null_profile, duplicate_rows, duplicate_rows_wide,
+    distinct_counts, quality_report,
     numeric_summary, describe_target, categorical_summary, value_counts_topk, value_counts,
     distinct_values, target_correlations, correlation_matrix, dataset_card, histogram40,
     histogram_by_group, boxplot_stats, table_check, model_input_nulls, target_range,
@@ -175,6 +181,8 @@ from (""" + _each("select '{c}' as \"column\", count(*) filter ({c} is null) as
 select (select count(*) from t) as total_rows,
        (select count(*) from t) - (select count(*) from (select distinct * from t))
        as duplicate_rows""",
+    "duplicate_rows_wide": """select count(*) as total_rows, count(*) - (select count(*) from
+(select distinct * from lineitem)) as duplicate_rows from lineitem""",
     "distinct_counts": _each("select '{c}' as \"column\", count(distinct {c}) as distinct_count "
                              "from {t}", NULL_COLUMNS, t=NULLED),
     "quality_report": "select * from (" + _each(

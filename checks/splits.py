@@ -57,7 +57,8 @@ def _three_way(rows: str, key: str, strata: str) -> str:
 tot as (select count(*) n, (count(*) * 15 + 99) // 100 n_test from t),
 need as (select n, n_test, ((n - n_test) * 3 + 16) // 17 n_val from tot),
 st as (select {strata}, count(*) c from t group by all),
-f0 as (select st.*, (c * (n - n_test)) // n q, (c * (n - n_test)) % n r, n - n_test d from st, need),
+f0 as (select st.*, (c * (n - n_test)) // n q, (c * (n - n_test)) % n r, n - n_test d
+       from st, need),
 kept as (select * exclude (q, r, d), q + cast(row_number() over (order by r desc, {strata})
          <= d - sum(q) over () as bigint) kept from f0),
 f1 as (select kept.*, (kept * (n - n_test - n_val)) // (n - n_test) q,

@@ -51,11 +51,6 @@ def safe_divide(numerator: Column, denominator: Column, default: float = 0.0) ->
         F.try_divide(numerator, denominator))
 
 
-def numeric_from_text(c: Column) -> Column:
-    """Number in a text, null where it is none."""
-    return c.try_cast("double")
-
-
 def sample_skewness(c: Column) -> Column:
     """Skewness with the small-sample correction; null below three values."""
     n = F.count(c).cast("double")

@@ -13,6 +13,7 @@ from tabulon.functions.expr import col, correlation, sample_kurtosis, sample_ske
 from tabulon.operators.common import (
     join_small, melt, numeric_columns, rows_from_aggregate)
 from tabulon.operators.quantiles import column_quantiles, group_quantiles
+from tabulon.session import BROADCAST_ROWS
 
 #: Correlations computed by one scan.
 PAIRS_PER_SCAN = 150
@@ -36,32 +37,35 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """(total_rows, duplicate_rows): rows beyond the first of each group of equals."""
-    groups = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
-    return groups.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total_rows"),
+    """(total_rows, duplicate_rows): rows beyond the first of each group of equals.
+
+    Rows are first counted by a hash, so that the shuffle carries a few bytes per row.
+    Only rows sharing a hash are then grouped by their columns, which also tells rows
+    apart whose hashes merely collide.
+    """
+    columns = [col(c) for c in df.columns]
+    hashed = df.groupBy(F.xxhash64(*columns).alias("__h")).agg(F.count(F.lit(1)).alias("__n"))
+    total, repeated = hashed.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)),
+        F.coalesce(F.sum((F.col("__n") > 1).cast("bigint")), F.lit(0))).first()
+    if not repeated:
+        return df.sparkSession.createDataFrame(
+            [(total, 0)], "total_rows bigint, duplicate_rows bigint")
+    again = hashed.filter("__n > 1").select("__h")
+    candidates = df.withColumn("__h", F.xxhash64(*columns)).join(
+        F.broadcast(again) if repeated <= BROADCAST_ROWS else again, "__h", "left_semi")
+    groups = candidates.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    return groups.agg(F.lit(total).cast("bigint").alias("total_rows"),
                       F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def table_info(df: DataFrame) -> DataFrame:
-    """Per column: dtype and nulls, with the table's row, column and duplicate counts.
-
-    Nulls, rows and duplicates all come from one grouping of equal rows.
-    """
-    names, types = df.columns, dict(df.dtypes)
-    groups = df.groupBy(*[col(c) for c in names]).agg(F.count(F.lit(1)).alias("__n"))
-    wide = groups.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("__rows"),
-        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("__dups"),
-        *[F.coalesce(F.sum(F.when(col(c).isNull(), F.col("__n"))), F.lit(0)).alias(f"n{i}")
-          for i, c in enumerate(names)])
-    return rows_from_aggregate(wide, [
-        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
-                 F.col(f"n{i}").alias("null_count"),
-                 F.try_divide(F.col(f"n{i}") * 100.0, F.col("__rows")).alias("null_pct"),
-                 F.col("__rows").alias("total_rows"),
-                 F.lit(len(names)).cast("bigint").alias("total_columns"),
-                 F.col("__dups").alias("duplicate_rows"))
-        for i, c in enumerate(names)])
+    """The null profile with the table's row, column and duplicate counts on each row."""
+    found = duplicate_rows(df).first()
+    return (null_profile(df)
+            .withColumn("total_rows", F.lit(found["total_rows"]).cast("bigint"))
+            .withColumn("total_columns", F.lit(len(df.columns)).cast("bigint"))
+            .withColumn("duplicate_rows", F.lit(found["duplicate_rows"]).cast("bigint")))
 
 
 def quality_report(df: DataFrame, top: int = 10) -> DataFrame:

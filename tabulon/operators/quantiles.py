@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.expr import as_column, balanced_sum, col
-from tabulon.operators.common import has_at_most, join_small
 
 #: Size of the sketch: ranks are off by at most n / ACCURACY.
 ACCURACY = 10_000

@@ -132,3 +132,14 @@ def test_table_checks(holes):
     assert V.check_table(holes, ["zz"]).problems == ("missing columns: zz",)
     r = V.target_range(holes, "y", 5, 95).first()
     assert (r["below"], r["above"], r["ok"]) == (4, 4, False)
+
+
+def test_duplicates_with_colliding_hashes(spark, monkeypatch):
+    """Nulls do not enter the hash, so (1, null) and (null, 1) share one."""
+    rows = [(1, None), (None, 1), (1, None), (2, 2), (3, 3), (3, 3), (3, 3), (None, None)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    assert tuple(P.duplicate_rows(df).first()) == (8, 3)
+    monkeypatch.setattr(P, "BROADCAST_ROWS", 0)
+    assert tuple(P.duplicate_rows(df).first()) == (8, 3)
+    assert tuple(P.duplicate_rows(df.distinct()).first()) == (5, 0)
+    assert tuple(P.duplicate_rows(df.limit(0)).first()) == (0, 0)

@@ -36,7 +36,7 @@ def test_reports_are_one_scan(spark, sf_dir):
     df = lineitem(spark, sf_dir)
     for out in (profile.null_profile(df), profile.table_info(df),
                 evaluate.metrics(df, "l_quantity", "l_tax", ["l_returnflag"]),
-                compare.wide_differences(df, {c: c for c in ("l_tax", "l_discount", "l_quantity")})):
+                compare.wide_differences(df, {c: c for c in ("l_tax", "l_discount")})):
         assert plan(out).count("FileScan") == 1
 
 

@@ -58,7 +58,8 @@ def test_full_plan(spark, graduates):
 
 def test_quick_training(spark, graduates):
     doubled = graduates.unionByName(graduates.limit(50))
-    models, scores = quick_training(doubled.withColumnRenamed("row", "k"), G.TARGET, ["k"], alpha=0.01)
+    models, scores = quick_training(doubled.withColumnRenamed("row", "k"), G.TARGET, ["k"],
+                                    alpha=0.01)
     got = scores.collect()
     assert [r["model"] for r in got] == sorted(
         models, key=lambda m: next(r["rmse"] for r in got if r["model"] == m))
