@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+import checks
 from checks.compare import compare, connect
 
 
@@ -11,13 +12,14 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(checks.QUERIES))
 def test_query(spark, con, sf_dir, name):
     result, _ = compare(spark, con, name, sf_dir)
     assert result.startswith(("ok", "rows only")), result
 
 
 def test_every_sql_has_a_query():
+    assert set(checks.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert all(entry.oracle_sql().values())
 
