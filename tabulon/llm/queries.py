@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import quality_rules
+from tabulon.llm import jaccard_join, quality_rules
 from tabulon.llm.common import crc_mod
 from tabulon.sources.tables import read_table
 
@@ -23,6 +23,10 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         "base_failed", "rule", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op7_quality_rules,)}
+def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop("text_hash")
+
+
+QUERIES = {f.__name__: f for f in (op4_jaccard_join, op7_quality_rules,)}
 
 SQL: dict[str, str] = {}
