@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import jaccard_join, quality_rules
+from tabulon.llm import decontaminate, jaccard_join, quality_rules
 from tabulon.llm.common import crc_mod
 from tabulon.sources.tables import read_table
 
@@ -23,10 +23,16 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         "base_failed", "rule", "kept")
 
 
+def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contamination(read_table(spark, sf, "documents").select("doc_id", "text"),
+                                        read_table(spark, sf, "benchmark"))
+    return found.drop("items")
+
+
 def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op4_jaccard_join, op7_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_jaccard_join, op7_quality_rules,)}
 
 SQL: dict[str, str] = {}
