@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import decontaminate, jaccard_join, quality_rules
+from tabulon.llm import decontaminate, jaccard_join, line_crf, quality_rules
 from tabulon.llm.common import crc_mod
 from tabulon.sources.tables import read_table
 
@@ -29,10 +29,17 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return found.drop("items")
 
 
+def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    model = line_crf.fit_lines(docs, read_table(spark, sf, "labels"), usable=~held_out("_id"))
+    return line_crf.score_documents(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_jaccard_join, op7_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op4_jaccard_join, op7_quality_rules,)}
 
 SQL: dict[str, str] = {}
