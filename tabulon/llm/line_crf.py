@@ -6,7 +6,8 @@ being good. A document's quality is the mean of these, weighted by line length,
 logistic curve fitted on the training documents.
 
 Labels are given per document. Training starts with every line carrying its document's label,
-then twice relabels the lines of bad documents that the model holds for good, and fits again.
+then twice relabels those lines of bad documents that the model holds for good and for better
+than the mean of their document, and fits again.
 
 Defined results: lines without words carry no label; null and empty texts, and texts of such
 lines only, score the share of label 1 among the training documents. Without both labels in
@@ -33,22 +34,22 @@ SAMPLE_PER_CLASS = 2000
 SAMPLE_LINES = 400
 
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
-_DIGITS, _PUNCTUATION = b"0123456789", b".,;:"
+_PUNCTUATION = b".,;:"
 _MARKS = bytes(c for c in range(33, 127)
                if not chr(c).isalnum() and c not in _PUNCTUATION + b"'-\"()?")
 _CONTINUED = bytes(range(0x80, 0xC0))
 
 #: Own features of a line; a chain uses them for the line, the one before and the one after.
-FEATURES = ("upper", "marks", "digits", "punctuation", "repeats", "distinct", "word_length",
-            "single_marks", "length", "ends")
+FEATURES = ("upper", "marks", "punctuation", "repeats", "distinct", "word_length",
+            "single_marks", "length", "ends", "repeated")
 
 
 def _gone(data: bytes, characters: bytes) -> int:
     return len(data) - len(data.translate(None, characters))
 
 
-def line_features(line: bytes, words: list[bytes]) -> tuple[float, ...]:
-    """The ``FEATURES`` of one line, each about 0 to 1."""
+def line_features(line: bytes, words: list[bytes], repeated: bool) -> tuple[float, ...]:
+    """The ``FEATURES`` of one line, each about 0 to 1; ``repeated``: the line before is the same."""
     n = len(words)
     size = sum(map(len, words))
     upper = _gone(line, _UPPER)
@@ -56,23 +57,25 @@ def line_features(line: bytes, words: list[bytes]) -> tuple[float, ...]:
     repeats = sum(map(bytes.__eq__, words, words[1:]))
     return (upper / letters if letters else 0.0,
             min(1.0, 4 * _gone(line, _MARKS) / size),
-            _gone(line, _DIGITS) / size,
             min(1.0, 4 * _gone(line, _PUNCTUATION) / size),
             repeats / n,
             len(set(words)) / n,
             min(2.0, (size - _gone(line, _CONTINUED)) / n / 8),
             sum(len(w) == 1 and w in _MARKS for w in words) / n,
             min(1.0, np.log1p(size) / 10),
-            1.0 if line.rstrip().endswith(b".") else 0.0)
+            1.0 if line.rstrip().endswith(b".") else 0.0,
+            1.0 if repeated else 0.0)
 
 
 def text_lines(data: bytes | None) -> tuple[list[tuple[float, ...]], list[int]]:
     """Features and lengths (bytes in words) of the lines that have words."""
     rows, sizes = [], []
+    before = None
     for line in (data or b"").split(b"\n"):
         words = line.split()
         if words:
-            rows.append(line_features(line, words))
+            rows.append(line_features(line, words, line == before))
+            before = line
             sizes.append(sum(map(len, words)))
     return rows, sizes
 
@@ -99,9 +102,9 @@ def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logaddexp(a, b)
 
 
-def marginals(score: np.ndarray, counts: np.ndarray, step: np.ndarray
-              ) -> tuple[np.ndarray, np.ndarray, float]:
-    """(P(good) of each line, expected label pairs 2x2, log of all partition sums).
+def marginals(score: np.ndarray, counts: np.ndarray, step: np.ndarray,
+              weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(P(good) of each line, expected label pairs 2x2, weighted by chain if asked for).
 
     ``score`` is each line's log-odds of good, ``step`` the 2x2 log weights of (label, next).
     Chains of similar length move through the recursions together.
@@ -109,12 +112,12 @@ def marginals(score: np.ndarray, counts: np.ndarray, step: np.ndarray
     starts = np.cumsum(counts) - counts
     out = np.empty(len(score))
     pairs = np.zeros((2, 2))
-    total = 0.0
     order = np.argsort(-counts, kind="stable")
     order = order[counts[order] > 0]
     if not len(order):
-        return out, pairs, total
+        return out, pairs
     at, long = starts[order], counts[order]
+    weight = np.ones(len(at)) if weight is None else weight[order]
     steps = int(long[0])
     # Chains still running at each step are the first ones, being sorted by length.
     running = np.searchsorted(-long, -np.arange(steps), side="left")
@@ -129,7 +132,6 @@ def marginals(score: np.ndarray, counts: np.ndarray, step: np.ndarray
         forward[at[:k] + t] = now
     ends = at + long - 1
     z = _add(forward[ends, 0], forward[ends, 1])
-    total = float(z.sum())
     back = np.zeros((len(at), 2))
     for t in range(steps - 1, -1, -1):
         k = running[t]
@@ -141,11 +143,11 @@ def marginals(score: np.ndarray, counts: np.ndarray, step: np.ndarray
             for i in (0, 1):
                 for j in (0, 1):
                     pairs[i, j] += np.exp(before[:, i] + step[i, j] + j * x + back[:k, j]
-                                          - z[:k]).sum()
+                                          - z[:k]) @ weight[:k]
             nxt = np.stack([_add(step[0, 0] + back[:k, 0], step[0, 1] + x + back[:k, 1]),
                             _add(step[1, 0] + back[:k, 0], step[1, 1] + x + back[:k, 1])], 1)
             back[:k] = nxt
-    return out, pairs, total
+    return out, pairs
 
 
 @dataclass(frozen=True)
@@ -179,20 +181,21 @@ def _means(p: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _fit_chain(x: np.ndarray, y: np.ndarray, counts: np.ndarray, weights: np.ndarray,
-               step: np.ndarray, rounds: int, ridge: float = 1e-3
+               step: np.ndarray, weight: np.ndarray, rounds: int, ridge: float = 1e-4
                ) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum likelihood with a small ridge, by Adam over all chains at once."""
+    """Maximum likelihood, weighted by chain, with a small ridge, by Adam over all chains."""
     chain = np.repeat(np.arange(len(counts)), counts)
+    each = weight[chain]
     follows = chain[1:] == chain[:-1]
     seen = np.zeros((2, 2))
-    np.add.at(seen, (y[:-1][follows], y[1:][follows]), 1)
-    n = len(y)
+    np.add.at(seen, (y[:-1][follows], y[1:][follows]), each[1:][follows])
+    n = each.sum()
     state = np.concatenate([weights, step.ravel()])
     m, v = np.zeros_like(state), np.zeros_like(state)
     for r in range(1, rounds + 1):
         w, s = state[:-4], state[-4:].reshape(2, 2)
-        p, pairs, _ = marginals(x @ w, counts, s)
-        g = np.concatenate([x.T @ (p - y), (pairs - seen).ravel()]) / n + ridge * state
+        p, pairs = marginals(x @ w, counts, s, weight)
+        g = np.concatenate([x.T @ (each * (p - y)), (pairs - seen).ravel()]) / n + ridge * state
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         state = state - 0.1 * (m / (1 - 0.9 ** r)) / (np.sqrt(v / (1 - 0.999 ** r)) + 1e-8)
     return state[:-4], state[-4:].reshape(2, 2)
@@ -205,10 +208,14 @@ def train(own: np.ndarray, sizes: np.ndarray, counts: np.ndarray, good: np.ndarr
     document = np.repeat(good, counts).astype(np.int64)
     y = document.copy()
     w, step = np.zeros(x.shape[1]), np.zeros((2, 2))
+    # Lines of good and of bad documents weigh the same in all.
+    lines = np.array([counts[good == 0].sum(), counts[good == 1].sum()])
+    weight = (1 / np.maximum(lines, 1))[good]
     for _ in range(3):
-        w, step = _fit_chain(x, y, counts, w, step, rounds)
+        w, step = _fit_chain(x, y, counts, w, step, weight, rounds)
         p = marginals(x @ w, counts, step)[0]
-        y = np.where((document == 0) & (p > 0.5), 1, document)
+        better = p > np.repeat(_means(p, sizes, counts), counts) + 1e-9
+        y = np.where((document == 0) & better & (p > 0.5), 1, document)
     m = _means(p, sizes, counts)[counts > 0]
     t = good[counts > 0].astype(float)
     # Both labels weigh the same in the curve, so that 0.5 lies between them.
