@@ -19,7 +19,9 @@ from tabulon.session import shared_dir
 
 WHITE = b" \t\n\x0b\x0c\r"
 #: A word hash cache of a worker is emptied beyond this many words.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+#: Rows of text in one Arrow batch. Texts are long; a batch is held whole on both sides.
+BATCH_ROWS = 1000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,7 +66,8 @@ def windows(h: np.ndarray, size: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     out = h[:n].copy()
     for k in range(1, size):
-        out = mixed(out) * _P + h[k:k + n]
+        out *= _P
+        out += h[k:k + n]
     return mixed(out)
 
 
@@ -81,6 +84,13 @@ def crc_mod(column: str | Column, modulus: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % modulus
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send at most ``BATCH_ROWS`` rows at a time to Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def own_name(taken: list[str], name: str) -> str:
     """``name``, with underscores put before it until no column has it."""
     lower = {t.lower() for t in taken}

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.expr import col
-from tabulon.llm.common import mixed, windows, word_hashes
+from tabulon.llm.common import mixed, small_batches, windows, word_hashes
 from tabulon.session import stored
 
 #: Words of a shingle.
@@ -183,6 +183,7 @@ def occurrences(found: DataFrame, windows_table: DataFrame) -> DataFrame:
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text",
                   item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items (sorted ids), items_sha256, contaminated."""
+    small_batches(docs.sparkSession)
     table = item_windows(items, window, item, item_text)
     shortest = {r["k"]: r["m"] for r in table.groupBy(
         F.least("size", F.lit(SHINGLE)).alias("k")).agg(F.min("size").alias("m")).collect()}

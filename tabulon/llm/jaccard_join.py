@@ -31,7 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.llm.common import batches, mixed, shingle_set, word_hashes
+from tabulon.llm.common import (
+    batches,
+    mixed,
+    shingle_set,
+    small_batches,
+    windows,
+    word_hashes,
+)
 from tabulon.llm.components import components
 from tabulon.session import stored
 
@@ -52,6 +59,12 @@ def text_set(data: bytes | None, size: int) -> np.ndarray:
     return shingle_set(word_hashes().of((data or b"").lower().split()), size)
 
 
+def text_runs(data: bytes | None, size: int) -> np.ndarray:
+    """The same in order and with repeats."""
+    h = word_hashes().of((data or b"").lower().split())
+    return windows(h, min(size, max(len(h), 1)))
+
+
 def _slot(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
@@ -66,8 +79,7 @@ def count_sketch(texts: DataFrame, size: int) -> np.ndarray:
         counts = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches(iterator):
             for data in batch["text"]:
-                slots, n = np.unique(_slot(text_set(data, size)), return_counts=True)
-                counts[slots] += n
+                np.add.at(counts, _slot(text_runs(data, size)), 1)
         chunks = [(k // _CHUNK, counts[k:k + _CHUNK]) for k in range(0, len(counts), _CHUNK)]
         chunks = [(k, c.astype("<i4" if c.max() < 1 << 31 else "<i8").tobytes())
                   for k, c in chunks if c.any()]
@@ -175,9 +187,11 @@ def signatures(spark: SparkSession, docs: DataFrame, size: int, percent: int, te
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings (token, cls) of tokens that more than one class has."""
-    ends = (postings.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
-            .where("low < high").select("token"))
+    """Postings (token, cls, at) of tokens that more than one class has."""
+    # All columns are read, so that both sides of the join come from one shuffle.
+    ends = (postings.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"),
+                                          F.min("at").alias("first"))
+            .where("low < high and first >= 0").select("token"))
     return postings.join(ends.hint("shuffle_hash"), "token").distinct()
 
 
@@ -223,28 +237,40 @@ def classes_and_links(docs: DataFrame, text: str = "text", id_column: str = "doc
     ``components`` is (node, component) for the classes that have a link.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"),
                        F.xxhash64(text).alias("_h"))
     signed = signatures(spark, docs, size, percent, "_text", ["_id", "_h"])
 
-    cold = signed.select(F.explode("prefix").alias("token"), "cls").repartition("token")
-    hot = signed.select(F.explode("hot").alias("token"), "cls")
+    cold = (signed.select(F.posexplode("prefix").alias("at", "token"), "cls")
+            .repartition("token"))
+    hot = (signed.select(F.posexplode("hot").alias("at", "token"), "cls",
+                         F.size("prefix").alias("n_cold"))
+           .select((F.col("at") + F.col("n_cold")).alias("at"), "token", "cls"))
     shared = stored(_shared(cold).unionByName(_shared(hot)), "shared")
 
-    candidates = shared.select("cls").distinct()
-    classes = stored(signed.join(candidates, "cls", "left_semi").groupBy("cls")
+    classes = stored(signed.select("cls", "n", "bits", "_id")
+                     .join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls")
                      .agg(F.first("n").alias("n"), F.first("bits").alias("bits"),
-                          F.first(F.concat("prefix", "hot")).alias("prefix"),
                           F.min("_id").alias("_id")), "classes")
+    # Not deterministic for the optimizer, which would run it on all texts to look for nulls.
+    whole = F.arrow_udf(_whole(size), "struct<cls: bigint, tokens: binary>").asNondeterministic()
+
+    def whole_sets(pairs: DataFrame) -> DataFrame:
+        """The sets of the classes in ``pairs``, from the text of one document each.
+
+        An id may stand for several texts, and many texts may have none, so what is read is
+        matched by the class itself.
+        """
+        wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+                        .join(classes.select("cls", "_id"), "cls"), "wanted")
+        named = docs.join(wanted.select("_id").distinct(), "_id", "left_semi")
+        unnamed = docs.where("_id is null") if wanted.where("_id is null").head(1) else None
+        texts = named if unnamed is None else named.unionByName(unnamed)
+        return stored(texts.select(whole(F.col("_text").cast("binary")).alias("_s"))
+                      .select("_s.*").join(wanted.select("cls"), "cls", "left_semi")
+                      .dropDuplicates(["cls"]), "sets")
 
-    # The whole sets of these classes, from the text of one document each. An id may stand for
-    # several texts, and many may have none: what is read is matched by the class itself.
-    named = docs.join(classes.select("_id").distinct(), "_id", "left_semi")
-    whole = F.arrow_udf(_whole(size), "struct<cls: bigint, tokens: binary>")
-    sets = stored(
-        named.unionByName(docs.where("_id is null"))
-        .select(whole(F.col("_text").cast("binary")).alias("_s")).select("_s.*")
-        .join(classes.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]), "sets")
     tried = None
     found = spark.createDataFrame([], "node long, component long")
 
@@ -257,7 +283,10 @@ def classes_and_links(docs: DataFrame, text: str = "text", id_column: str = "doc
         nonlocal tried, found
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        result = _verified(pairs, sets, percent)
+        pairs = stored(pairs, "pairs")
+        if not pairs.head(1):
+            return False
+        result = _verified(pairs, whole_sets(pairs), percent)
         tried = result if tried is None else tried.unionByName(result)
         if not result.where("linked").head(1):
             return False
@@ -283,11 +312,8 @@ def classes_and_links(docs: DataFrame, text: str = "text", id_column: str = "doc
     open_lists = (lists.groupBy("token")
                   .agg(F.min("component").alias("low"), F.max("component").alias("high"))
                   .where("low < high").select("token"))
-    rest = stored(
-        classes.select("cls", "n", "bits", F.posexplode("prefix").alias("at", "token"))
-        .join(open_lists, "token", "left_semi").join(found.withColumnRenamed("node", "cls"),
-                                                     "cls", "left")
-        .withColumn("component", F.coalesce("component", "cls")), "open")
+    rest = stored(lists.join(open_lists, "token", "left_semi")
+                  .join(classes.select("cls", "n", "bits"), "cls"), "open")
     a, b = (rest.select(F.col("token").alias(f"{x}_token"), F.col("cls").alias(x),
                         F.col("component").alias(f"{x}_c"), F.col("n").alias(f"{x}_n"),
                         F.col("bits").alias(f"{x}_bits"), F.col("at").alias(f"{x}_at"))
@@ -298,7 +324,9 @@ def classes_and_links(docs: DataFrame, text: str = "text", id_column: str = "doc
                                                  F.min("b_at").alias("b_at"))
             .where(f"{100 + percent} * least(a_n - a_at, b_n - b_at) >= {percent} * (a_n + b_n)")
             .select("a", "b"))
-    return signed.select("_id", "n", "cls", "_h"), tried.where("linked").select("a", "b"), found
+    links = (tried.where("linked").select("a", "b") if tried is not None
+             else spark.createDataFrame([], "a long, b long"))
+    return signed.select("_id", "n", "cls", "_h"), links, found
 
 
 def near_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id", size: int = 5,

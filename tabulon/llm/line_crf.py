@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.expr import col
-from tabulon.llm.common import labelled_sample
+from tabulon.llm.common import labelled_sample, small_batches
 
 #: At most this many documents of each label are learned from, and of those only the ones of at
 #: most ``SAMPLE_LINES`` lines, so that training data is bounded whatever the table.
@@ -291,6 +291,7 @@ def score_documents(docs: DataFrame, model: LineModel, text: str = "text") -> Da
              pa.ListArray.from_arrays(pa.array(ends), pa.array(p, pa.float64()))],
             names=["score", "lines"])
 
+    small_batches(docs.sparkSession)
     taken = {"score", "predicted", "lines", "_crf"}
     scored = docs.withColumn("_crf", F.arrow_udf(run, kind)(F.col(text).cast("binary")))
     return scored.select(*[col(c) for c in docs.columns if c.lower() not in taken],

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.expr import col
-from tabulon.llm.common import WHITE, labelled_sample, windows, word_hashes
+from tabulon.llm.common import WHITE, labelled_sample, small_batches, windows, word_hashes
 
 #: Fixed values of the base rule.
 SYMBOLS = b"#*$%&|<>"
@@ -100,6 +100,7 @@ def _count(texts: pa.Array) -> pa.Array:
 
 def with_counts(docs: DataFrame, text: str = "text", to: str = "_counts") -> DataFrame:
     """``docs`` with a struct of the counts of each text."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(to, _count(F.col(text).cast("binary")))
 
 
