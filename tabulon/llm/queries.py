@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import decontaminate, jaccard_join, line_crf, quality_rules
+from tabulon.llm import decontaminate, jaccard_join, line_crf, ngram_lm, quality_rules
 from tabulon.llm.common import crc_mod
 from tabulon.sources.tables import read_table
 
@@ -15,6 +15,13 @@ def held_out(column: str) -> Column:
     return F.coalesce(crc_mod(column, 3) == 1, F.lit(False))
 
 
+def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    held = F.coalesce(crc_mod("doc_id", 10) == 0, F.lit(False))
+    return (ngram_lm.language_model(docs.select("doc_id", "text", held.alias("held_out")),
+                                    ~F.col("held_out")).drop("text", "perplexity"))
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     rules = quality_rules.fit_rules(docs, read_table(spark, sf, "labels"), usable=~held_out("_id"))
@@ -40,6 +47,6 @@ def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op4_jaccard_join, op7_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op4_jaccard_join, op6_lm_scoring, op7_quality_rules,)}
 
 SQL: dict[str, str] = {}
