@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabulon.llm import (
     chat,
     decontaminate,
+    html_main,
     jaccard_join,
     line_crf,
     ngram_lm,
@@ -69,9 +70,13 @@ def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop("text_hash")
 
 
+def op9_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_main.main_text(read_table(spark, sf, "pages")).drop("n_removed")
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op3_chat_formatting,
                                  op4_jaccard_join, op5_packing, op6_lm_scoring,
-                                 op7_quality_rules,)}
+                                 op7_quality_rules, op9_html_extraction,)}
 
 _LINES = r"""
 with recursive given as (
