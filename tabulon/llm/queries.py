@@ -14,6 +14,7 @@ from tabulon.llm import (
     ngram_lm,
     packing,
     quality_rules,
+    token_files,
 )
 from tabulon.llm.common import crc_mod
 from tabulon.sources.tables import read_table
@@ -74,9 +75,16 @@ def op9_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html_main.main_text(read_table(spark, sf, "pages")).drop("n_removed")
 
 
+def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.round_trip(read_table(spark, sf, "documents").select("doc_id", "text"),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op3_chat_formatting,
                                  op4_jaccard_join, op5_packing, op6_lm_scoring,
-                                 op7_quality_rules, op9_html_extraction,)}
+                                 op7_quality_rules, op9_html_extraction, op10_token_files,)}
 
 _LINES = r"""
 with recursive given as (
