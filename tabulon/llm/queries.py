@@ -10,6 +10,7 @@ from tabulon.llm import (
     decontaminate,
     html_main,
     jaccard_join,
+    licenses,
     line_crf,
     ngram_lm,
     packing,
@@ -71,6 +72,13 @@ def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop("text_hash")
 
 
+def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.notices(read_table(spark, sf, "documents")).select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"),
+        F.array_join("licenses", ",").alias("licenses"),
+        F.size("spans").cast("long").alias("n_spans"))
+
+
 def op9_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html_main.main_text(read_table(spark, sf, "pages")).drop("n_removed")
 
@@ -84,7 +92,7 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op3_chat_formatting,
                                  op4_jaccard_join, op5_packing, op6_lm_scoring,
-                                 op7_quality_rules, op9_html_extraction, op10_token_files,)}
+                                 op7_quality_rules, op8_license_scans, op9_html_extraction, op10_token_files,)}
 
 _LINES = r"""
 with recursive given as (
