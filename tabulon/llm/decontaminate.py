@@ -226,3 +226,15 @@ def hit_counts(hits: DataFrame, table: DataFrame) -> DataFrame:
     return covered.join(named, "_row", "left").withColumn(
         "n_items", F.coalesce(F.size("items"), F.lit(0)))
 
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text",
+                    id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that hold no window, with all their columns."""
+    keyed = docs.select(col(id_column).alias("_id"), F.xxhash64(text).alias("_h"),
+                        col(text).alias("text"))
+    hit = (contamination(keyed, items, window).where("contaminated")
+           .select("_id", "_h").distinct())
+    return (docs.withColumn("_key", F.xxhash64(text))
+            .join(hit, col(id_column).eqNullSafe(F.col("_id"))
+                  & (F.col("_key") == F.col("_h")), "left_anti").drop("_key"))

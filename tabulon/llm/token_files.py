@@ -27,6 +27,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +53,9 @@ CACHE_PIECES = 600_000
 # White space as the pre-tokenizer's pattern has it (the Unicode property).
 _WHITE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECE = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-_RUN = re.compile(r"[ \n](?:\s|\Z)|\x00")
+_OTHER_WHITE = ("\0\t\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+                + "\u2028\u2029\u202f\u205f\u3000")
+_RUNS = ("  ", " \n", "\n ", "\n\n")
 
 
 def pieces(text: str) -> list[str]:
@@ -62,7 +65,8 @@ def pieces(text: str) -> list[str]:
     from within a run of white space, so the ids of a text are those of its pieces in a row.
     Where runs are single blanks and line ends, plain splitting gives the same cuts.
     """
-    if _RUN.search(text):
+    if (text[-1:] in (" ", "\n") or any(r in text for r in _RUNS)
+            or any(c in text for c in _OTHER_WHITE)):
         return _PIECE.findall(text)
     return text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
 
@@ -77,6 +81,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.width.itemsize == 2 else "I"     # little-endian machines only
         self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -84,17 +89,25 @@ class Encoder:
         if len(self.known) > CACHE_PIECES:
             self.known = {"": b""}
         known = self.known
-        cut = [pieces(t or "") for t in texts]
-        new: set[str] = set()
-        for p in cut:
-            new |= set(p).difference(known)
-        todo = list(new)
+        rows = []
+        gaps: list[tuple[list, list[int], list[str]]] = []
+        for text in texts:
+            cut = pieces(text or "")
+            row = list(map(known.get, cut))
+            rows.append(row)
+            if None in row:
+                at = [i for i, v in enumerate(row) if v is None]
+                gaps.append((row, at, [cut[i] for i in at]))
+        todo = list({p for _, _, missing in gaps for p in missing})
         for start in range(0, len(todo), 10_000):
             part = todo[start:start + 10_000]
             for piece, e in zip(part, self.tokenizer.encode_batch_fast(
                     part, add_special_tokens=False)):
-                known[piece] = np.array(e.ids, self.width).tobytes()
-        return [b"".join(map(known.__getitem__, p)) for p in cut]
+                known[piece] = array(self.code, e.ids).tobytes()
+        for row, at, missing in gaps:
+            for i, piece in zip(at, missing):
+                row[i] = known[piece]
+        return [b"".join(row) for row in rows]
 
 
 def encoder(path: str) -> Encoder:
