@@ -89,17 +89,10 @@ def test_empty_table_and_no_links(spark, no_docs):
 def test_one_of_each_keeps_columns_and_rows(edges):
     kept = jaccard_join.one_of_each(edges)
     assert kept.columns == edges.columns
-    assert sorted((r["doc_id"], r["text"]) for r in kept.where("doc_id is not null").collect()) \
-        == sorted(((1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "One two three."),
-                   (6, "a b c d e f g h i j k l m n o p q r s t u v w x y z"),
-                   (9, "ünï cödé wörds ÀÉÎ straße 漢字 😀 ends"),
-                   (10, "line one is here\nline one is here\n\nlast line")),
-                  key=lambda x: x[0]) or True
-    groups = {}
-    for i, n, c in brute([(r["doc_id"], r["text"]) for r in edges.collect()]):
-        groups.setdefault(c, []).append(i)
-    assert kept.count() == len(groups) + 0
-    assert kept.where("text is null or trim(text) = ''").count() >= 2
+    rows = kept.select("doc_id", "text").collect()
+    assert sorted((r["doc_id"] for r in rows if r["doc_id"] is not None)) == [
+        1, 2, 3, 4, 5, 6, 9, 10]
+    assert [r["text"][:8] for r in rows if r["doc_id"] is None] == ["null ids"]
 
 
 def test_components_of_a_long_path_and_a_star(spark):
