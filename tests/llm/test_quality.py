@@ -59,7 +59,8 @@ def test_rules_are_learned_and_pruned():
     caught = np.zeros(len(x), bool)
     for r in rules.rules:
         caught |= quality_rules._holds(x, names, r.conditions)
-    assert (caught == bad).mean() > 0.97
+    assert bad[caught].mean() >= 0.95          # precise, as asked for,
+    assert caught[x[:, 0] > 0.8].mean() > 0.97  # and the large part is found
     noise = quality_rules.learn(x, rng.random(900) < 0.5, names)
     assert not noise.rules
 
