@@ -1,4 +1,4 @@
-"""Registered queries of the operators, each over its whole table, and their SQL."""
+"""Registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from tabulon.llm import (
     token_files,
 )
 from tabulon.llm.common import crc_mod
+from tabulon.llm.sql import SQL
 from tabulon.sources.tables import read_table
 
 
@@ -93,55 +94,3 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op3_chat_formatting,
                                  op4_jaccard_join, op5_packing, op6_lm_scoring,
                                  op7_quality_rules, op8_license_scans, op9_html_extraction, op10_token_files,)}
-
-_LINES = r"""
-with recursive given as (
-  select distinct conv_id, turn, text from conversations),
-lines as (
-  select conv_id, turn, raw,
-    length(m) - length(replace(m, '>', '')) as level,
-    trim(regexp_replace(lower(substr(raw, length(m) + 1)), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')
-      as normal
-  from (select conv_id, turn, raw, regexp_extract(raw, '^(?:[ \t]*>)+[ \t]?') as m
-        from (select conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) as raw
-              from given))),
-hashed as (
-  select distinct conv_id, turn, level, sha256(normal) as passage
-  from lines where normal <> '' and turn is not null),
-found as (
-  select q.conv_id, q.turn, q.level, q.passage, max(o.turn) as source
-  from hashed q left join hashed o on o.conv_id is not distinct from q.conv_id
-    and o.passage = q.passage and o.level = 0 and o.turn < q.turn
-  where q.level > 0 group by all),
-votes as (
-  select conv_id, turn, level, source, count(*) as n from found where source is not null
-  group by all),
-parents as (
-  select conv_id, turn, source as parent from votes
-  qualify row_number() over (partition by conv_id, turn order by level, n desc, source desc) = 1),
-paths(conv_id, turn, path) as (
-  select conv_id, turn, [parent, turn] from parents p where not exists (
-    select 1 from parents a where a.conv_id is not distinct from p.conv_id
-      and a.turn = p.parent)
-  union all
-  select p.conv_id, p.turn, list_append(a.path, p.turn) from parents p join paths a
-    on a.conv_id is not distinct from p.conv_id and a.turn = p.parent),
-quotes as (
-  select conv_id, turn, count(*) as n_quoted, count(source) as n_linked from found group by all),
-own as (
-  select conv_id, turn, role, regexp_replace(array_to_string(list_filter(
-    string_split(coalesce(text, ''), chr(10)),
-    lambda x: not regexp_matches(x, '^(?:[ \t]*>)+[ \t]?')), chr(10)),
-    '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as clean
-  from conversations)
-select o.conv_id, o.turn, o.role, sha256(clean) as text_sha256, length(clean) as n_chars,
-  case when p.path is not null then p.path[-2] end as reply_to,
-  coalesce(len(p.path) - 1, 0) as depth,
-  coalesce(array_to_string(p.path, '>'), cast(o.turn as varchar), '') as path,
-  coalesce(n_quoted, 0) as n_quoted, coalesce(n_linked, 0) as n_linked
-from own o
-left join quotes q on q.conv_id is not distinct from o.conv_id and q.turn = o.turn
-left join paths p on p.conv_id is not distinct from o.conv_id and p.turn = o.turn
-"""
-
-SQL: dict[str, str] = {"op3_chat_formatting": _LINES}
