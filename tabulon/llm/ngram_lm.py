@@ -31,12 +31,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.expr import col
-from tabulon.llm.common import mixed, small_batches, word_hashes, worker_state
+from tabulon.llm.common import (
+    mixed,
+    shuffles_removed,
+    small_batches,
+    word_hashes,
+    worker_state,
+)
 from tabulon.llm.shared_files import mapped, write_file
 from tabulon.session import scratch_path, stored
 
@@ -324,6 +330,11 @@ def fit_bigrams(texts: DataFrame) -> tuple[BigramModel, int]:
     """(model, number of texts) learned from the column ``text`` of bytes."""
     spark = texts.sparkSession
     small_batches(spark)
+    with shuffles_removed(spark):
+        return _fit_bigrams(spark, texts)
+
+
+def _fit_bigrams(spark: SparkSession, texts: DataFrame) -> tuple[BigramModel, int]:
     buckets = _partitions(texts)
     folder = scratch_path(spark, "ngrams")
     learned = texts.count()
@@ -437,7 +448,7 @@ def fit_bigrams(texts: DataFrame) -> tuple[BigramModel, int]:
     left = (word_discounts[0] * n1 + word_discounts[1] * n2 + word_discounts[2] * more) / types \
         if types else 1.0
     _fill(folder, buckets, blocks, {r["block"] for r in passed.select("block").distinct()
-                                    .toLocalIterator()})
+                                    .collect()})
     return BigramModel(folder, vocabulary, buckets, pair_discounts, word_discounts, types,
                        left), learned
 

@@ -91,6 +91,6 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op3_chat_formatting,
-                                 op4_jaccard_join, op5_packing, op6_lm_scoring,
-                                 op7_quality_rules, op8_license_scans, op9_html_extraction, op10_token_files,)}
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_quality_classifier, op3_chat_formatting, op4_jaccard_join, op5_packing,
+    op6_lm_scoring, op7_quality_rules, op8_license_scans, op9_html_extraction, op10_token_files)}
