@@ -9,14 +9,13 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.session import shared_dir
-
 WHITE = b" \t\n\x0b\x0c\r"
 #: A word hash cache of a worker is emptied beyond this many words.
 CACHE_WORDS = 250_000
@@ -91,17 +90,24 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
-def own_name(taken: list[str], name: str) -> str:
-    """``name``, with underscores put before it until no column has it."""
-    lower = {t.lower() for t in taken}
-    while name.lower() in lower:
-        name = "_" + name
-    return name
-
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark removes the shuffle files of every query as it ends.
 
-def local_path(spark: SparkSession) -> str:
-    """The shared folder as its URL."""
-    return shared_dir(spark)
+    For operators of several steps that write each step's result: their shuffles would
+    otherwise stay until the driver happens to collect its garbage. What is iterated over within
+    must be a written table, as an iteration goes on after its query has ended.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], per_class: int,

@@ -31,19 +31,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabulon.functions.expr import col
 from tabulon.llm.common import (
     batches,
     mixed,
     shingle_set,
+    shuffles_removed,
     small_batches,
     windows,
     word_hashes,
 )
 from tabulon.llm.components import components
-from tabulon.session import stored
+from tabulon.session import BROADCAST_ROWS, stored
 
-#: Slots of the counting sketch: 2**21 counts, one byte each when broadcast.
-SLOT_BITS = 21
+#: Slots of the counting sketch: 2**23 counts, one byte each when broadcast.
+SLOT_BITS = 23
 _CHUNK = 1 << 13
 #: 64-bit words of the bitmap.
 MAP_WORDS = 16
@@ -51,7 +53,7 @@ MAP_WORDS = 16
 #: adaptive skew handling; the others cannot make a task large.
 HOT = 10_000
 #: Star rounds before the last, exhaustive one.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 
 def text_set(data: bytes | None, size: int) -> np.ndarray:
@@ -73,15 +75,17 @@ def count_sketch(texts: DataFrame, size: int) -> np.ndarray:
     """Counts of all n-grams by slot. ``texts`` has the column ``text`` of bytes.
 
     Every task adds up its texts, then chunks of slots are added up, streaming. The driver gets
-    the 2**21 sums.
+    the 2**23 sums, chunk by chunk.
     """
     def count(iterator) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        counts = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in batches(iterator):
             for data in batch["text"]:
                 np.add.at(counts, _slot(text_runs(data, size)), 1)
+            np.minimum(counts, np.uint32(1 << 31), out=counts)     # hot however often more
         chunks = [(k // _CHUNK, counts[k:k + _CHUNK]) for k in range(0, len(counts), _CHUNK)]
-        chunks = [(k, c.astype("<i4" if c.max() < 1 << 31 else "<i8").tobytes())
+        # The narrowest type that holds a chunk: most are counts of a few.
+        chunks = [(k, c.astype(np.min_scalar_type(c.max())).tobytes())
                   for k, c in chunks if c.any()]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in chunks], pa.int32()),
                                           pa.array([c for _, c in chunks], pa.binary())],
@@ -91,7 +95,7 @@ def count_sketch(texts: DataFrame, size: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches(iterator):
             for k, data in zip(batch["chunk"], batch["counts"]):
-                part = np.frombuffer(data, "<i4" if len(data) == 4 * _CHUNK else "<i8")
+                part = np.frombuffer(data, f"<u{len(data) // _CHUNK}")
                 sums[k] = sums.get(k, 0) + part.astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
                                           pa.array([c.tobytes() for c in sums.values()],
@@ -99,8 +103,9 @@ def count_sketch(texts: DataFrame, size: int) -> np.ndarray:
 
     schema = "chunk int, counts binary"
     total = np.zeros(1 << SLOT_BITS, np.int64)
-    for row in (texts.mapInArrow(count, schema).repartition("chunk")
-                .mapInArrow(add, schema).toLocalIterator()):
+    sums = stored(texts.mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema),
+                  "sketch")
+    for row in sums.toLocalIterator():
         total[row.chunk * _CHUNK:(row.chunk + 1) * _CHUNK] = np.frombuffer(row.counts, np.int64)
     return total
 
@@ -155,9 +160,9 @@ def signatures(spark: SparkSession, docs: DataFrame, size: int, percent: int, te
     """
     counts = count_sketch(docs.select(F.col(text).cast("binary").alias("text")), size)
     limit = int(counts.mean()) + HOT
-    level = np.frompyfunc(lambda c: int(c).bit_length(), 1, 1)(counts).astype(np.uint8)
+    level = np.ceil(np.log2(counts + 1.0)).astype(np.uint8)
     level[counts > limit] |= 128
-    order = spark.sparkContext.broadcast(level.tobytes())          # 2 MB, whatever the input
+    order = spark.sparkContext.broadcast(level.tobytes())          # 8 MB, whatever the input
 
     def sign(texts: pa.Array) -> pa.Array:
         level = np.frombuffer(order.value, np.uint8)
@@ -197,11 +202,13 @@ def _shared(postings: DataFrame) -> DataFrame:
 
 def _bound(a: str, b: str, percent: int) -> str:
     """SQL: the length and suffix filters let the pair through."""
-    missing = lambda x, y: " + ".join(
-        f"bit_count({x}_bits[{k}] & ~{y}_bits[{k}])" for k in range(MAP_WORDS))
-    overlap = f"least({a}_n - ({missing(a, b)}), {b}_n - ({missing(b, a)}))"
+    def enough(x: str, y: str) -> str:
+        missing = " + ".join(f"bit_count({x}_bits[{k}] & ~{y}_bits[{k}])"
+                             for k in range(MAP_WORDS))
+        return f"{100 + percent} * ({x}_n - ({missing})) >= {percent} * ({a}_n + {b}_n)"
+
     return (f"{percent} * greatest({a}_n, {b}_n) <= 100 * least({a}_n, {b}_n) and "
-            f"{100 + percent} * ({overlap}) >= {percent} * ({a}_n + {b}_n)")
+            f"{enough(a, b)} and {enough(b, a)}")
 
 
 def _named(classes: DataFrame, side: str) -> DataFrame:
@@ -238,6 +245,12 @@ def classes_and_links(docs: DataFrame, text: str = "text", id_column: str = "doc
     """
     spark = docs.sparkSession
     small_batches(spark)
+    with shuffles_removed(spark):
+        return _classes_and_links(spark, docs, text, id_column, size, percent)
+
+
+def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_column: str,
+                       size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"),
                        F.xxhash64(text).alias("_h"))
     signed = signatures(spark, docs, size, percent, "_text", ["_id", "_h"])
@@ -264,7 +277,10 @@ def classes_and_links(docs: DataFrame, text: str = "text", id_column: str = "doc
         """
         wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
                         .join(classes.select("cls", "_id"), "cls"), "wanted")
-        named = docs.join(wanted.select("_id").distinct(), "_id", "left_semi")
+        ids = wanted.select("_id").distinct()
+        if wanted.count() <= BROADCAST_ROWS:
+            ids = F.broadcast(ids)
+        named = docs.join(ids, "_id", "left_semi")
         unnamed = docs.where("_id is null") if wanted.where("_id is null").head(1) else None
         texts = named if unnamed is None else named.unionByName(unnamed)
         return stored(texts.select(whole(F.col("_text").cast("binary")).alias("_s"))
@@ -314,16 +330,19 @@ def classes_and_links(docs: DataFrame, text: str = "text", id_column: str = "doc
                   .where("low < high").select("token"))
     rest = stored(lists.join(open_lists, "token", "left_semi")
                   .join(classes.select("cls", "n", "bits"), "cls"), "open")
+    # The shorter of two sets, b, shares one of its first n - 2 t / (1 + t) n + 1 n-grams.
     a, b = (rest.select(F.col("token").alias(f"{x}_token"), F.col("cls").alias(x),
                         F.col("component").alias(f"{x}_c"), F.col("n").alias(f"{x}_n"),
                         F.col("bits").alias(f"{x}_bits"), F.col("at").alias(f"{x}_at"))
             for x in "ab")
-    attempt(a.join(b, F.expr("a_token = b_token and a < b and a_c <> b_c and "
+    b = b.where(f"b_at <= b_n - ({2 * percent} * b_n + {99 + percent}) div {100 + percent}")
+    # Positional filter: behind the first n-gram in common, enough must be left of both. Where
+    # it fails, either an earlier n-gram is in common or the pair is not similar.
+    enough_left = f"{100 + percent} * least(a_n - a_at, b_n - b_at) >= {percent} * (a_n + b_n)"
+    attempt(a.join(b, F.expr("a_token = b_token and a_c <> b_c and "
+                             "(a_n > b_n or a_n = b_n and a > b) and " + enough_left + " and "
                              + _bound("a", "b", percent)))
-            .groupBy("a", "b", "a_n", "b_n").agg(F.min("a_at").alias("a_at"),
-                                                 F.min("b_at").alias("b_at"))
-            .where(f"{100 + percent} * least(a_n - a_at, b_n - b_at) >= {percent} * (a_n + b_n)")
-            .select("a", "b"))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = (tried.where("linked").select("a", "b") if tried is not None
              else spark.createDataFrame([], "a long, b long"))
     return signed.select("_id", "n", "cls", "_h"), links, found
@@ -356,16 +375,29 @@ def one_of_each(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
 
     Of equal ids the text with the smallest hash stays. Texts without words all stay.
     """
-    has_words = F.coalesce(F.col(text).rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    wordy = docs.where(has_words)
-    members, _, found = classes_and_links(wordy, text, id_column, size, percent)
-    chosen = (members.join(found.withColumnRenamed("node", "cls"), "cls", "left")
-              .groupBy(F.coalesce("component", "cls").alias("component"))
-              .agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_h"))
-                   .alias("_k"))
-              .select(F.col("_k._id").alias("_id"), F.col("_k._h").alias("_h")).distinct())
-    columns = docs.columns
-    kept = (wordy.withColumn("_h", F.xxhash64(text)).join(
-        chosen.withColumnRenamed("_h", "_g"), F.expr(f"`{id_column}` <=> _id and _h = _g"),
-        "left_semi").dropDuplicates([id_column, "_h"]).select(*columns))
-    return kept.unionByName(docs.where(~has_words))
+    whole = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_document"),
+                        col(id_column).alias("doc_id"), col(text).alias("text"),
+                        F.xxhash64(col(text)).alias("_key"))
+    has_words = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    wordy = whole.where(has_words)
+    members, _, found = classes_and_links(wordy, size=size, percent=percent)
+    member = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_h")
+    keyed = (members.join(found.withColumnRenamed("node", "cls"), "cls", "left")
+             .groupBy(F.coalesce("component", "cls").alias("group"), "_id", "_h")
+             .agg(F.count("*").alias("rows")))
+    first = keyed.groupBy("group").agg(F.min(member).alias("first"))
+    # Keys of rows that do not simply stay: those of another row of the group, and those that
+    # stay but stand for several rows, of which one stays.
+    keys = stored(keyed.join(first, "group").withColumn("is_first", member == F.col("first"))
+                  .where("rows > 1 or not is_first")
+                  .select(F.col("_id").alias("_i"), F.col("_h").alias("_g"), "is_first"), "keys")
+    rows = whole.where(has_words).select("_document", "doc_id", "_key")
+    on = F.expr("doc_id <=> _i and _key = _g")
+    several = keys.where("is_first")
+    if keys.count() <= BROADCAST_ROWS:
+        keys, several = F.broadcast(keys), F.broadcast(several)
+    parts = [rows.join(keys, on, "left_anti"),
+             rows.join(several, on, "left_semi").dropDuplicates(["doc_id", "_key"]),
+             whole.where(~has_words)]
+    return (parts[0].select("_document").unionByName(parts[1].select("_document"))
+            .unionByName(parts[2].select("_document")).select("_document.*"))
