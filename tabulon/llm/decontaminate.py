@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.expr import col
 from tabulon.llm.common import mixed, small_batches, windows, word_hashes
-from tabulon.session import stored
+from tabulon.session import BROADCAST_ROWS, stored
 
 #: Words of a shingle.
 SHINGLE = 3
@@ -231,10 +231,12 @@ def hit_counts(hits: DataFrame, table: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text",
                     id_column: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that hold no window, with all their columns."""
-    keyed = docs.select(col(id_column).alias("_id"), F.xxhash64(text).alias("_h"),
-                        col(text).alias("text"))
-    hit = (contamination(keyed, items, window).where("contaminated")
-           .select("_id", "_h").distinct())
-    return (docs.withColumn("_key", F.xxhash64(text))
-            .join(hit, col(id_column).eqNullSafe(F.col("_id"))
-                  & (F.col("_key") == F.col("_h")), "left_anti").drop("_key"))
+    whole = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_document"),
+                        col(id_column).alias("_id"), col(text).alias("text"),
+                        F.xxhash64(col(text)).alias("_h"))
+    hit = stored(contamination(whole.drop("_document"), items, window).where("contaminated")
+                 .select(F.col("_id").alias("_i"), F.col("_h").alias("_g")).distinct(), "hit")
+    if hit.count() <= BROADCAST_ROWS:
+        hit = F.broadcast(hit)
+    return (whole.drop("text").join(hit, F.expr("_id <=> _i and _h = _g"), "left_anti")
+            .select("_document.*"))
