@@ -16,6 +16,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.llm.shared_files import opened
+
 WHITE = b" \t\n\x0b\x0c\r"
 #: A word hash cache of a worker is emptied beyond this many words.
 CACHE_WORDS = 250_000
@@ -110,6 +112,14 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def drop_stored(table: DataFrame) -> None:
+    """Remove the files of a table that ``stored`` has written and nothing reads any more."""
+    folders = {f.rpartition("/")[0] for f in table.inputFiles()}
+    for folder in folders:
+        store, path = opened(folder)
+        store.delete_dir(path)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], per_class: int,
                     id_column: str = "doc_id", label_column: str = "quality",
                     usable: Column | None = None) -> DataFrame:

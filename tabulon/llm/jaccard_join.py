@@ -7,10 +7,10 @@ prefixes are joined.
 1. A sketch of fixed size counts all n-grams of all texts; its counts order them, rare first.
 2. Each text gives its set's hash, size, a bitmap of 1024 bits and its prefix. Equal sets are
    one class. Prefix n-grams that only one class has are dropped.
-3. Rounds of stars: in every list of classes sharing a prefix n-gram, a hub stands for each
-   component found so far and is compared with the hub of the largest hash. Candidates pass the
-   length filter and the suffix filter (bits of one map missing in the other bound the overlap)
-   and are verified on their whole sets. Lists within one component are done.
+3. Rounds of stars: in every list of classes sharing a prefix n-gram, all are compared with a
+   hub; in later rounds a member of each component found so far with one of the largest.
+   Candidates pass the length filter and the suffix filter (bits of one map missing in the other
+   bound the overlap) and are verified on their whole sets.
 4. Last, all classes of different components that share a prefix n-gram are compared, with the
    positional filter on top, so no link that could join two components is missed. A pair is
    verified once: pairs tried before are left out.
@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from tabulon.functions.expr import col
 from tabulon.llm.common import (
     batches,
+    drop_stored,
     mixed,
     shingle_set,
     shuffles_removed,
@@ -53,7 +54,7 @@ MAP_WORDS = 16
 #: adaptive skew handling; the others cannot make a task large.
 HOT = 10_000
 #: Star rounds before the last, exhaustive one.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
 
 
 def text_set(data: bytes | None, size: int) -> np.ndarray:
@@ -71,11 +72,12 @@ def _slot(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def count_sketch(texts: DataFrame, size: int) -> np.ndarray:
-    """Counts of all n-grams by slot. ``texts`` has the column ``text`` of bytes.
+def count_sketch(texts: DataFrame, size: int) -> bytes:
+    """The order of the slots of all n-grams, a byte each: the number of bits of the slot's
+    count, 128 more for a hot one. ``texts`` has the column ``text`` of bytes.
 
-    Every task adds up its texts, then chunks of slots are added up, streaming. The driver gets
-    the 2**23 sums, chunk by chunk.
+    Every task adds up its texts, then chunks of slots are added up, streaming, and turned into
+    bytes. The driver gets the 2**23 bytes, chunk by chunk.
     """
     def count(iterator) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
@@ -97,17 +99,34 @@ def count_sketch(texts: DataFrame, size: int) -> np.ndarray:
             for k, data in zip(batch["chunk"], batch["counts"]):
                 part = np.frombuffer(data, f"<u{len(data) // _CHUNK}")
                 sums[k] = sums.get(k, 0) + part.astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
-                                          pa.array([c.tobytes() for c in sums.values()],
-                                                   pa.binary())], names=["chunk", "counts"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()),
+             pa.array([c.tobytes() for c in sums.values()], pa.binary()),
+             pa.array([int(c.sum()) for c in sums.values()], pa.int64())],
+            names=["chunk", "counts", "total"])
 
     schema = "chunk int, counts binary"
-    total = np.zeros(1 << SLOT_BITS, np.int64)
-    sums = stored(texts.mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema),
-                  "sketch")
-    for row in sums.toLocalIterator():
-        total[row.chunk * _CHUNK:(row.chunk + 1) * _CHUNK] = np.frombuffer(row.counts, np.int64)
-    return total
+    sums = stored(texts.mapInArrow(count, schema).repartition("chunk").mapInArrow(
+        add, schema + ", total long"), "sketch")
+    limit = (sums.agg(F.sum("total")).first()[0] or 0) // (1 << SLOT_BITS) + HOT
+
+    def rank(iterator) -> Iterator[pa.RecordBatch]:
+        for batch in batches(iterator):
+            levels = []
+            for data in batch["counts"]:
+                counts = np.frombuffer(data, np.int64)
+                level = np.ceil(np.log2(counts + 1.0)).astype(np.uint8)
+                level[counts > limit] |= 128
+                levels.append(level.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(batch["chunk"], pa.int32()),
+                                              pa.array(levels, pa.binary())],
+                                             names=["chunk", "counts"])
+
+    levels = bytearray(1 << SLOT_BITS)
+    for row in sums.select("chunk", "counts").mapInArrow(rank, schema).collect():
+        levels[row.chunk * _CHUNK:(row.chunk + 1) * _CHUNK] = row.counts
+    drop_stored(sums)
+    return bytes(levels)
 
 
 def _bitmap(tokens: np.ndarray) -> np.ndarray:
@@ -158,11 +177,8 @@ def signatures(spark: SparkSession, docs: DataFrame, size: int, percent: int, te
     ``prefix`` holds the first n-grams, rare first, as far as sets similar enough must share
     one; ``hot`` is the part of it that many texts have.
     """
-    counts = count_sketch(docs.select(F.col(text).cast("binary").alias("text")), size)
-    limit = int(counts.mean()) + HOT
-    level = np.ceil(np.log2(counts + 1.0)).astype(np.uint8)
-    level[counts > limit] |= 128
-    order = spark.sparkContext.broadcast(level.tobytes())          # 8 MB, whatever the input
+    order = spark.sparkContext.broadcast(                 # 8 MB, whatever the input
+        count_sketch(docs.select(F.col(text).cast("binary").alias("text")), size))
 
     def sign(texts: pa.Array) -> pa.Array:
         level = np.frombuffer(order.value, np.uint8)
@@ -192,11 +208,11 @@ def signatures(spark: SparkSession, docs: DataFrame, size: int, percent: int, te
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings (token, cls, at) of tokens that more than one class has."""
+    """Postings (token, at, cls) of tokens that more than one class has; ``low`` is the least."""
     # All columns are read, so that both sides of the join come from one shuffle.
     ends = (postings.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"),
                                           F.min("at").alias("first"))
-            .where("low < high and first >= 0").select("token"))
+            .where("low < high and first >= 0").select("token", "low"))
     return postings.join(ends.hint("shuffle_hash"), "token").distinct()
 
 
@@ -227,9 +243,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pa.array(out, pa.bool_())
 
     linked = F.arrow_udf(overlap, T.BooleanType())
+    few = F.broadcast(pairs) if pairs.count() <= BROADCAST_ROWS else pairs
+    left = (sets.select(F.col("cls").alias("a"), F.col("tokens").alias("_x")).join(few, "a"))
     return stored(
-        pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("_x")), "a")
-        .join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("_y")), "b")
+        left.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("_y")), "b")
         .select("a", "b", linked("_x", "_y").alias("linked")), "verified")
 
 
@@ -266,6 +283,8 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
                      .join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls")
                      .agg(F.first("n").alias("n"), F.first("bits").alias("bits"),
                           F.min("_id").alias("_id")), "classes")
+    members = stored(signed.select("_id", "_h", "n", "cls"), "members")
+    drop_stored(signed)
     # Not deterministic for the optimizer, which would run it on all texts to look for nulls.
     whole = F.arrow_udf(_whole(size), "struct<cls: bigint, tokens: binary>").asNondeterministic()
 
@@ -277,21 +296,28 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
         """
         wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
                         .join(classes.select("cls", "_id"), "cls"), "wanted")
-        ids = wanted.select("_id").distinct()
+        ids, names = wanted.select("_id").distinct(), wanted.select("cls")
         if wanted.count() <= BROADCAST_ROWS:
-            ids = F.broadcast(ids)
-        named = docs.join(ids, "_id", "left_semi")
-        unnamed = docs.where("_id is null") if wanted.where("_id is null").head(1) else None
-        texts = named if unnamed is None else named.unionByName(unnamed)
-        return stored(texts.select(whole(F.col("_text").cast("binary")).alias("_s"))
-                      .select("_s.*").join(wanted.select("cls"), "cls", "left_semi")
-                      .dropDuplicates(["cls"]), "sets")
+            ids, names = F.broadcast(ids), F.broadcast(names)
+        texts = docs.join(ids, "_id", "left_semi")
+        several = members.join(ids, "_id", "left_semi").groupBy("_id").count().where("count > 1")
+        unnamed = bool(wanted.where("_id is null").head(1))
+        if unnamed:
+            texts = texts.unionByName(docs.where("_id is null"))
+        sets = (texts.select(whole(F.col("_text").cast("binary")).alias("_s"))
+                .select("_s.*").join(names, "cls", "left_semi"))
+        if unnamed or several.limit(1).count():
+            sets = sets.dropDuplicates(["cls"])
+        return stored(sets, "sets")
 
     tried = None
     found = spark.createDataFrame([], "node long, component long")
 
     def with_component(df: DataFrame) -> DataFrame:
-        return (df.join(found.withColumnRenamed("node", "cls"), "cls", "left")
+        known = found.withColumnRenamed("node", "cls")
+        if known.count() <= BROADCAST_ROWS:
+            known = F.broadcast(known)
+        return (df.join(known, "cls", "left")
                 .withColumn("component", F.coalesce("component", "cls")))
 
     def attempt(pairs: DataFrame) -> bool:
@@ -302,7 +328,9 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
         pairs = stored(pairs, "pairs")
         if not pairs.head(1):
             return False
-        result = _verified(pairs, whole_sets(pairs), percent)
+        sets = whole_sets(pairs)
+        result = _verified(pairs, sets, percent)
+        drop_stored(sets)
         tried = result if tried is None else tried.unionByName(result)
         if not result.where("linked").head(1):
             return False
@@ -316,19 +344,26 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
                 .join(_named(classes, "a"), "a").join(_named(classes, "b"), "b")
                 .where(_bound("a", "b", percent)).select("a", "b"))
 
-    for _ in range(STAR_ROUNDS):
+    pairs = shared.select(F.col("cls").alias("a"), F.col("low").alias("b"))
+    for k in range(1, STAR_ROUNDS + 1):
+        if not attempt(filtered(pairs)):
+            break
+        # Another member stands for a component in each round, and the largest is the hub.
+        mask = F.xxhash64(F.lit(k))
         hubs = (with_component(shared).groupBy("token", "component")
-                .agg(F.min("cls").alias("cls")))
-        low = (hubs.groupBy("token").agg(F.min("cls").alias("hub"), F.count("*").alias("k"))
+                .agg(F.min(F.col("cls").bitwiseXOR(mask)).alias("least"),
+                     F.count("*").alias("size"))
+                .select("token", "size", F.col("least").bitwiseXOR(mask).alias("cls"))
+                .repartition("token"))
+        hub = (hubs.groupBy("token").agg(F.max_by("cls", "size").alias("hub"),
+                                         F.count("*").alias("k"))
                .where("k > 1").select("token", "hub"))
-        if not attempt(filtered(hubs.join(low, "token")
-                                .select(F.col("cls").alias("a"), F.col("hub").alias("b")))):
-            break
+        pairs = hubs.join(hub, "token").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     lists = with_component(shared)
     open_lists = (lists.groupBy("token")
                   .agg(F.min("component").alias("low"), F.max("component").alias("high"))
                   .where("low < high").select("token"))
-    rest = stored(lists.join(open_lists, "token", "left_semi")
+    rest = stored(lists.drop("low").join(open_lists, "token", "left_semi")
                   .join(classes.select("cls", "n", "bits"), "cls"), "open")
     # The shorter of two sets, b, shares one of its first n - 2 t / (1 + t) n + 1 n-grams.
     a, b = (rest.select(F.col("token").alias(f"{x}_token"), F.col("cls").alias(x),
@@ -345,7 +380,7 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = (tried.where("linked").select("a", "b") if tried is not None
              else spark.createDataFrame([], "a long, b long"))
-    return signed.select("_id", "n", "cls", "_h"), links, found
+    return members, links, found
 
 
 def near_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id", size: int = 5,
