@@ -10,7 +10,7 @@ Spark over the host's different pages, and subtrees on at least ``share`` of the
 other prose are never deleted this way: a sentence that many articles have is still part of each.
 
 A hot host is no task's load: hashes are counted by (host, hash) after partial sums, and pages
-are joined with the templates they hold by page.
+are joined with the list of their host's templates, broadcast behind a check of its rows.
 
 Defined results: null and empty pages, and pages without text, give empty text. A page without a
 host counts under an empty host. Repeated rows give the same text each. Other columns go.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.llm.common import small_batches
-from tabulon.session import stored
+from tabulon.session import BROADCAST_ROWS, stored
 
 MIN_PAGES = 5
 SHARE = 0.5
@@ -360,12 +360,15 @@ def main_text(pages: DataFrame, html_column: str = "html", url: str = "url",
         .withColumn("_row", F.monotonically_increasing_id()), "parsed")
     held = F.array_distinct(F.flatten(F.col("blocks.held")))
     elements = parsed.select("_row", "host", "signature", F.explode_outer(held).alias("subtree"))
-    templates = stored(site_templates(elements.drop("_row"), min_pages, share), "templates")
-    gone = (elements.where("subtree is not null").join(templates, ["host", "subtree"])
-            .groupBy("_row").agg(F.collect_set("subtree").alias("gone")))
+    # A host has few templates: each is on ``share`` of its pages, so there are at most
+    # 1 / share times as many as elements on its mean page.
+    templates = stored(site_templates(elements.drop("_row"), min_pages, share).groupBy("host")
+                       .agg(F.collect_list("subtree").alias("gone")), "templates")
+    if templates.count() <= BROADCAST_ROWS:
+        templates = F.broadcast(templates)
     kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["held"], F.col("gone")),
                                                     F.lit(False)))
-    return (parsed.join(gone, "_row", "left").withColumn("kept", kept)
+    return (parsed.join(templates, "host", "left").withColumn("kept", kept)
             .select(F.col("_id").alias(id_column), F.col("_url").alias(url),
                     F.array_join(F.col("kept.text"), " ").alias("text"),
                     (F.size("blocks") - F.size("kept")).alias("n_removed"))
