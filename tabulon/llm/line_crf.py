@@ -248,14 +248,15 @@ def fit_lines(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CL
     The features are counted in Spark; the driver gets those of at most ``2 * per_class``
     documents of at most ``SAMPLE_LINES`` lines each.
     """
-    kind = T.StructType([T.StructField("rows", T.ArrayType(T.ArrayType(T.DoubleType()))),
-                         T.StructField("sizes", T.ArrayType(T.LongType()))])
+    kind = T.StructType([T.StructField("rows", T.BinaryType()),
+                         T.StructField("sizes", T.BinaryType())])
 
     def features(texts: pa.Array) -> pa.Array:
         both = [text_lines(x) for x in texts.to_pylist()]
         return pa.StructArray.from_arrays(
-            [pa.array([r for r, _ in both], pa.list_(pa.list_(pa.float64()))),
-             pa.array([s for _, s in both], pa.list_(pa.int64()))], names=["rows", "sizes"])
+            [pa.array([np.array(r, "<f8").tobytes() for r, _ in both], pa.binary()),
+             pa.array([np.array(s, "<f8").tobytes() for _, s in both], pa.binary())],
+            names=["rows", "sizes"])
 
     sample = (labelled_sample(docs, labels, ["text"], per_class, usable=usable)
               .where(f"length(text) - length(replace(text, '\\n', '')) < {SAMPLE_LINES}")
@@ -267,9 +268,9 @@ def fit_lines(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CL
     if not len(good) or good.all() or not good.any():
         return LineModel((0.0,) * (3 * len(FEATURES) + 3), ((0.0, 0.0), (0.0, 0.0)),
                          (0.0, 0.0), 0.5)
-    model = train(np.array([x for r in sample for x in r["rows"]]),
-                  np.array([x for r in sample for x in r["sizes"]], float),
-                  np.array([len(r["rows"]) for r in sample], np.int64), good)
+    model = train(np.frombuffer(b"".join(r["rows"] for r in sample)).reshape(-1, len(FEATURES)),
+                  np.frombuffer(b"".join(r["sizes"] for r in sample)),
+                  np.array([len(r["sizes"]) // 8 for r in sample], np.int64), good)
     known = labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("label"))
     if usable is not None:
         known = known.where(usable)
