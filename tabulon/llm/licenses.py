@@ -15,14 +15,19 @@ A window can agree in a band only if it holds the template's minimum, so minima
 windows around those few shingles alone. The templates are a list of the library, a few hundred
 band keys in all; nothing that grows with the documents is broadcast.
 
-Defined results: null and empty texts, and texts of fewer than five words, have no notice.
-Repeated rows have a row each. A template of fewer than five words is an error.
+A notice of fewer than five words has no shingle; it is a phrase, found wherever its words stand
+in a row, and comes back in columns of its own.
+
+Defined results: null and empty texts have no notice, and texts of fewer than five words none but
+phrases. Repeated rows have a row each. A template of fewer than five words is an error.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +77,10 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
 
+#: The same for notices of fewer than five words.
+PHRASES = {"all-rights-reserved": "All rights reserved"}
+
+_SPANS = "array<struct<template: string, at: int, held: int>>"
 _NOT_WORD = "[^\\p{L}\\p{N}]+"
 
 
@@ -135,21 +144,43 @@ def band_keys(table: DataFrame) -> DataFrame:
             .withColumn("key", F.col("least").bitwiseXOR(F.col("mask"))))
 
 
+def _phrase_spans(phrases: dict[str, str], word_array: str) -> Column:
+    """(template, at, held) wherever the words of a phrase stand in a row; ``held`` is 1."""
+    def places(name: str, w: list[str]) -> Column:
+        # Behind the end of the array ``get`` gives null, which is no match.
+        at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(word_array) - len(w), F.lit(0))),
+                      lambda i: reduce(and_, (F.get(word_array, i + k) == F.lit(x)
+                                              for k, x in enumerate(w))))
+        return F.transform(at, lambda i: F.struct(
+            F.lit(name).alias("template"), i.alias("at"), F.lit(1).alias("held")))
+
+    found = {name: template_words(text) for name, text in phrases.items()}
+    for name, w in found.items():
+        if not w:
+            raise ValueError(f"phrase {name} has no words")
+    return F.sort_array(F.concat(F.expr(f"cast(array() as {_SPANS})"),
+                                 *[places(name, w) for name, w in found.items()]))
+
+
 def notices(docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text",
-            id_column: str = "doc_id") -> DataFrame:
-    """Per document: id, ``n_words``, ``licenses`` (sorted names) and ``spans``.
+            id_column: str = "doc_id", phrases: dict[str, str] | None = None) -> DataFrame:
+    """Per document: id, ``n_words``, ``licenses`` (sorted names), ``spans``, and the same of
+    short notices as ``phrases`` and ``phrase_spans``.
 
     A span is (template, at, held): the window's first shingle and how many of the template's
-    shingles it holds; of overlapping windows that hold a template each has a span.
+    shingles it holds; of overlapping windows that hold a template each has a span. That of a
+    phrase is its first word.
     """
+    short = _phrase_spans(PHRASES if phrases is None else phrases, "_w")
     spark = docs.sparkSession
     keys = stored(band_keys(template_table(spark, templates or TEMPLATES)), "band_keys")
     wanted = [r["key"] for r in keys.select("key").distinct().collect()]   # bounded by the list
     literals = F.array(*[F.lit(k) for k in wanted])
     hashed = (docs.select(F.col(id_column).alias("_id"), words(col(text)).alias("_w"))
-              .select("_id", F.size("_w").alias("n_words"), shingles("_w").alias("_h")))
+              .select("_id", F.size("_w").alias("n_words"), shingles("_w").alias("_h"),
+                      short.alias("phrase_spans")))
     base = stored(hashed.select(
-        "_id", "n_words", F.when(F.arrays_overlap("_h", literals), F.col("_h")).alias("_h"))
+        "_id", "n_words", "phrase_spans", F.when(F.arrays_overlap("_h", literals), F.col("_h")).alias("_h"))
         .withColumn("_row", F.monotonically_increasing_id()), "shingles")
     at = F.filter(F.transform("_h", lambda x, i: F.when(x.isin(wanted), i)),
                   lambda i: i.isNotNull())
@@ -169,8 +200,10 @@ def notices(docs: DataFrame, templates: dict[str, str] | None = None, text: str
                 .distinct())
     spans = verified.groupBy("_row").agg(
         F.sort_array(F.collect_list(F.struct("template", "at", "held"))).alias("spans"))
-    empty = F.expr("cast(array() as array<struct<template: string, at: int, held: int>>)")
-    return (base.select("_row", "_id", "n_words").join(spans, "_row", "left")
+    empty = F.expr(f"cast(array() as {_SPANS})")
+    return (base.select("_row", "_id", "n_words", "phrase_spans").join(spans, "_row", "left")
             .withColumn("spans", F.coalesce("spans", empty))
             .select(F.col("_id").alias(id_column), "n_words",
-                    F.array_sort(F.array_distinct("spans.template")).alias("licenses"), "spans"))
+                    F.array_sort(F.array_distinct("spans.template")).alias("licenses"), "spans",
+                    F.array_sort(F.array_distinct("phrase_spans.template")).alias("phrases"),
+                    "phrase_spans"))

@@ -80,6 +80,15 @@ def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"))
 
 
+def op8_license_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """The same scan with short notices, which the SQL of ``op8_license_scans`` leaves out."""
+    names = F.array_sort(F.array_union("licenses", "phrases"))
+    return licenses.notices(read_table(spark, sf, "documents")).select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"),
+        F.array_join(names, ",").alias("licenses"),
+        (F.size("spans") + F.size("phrase_spans")).cast("long").alias("n_spans"))
+
+
 def op9_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html_main.main_text(read_table(spark, sf, "pages")).drop("n_removed")
 
@@ -93,4 +102,5 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_classifier, op3_chat_formatting, op4_jaccard_join, op5_packing,
-    op6_lm_scoring, op7_quality_rules, op8_license_scans, op9_html_extraction, op10_token_files)}
+    op6_lm_scoring, op7_quality_rules, op8_license_scans, op8_license_phrases, op9_html_extraction,
+    op10_token_files)}

@@ -99,6 +99,21 @@ from docs left join found using (r)
 """
 
 
+def _phrase_sql() -> str:
+    """The scan's spans and the places of short notices together."""
+    rows = ", ".join(f"('{name}', {licenses.template_words(text)!r})"
+                     for name, text in licenses.PHRASES.items())
+    more = f"""both_kinds as (
+  select r, template, k from spans
+  union all
+  select r, template, k
+  from docs, (values {rows}) p(template, pw), unnest(range(1, len(w) - len(pw) + 2)) t(k)
+  where w[k:k + len(pw) - 1] = pw),
+found as ("""
+    return (_license_sql().replace("found as (", more, 1)
+            .replace("from spans group by r)", "from both_kinds group by r)", 1))
+
+
 CHAT = r"""
 with recursive given as (
   select distinct conv_id, turn, text from conversations),
@@ -154,4 +169,5 @@ SQL = {
     "op3_chat_formatting": CHAT,
     "op4_jaccard_join": JACCARD,
     "op8_license_scans": _license_sql(),
+    "op8_license_phrases": _phrase_sql(),
 }

@@ -86,3 +86,28 @@ def test_long_text(spark, long_text):
 def test_short_templates_are_refused(spark, edges):
     with pytest.raises(ValueError):
         licenses.notices(edges, {"x": "all rights reserved"})
+
+
+def test_short_notices_are_found_as_phrases(spark, no_docs):
+    rows = [(1, "Some text. All rights reserved. And all  RIGHTS-reserved"), (2, "all rights"),
+            (3, "all rights were reserved"), (4, None), (5, "All rights reserved."), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["phrase_spans"]]
+             for r in licenses.notices(df).collect()}
+    name = "all-rights-reserved"
+    assert found == {1: [(name, 2, 1), (name, 6, 1)], 2: [], 3: [], 4: [], 5: [(name, 0, 1)], 6: []}
+    assert licenses.notices(no_docs).count() == 0
+    with pytest.raises(ValueError):
+        licenses.notices(df, phrases={"x": "..."})
+
+
+def test_reserved_rights_of_the_table(spark, sf_dir):
+    from tabulon.llm import queries
+
+    found = {r["doc_id"]: r["licenses"] for r in
+             queries.op8_license_phrases(spark, sf_dir).collect()}
+    plain = {r["doc_id"]: r["licenses"] for r in queries.op8_license_scans(spark, sf_dir).collect()}
+    for r in queries.read_table(spark, sf_dir, "documents").collect():
+        reserved = " all rights reserved " in f" {' '.join(words(r['text']))} "
+        assert ("all-rights-reserved" in found[r["doc_id"]].split(",")) == reserved
+        assert found[r["doc_id"]].replace("all-rights-reserved", "").strip(",") == plain[r["doc_id"]]
