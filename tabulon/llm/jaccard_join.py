@@ -1,4 +1,4 @@
-"""Near copies by an exact Jaccard join on word n-grams, and their groups.
+"""Near copies by an exact Jaccard join on word n-grams, their links and their groups.
 
 A text's set are the hashes of its distinct runs of five words. Sets in one order, rare n-grams
 first, can only be similar enough if they share one of their first few n-grams, so only those
@@ -7,15 +7,22 @@ prefixes are joined.
 1. A sketch of fixed size counts all n-grams of all texts; its counts order them, rare first.
 2. Each text gives its set's hash, size, a bitmap of 1024 bits and its prefix. Equal sets are
    one class. Prefix n-grams that only one class has are dropped.
+3. All classes that share a prefix n-gram are compared. Candidates pass the length filter, the
+   positional filter and the suffix filter (bits of one map missing in the other bound the
+   overlap) and are verified once, on their whole sets. So every link of two different sets is
+   found; equal sets link by their class.
+
+Where only the groups are asked for, steps take the place of the last one that leave most pairs
+of a group out:
+
 3. Rounds of stars: in every list of classes sharing a prefix n-gram, all are compared with a
    hub; in later rounds a member of each component found so far with one of the largest.
-   Candidates pass the length filter and the suffix filter (bits of one map missing in the other
-   bound the overlap) and are verified on their whole sets.
+   Candidates pass the length filter and the suffix filter and are verified.
 4. Last, all classes of different components that share a prefix n-gram are compared, with the
    positional filter on top, so no link that could join two components is missed. A pair is
    verified once: pairs tried before are left out.
 
-Links inside a component already joined are not verified; the groups do not depend on them.
+Links inside a component already joined are then not verified; the groups do not depend on them.
 
 Hashes have 64 bits: two different n-grams of a text, or two different sets, count as one with
 a probability of 2**-64.
@@ -251,23 +258,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def classes_and_links(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
-                      size: int = 5, percent: int = 75
+                      size: int = 5, percent: int = 75, every_link: bool = True
                       ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(membership, links, class components).
 
     ``membership`` has a row per document: ``_id``, ``n`` (set size), ``cls`` (null if empty)
     and ``_h``, the hash of its text.
-    ``links`` are verified pairs of classes (a, b) that join all of each component.
+    ``links`` are all pairs of classes (a, b) similar enough, each once; without ``every_link``
+    only verified pairs that join all of each component.
     ``components`` is (node, component) for the classes that have a link.
     """
     spark = docs.sparkSession
     small_batches(spark)
     with shuffles_removed(spark):
-        return _classes_and_links(spark, docs, text, id_column, size, percent)
+        return _classes_and_links(spark, docs, text, id_column, size, percent, every_link)
 
 
 def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_column: str,
-                       size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+                       size: int, percent: int, every_link: bool
+                       ) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"),
                        F.xxhash64(text).alias("_h"))
     signed = signatures(spark, docs, size, percent, "_text", ["_id", "_h"])
@@ -345,7 +354,7 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
                 .where(_bound("a", "b", percent)).select("a", "b"))
 
     pairs = shared.select(F.col("cls").alias("a"), F.col("low").alias("b"))
-    for k in range(1, STAR_ROUNDS + 1):
+    for k in range(1, (0 if every_link else STAR_ROUNDS) + 1):
         if not attempt(filtered(pairs)):
             break
         # Another member stands for a component in each round, and the largest is the hub.
@@ -359,12 +368,13 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
                                          F.count("*").alias("k"))
                .where("k > 1").select("token", "hub"))
         pairs = hubs.join(hub, "token").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
-    lists = with_component(shared)
-    open_lists = (lists.groupBy("token")
-                  .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                  .where("low < high").select("token"))
-    rest = stored(lists.drop("low").join(open_lists, "token", "left_semi")
-                  .join(classes.select("cls", "n", "bits"), "cls"), "open")
+    lists = with_component(shared).drop("low")
+    if not every_link:
+        open_lists = (lists.groupBy("token")
+                      .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                      .where("low < high").select("token"))
+        lists = lists.join(open_lists, "token", "left_semi")
+    rest = stored(lists.join(classes.select("cls", "n", "bits"), "cls"), "open")
     # The shorter of two sets, b, shares one of its first n - 2 t / (1 + t) n + 1 n-grams.
     a, b = (rest.select(F.col("token").alias(f"{x}_token"), F.col("cls").alias(x),
                         F.col("component").alias(f"{x}_c"), F.col("n").alias(f"{x}_n"),
@@ -374,7 +384,8 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
     # Positional filter: behind the first n-gram in common, enough must be left of both. Where
     # it fails, either an earlier n-gram is in common or the pair is not similar.
     enough_left = f"{100 + percent} * least(a_n - a_at, b_n - b_at) >= {percent} * (a_n + b_n)"
-    attempt(a.join(b, F.expr("a_token = b_token and a_c <> b_c and "
+    apart = "" if every_link else "a_c <> b_c and "
+    attempt(a.join(b, F.expr("a_token = b_token and " + apart +
                              "(a_n > b_n or a_n = b_n and a > b) and " + enough_left + " and "
                              + _bound("a", "b", percent)))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
@@ -385,23 +396,32 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
 
 def near_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id", size: int = 5,
                 percent: int = 75) -> DataFrame:
-    """Per document: id, ``n_shingles``, ``component_id`` and ``text_hash`` (xxhash64).
+    """Per document: id, ``n_shingles``, ``component_id``, ``text_hash`` (xxhash64), ``n_links``.
 
+    ``n_links`` is the number of other documents similar enough to it, equal ones included.
     ``component_id`` is the smallest id reachable by links, its own included. Null and empty
     texts, and texts of white space, have no n-grams and reach only themselves; a text with
     fewer words than ``size`` is one n-gram. Null ids never become a component id unless all of
     a component are null. Repeated rows are separate documents that link.
     """
-    members, _, found = classes_and_links(docs, text, id_column, size, percent)
+    members, links, found = classes_and_links(docs, text, id_column, size, percent)
     grouped = (members.where("cls is not null")
                .join(found.withColumnRenamed("node", "cls"), "cls", "left")
                .withColumn("component", F.coalesce("component", "cls")))
     smallest = grouped.groupBy("component").agg(F.min("_id").alias("component_id"))
+    # A document links to the others of its class and to all of the classes linked with it.
+    sizes = members.where("cls is not null").groupBy("cls").agg(F.count("*").alias("size"))
+    linked = (links.select(F.col("a").alias("of"), F.col("b").alias("cls"))
+              .unionByName(links.select(F.col("b").alias("of"), F.col("a").alias("cls")))
+              .join(sizes, "cls").groupBy(F.col("of").alias("cls"))
+              .agg(F.sum("size").alias("others")))
+    counts = sizes.join(linked, "cls", "left").select(
+        "cls", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     columns = [F.col("_id").alias(id_column), F.col("n").alias("n_shingles"), "component_id",
-               F.col("_h").alias("text_hash")]
-    return (grouped.join(smallest, "component").select(*columns)
+               F.col("_h").alias("text_hash"), "n_links"]
+    return (grouped.join(counts, "cls").join(smallest, "component").select(*columns)
             .unionByName(members.where("cls is null").withColumn("component_id", F.col("_id"))
-                         .select(*columns)))
+                         .withColumn("n_links", F.lit(0).cast("long")).select(*columns)))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", id_column: str = "doc_id", size: int = 5,
@@ -415,7 +435,7 @@ def one_of_each(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
                         F.xxhash64(col(text)).alias("_key"))
     has_words = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
     wordy = whole.where(has_words)
-    members, _, found = classes_and_links(wordy, size=size, percent=percent)
+    members, _, found = classes_and_links(wordy, size=size, percent=percent, every_link=False)
     member = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_h")
     keyed = (members.join(found.withColumnRenamed("node", "cls"), "cls", "left")
              .groupBy(F.coalesce("component", "cls").alias("group"), "_id", "_h")

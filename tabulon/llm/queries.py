@@ -70,6 +70,12 @@ def op3_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop(
+        "text_hash", "n_links")
+
+
+def op4_link_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same join with the number of links, which the SQL of ``op4_jaccard_join`` leaves out."""
     return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop("text_hash")
 
 
@@ -101,6 +107,6 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_quality_classifier, op3_chat_formatting, op4_jaccard_join, op5_packing,
-    op6_lm_scoring, op7_quality_rules, op8_license_scans, op8_license_phrases, op9_html_extraction,
-    op10_token_files)}
+    op1_decontaminate, op2_quality_classifier, op3_chat_formatting, op4_jaccard_join,
+    op4_link_counts, op5_packing, op6_lm_scoring, op7_quality_rules, op8_license_scans,
+    op8_license_phrases, op9_html_extraction, op10_token_files)}

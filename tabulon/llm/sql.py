@@ -62,6 +62,11 @@ join (select a as r, min(doc_id) as m from reached join docs on docs.r = reached
   using (r)
 """
 
+LINK_COUNTS = JACCARD.replace(
+    "m as component_id", "m as component_id, coalesce(l, 0) as n_links") + """
+left join (select a as r, count(*) as l from links group by a) using (r)
+"""
+
 
 def _license_sql() -> str:
     rows = []
@@ -168,6 +173,7 @@ SQL = {
     "op1_decontaminate": DECONTAMINATE,
     "op3_chat_formatting": CHAT,
     "op4_jaccard_join": JACCARD,
+    "op4_link_counts": LINK_COUNTS,
     "op8_license_scans": _license_sql(),
     "op8_license_phrases": _phrase_sql(),
 }

@@ -74,6 +74,29 @@ def test_chains_at_the_threshold(spark):
     check(spark, rows)
 
 
+def test_every_link_of_a_group_counts(spark, docs, edges):
+    """All pairs, those inside a group that other links already join included."""
+    rng = random.Random(8)
+    rows, n = [], 0
+    for k in range(6):
+        words = [f"g{k}x{i}" for i in range(200)]
+        for _ in range(3 + 3 * k):                     # different texts, all above 0.75
+            other = list(words)
+            other[rng.randrange(200)] = f"y{n}"
+            rows += [(n, " ".join(other))] * rng.choice([1, 1, 2])
+            n += 1
+    for given in (rows, [tuple(r) for r in docs.select("doc_id", "text").collect()],
+                  [tuple(r) for r in edges.select("doc_id", "text").collect()]):
+        sets = [set(jaccard_join.text_set((t or "").encode(), 5).tolist()) for _, t in given]
+        want = [(given[i][0], sum(
+            1 for k, y in enumerate(sets)
+            if k != i and x and y and 100 * len(x & y) >= 75 * len(x | y)))
+            for i, x in enumerate(sets)]
+        df = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+        got = [(r["doc_id"], r["n_links"]) for r in jaccard_join.near_copies(df).collect()]
+        assert sorted(got, key=key) == sorted(want, key=key)
+
+
 def test_hot_tokens_take_the_other_path(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT", 3)
     base = [f"b{i}" for i in range(50)]
