@@ -1,4 +1,4 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark and mapped by workers.
+"""An interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark and mapped by workers.
 
 Counting, each step balanced by a hash of what it counts, with sums taken before any shuffle:
 
@@ -19,6 +19,11 @@ The probability of word w after v, with n(vw) the pair's count and n(v) the word
 the different words before w, D and E are the discounts for counts 1, 2 and 3 or more, and g and
 h hand on what was taken. An unseen v gives P(w); an unseen w shares ``h / (V + 1)``.
 
+That is order 2. With order 3, triples are counted before pairs, and n(vw) is the number of
+different words before the pair, n(v) the sum of these. The probability of w after u and v is
+``(n(uvw) - D') / n(uv) + g(uv) * P(w after v)``, or P(w after v) if uv was not seen. Triples lie
+in files by the hash of (u, v), so what follows a pair is added up in one task.
+
 Defined results: a null or empty text is its end alone; texts score whether or not they were
 learned from; repeated rows count as often as they occur; without training texts the score is
 that of the uniform distribution over one word. Words are told apart by 64-bit hashes.
@@ -43,7 +48,7 @@ from tabulon.llm.common import (
     word_hashes,
     worker_state,
 )
-from tabulon.llm.shared_files import mapped, write_file
+from tabulon.llm.shared_files import mapped, read_file, write_file
 from tabulon.session import scratch_path, stored
 
 #: Pairs or words that a task gathers before it adds them up and hands them on.
@@ -268,6 +273,108 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
                  ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, d3)))
 
 
+#: Files of a bucket of triples: contexts seen once, the others and what follows them, triples.
+TRIPLE_FILES = {"single": "<u8", "several": "<u8", "total": "<u4", "n1": "<u4", "n2": "<u4",
+                "n3": "<u4", "once": "<u8", "more": "<u8", "count": "<u4"}
+
+
+def _triple_hashes(contexts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return mixed(contexts + (ids.astype(np.uint64) + np.uint64(1))
+                 * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _summed_triples(contexts: np.ndarray, ids: np.ndarray, counts: np.ndarray):
+    order = np.lexsort((ids, contexts))
+    contexts, ids, counts = contexts[order], ids[order], counts[order]
+    starts = np.flatnonzero(np.concatenate(
+        [[True], (contexts[1:] != contexts[:-1]) | (ids[1:] != ids[:-1])]))
+    return contexts[starts], ids[starts], np.add.reduceat(counts, starts)
+
+
+def _triples(texts: DataFrame, vocabulary: Vocabulary, folder: str, buckets: int) -> DataFrame:
+    """Count triples into files by the hash of their first two words; passes on pairs.
+
+    A pair (v, w) comes back with the number of different words before it, in parts like those
+    of counted pairs. A text has two starts before it.
+    """
+    start, bounds = vocabulary.size, _bounds(buckets)
+
+    def count(iterator) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+
+        def flush():
+            contexts, words = (np.concatenate(x) for x in zip(*waiting))
+            contexts, words, counts = _summed_triples(contexts, words,
+                                                      np.ones(len(words), np.int64))
+            edges = [0, *np.searchsorted(contexts, bounds).tolist(), len(contexts)]
+            rows = [(b, x, y) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _, _ in rows], pa.int32())] +
+                [pa.array([a[x:y].tobytes() for _, x, y in rows], pa.binary())
+                 for a in (contexts, words.astype("<u4"),
+                           np.minimum(counts, (1 << 32) - 1).astype("<u4"))],
+                names=["bucket", "keys", "words", "counts"])
+
+        for batch in iterator:
+            hashes = [word_hashes().of(text_words(x)) for x in batch.column(0).to_pylist()]
+            if not hashes:
+                continue
+            ids, _ = vocabulary.lookup(np.concatenate(hashes), with_counts=False)
+            first = np.cumsum([0, *[len(h) for h in hashes[:-1]]])
+            previous = np.roll(ids, 1)
+            previous[first] = start
+            earlier = np.roll(previous, 1)
+            earlier[first] = start
+            waiting.append((mixed((earlier.astype(np.uint64) << np.uint64(32))
+                                  | previous.astype(np.uint64)), ids))
+            n += len(ids)
+            if n > GATHER:
+                yield flush()
+                waiting, n = [], 0
+        if waiting:
+            yield flush()
+
+    def add(iterator) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in iterator:
+            for b, *data in zip(*(c.to_pylist() for c in batch.columns)):
+                new = [np.frombuffer(x, t).astype(u) for x, t, u in
+                       zip(data, ("<u8", "<u4", "<u4"), (np.uint64, np.int64, np.int64))]
+                held = sums.setdefault(b, [[], 0, 0])
+                held[0].append(new)
+                held[1] += len(new[0])
+                if held[1] > max(held[2], GATHER):
+                    whole = _summed_triples(*(np.concatenate(x) for x in zip(*held[0])))
+                    sums[b] = [[whole], 0, len(whole[0])]
+        for b, (parts, _, _) in sums.items():
+            contexts, words, counts = _summed_triples(
+                *(np.concatenate(x) for x in zip(*parts)))
+            starts = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))
+            each = {"total": np.add.reduceat(counts, starts)}
+            for k, is_k in (("n1", counts == 1), ("n2", counts == 2), ("n3", counts > 2)):
+                each[k] = np.add.reduceat(is_k.astype(np.int64), starts)
+            several = each["total"] > 1
+            hashes = _triple_hashes(contexts, words)
+            order = np.argsort(hashes)
+            hashes, sorted_counts = hashes[order], counts[order]
+            again = sorted_counts > 1
+            files = {"single": contexts[starts][~several], "several": contexts[starts][several],
+                     **{k: np.minimum(x[several], (1 << 32) - 1) for k, x in each.items()},
+                     "once": hashes[~again], "more": hashes[again],
+                     "count": np.minimum(sorted_counts[again], (1 << 32) - 1)}
+            for k, x in files.items():
+                write_file(f"{folder}/triples-{b:06d}.{k}", x.astype(TRIPLE_FILES[k]).tobytes())
+            write_file(f"{folder}/triples-{b:06d}.sums", np.array(
+                [(counts == k).sum() for k in (1, 2, 3, 4)], "<i8").tobytes())
+            pairs, n = np.unique(mixed(((unmixed(contexts) & np.uint64(0xFFFFFFFF))
+                                        << np.uint64(32)) | words.astype(np.uint64)),
+                                 return_counts=True)
+            yield _binary(_split(pairs, n, bounds))
+
+    return (texts.mapInArrow(count, "bucket int, keys binary, words binary, counts binary")
+            .repartition(buckets, "bucket").mapInArrow(add, _PARTS))
+
+
 @dataclass(frozen=True)
 class BigramModel:
     """The files of a model and the few numbers that go with them."""
@@ -279,6 +386,8 @@ class BigramModel:
     word_discounts: tuple[float, float, float]
     pair_types: int
     left_over: float
+    order: int = 2
+    triple_discounts: tuple[float, float, float] = (0.5, 0.5, 0.5)
 
     def _maps(self):
         def load():
@@ -289,7 +398,8 @@ class BigramModel:
                     Parts([f"{u}.more" for u in urls], "<u8"),
                     Parts([f"{u}.count" for u in urls], "<u4"), _bounds(self.buckets),
                     Parts([f"{u}.backoff" for u in blocks], "<f4"),
-                    Parts([f"{u}.before" for u in blocks], "<i8"))
+                    Parts([f"{u}.before" for u in blocks], "<i8"),
+                    Parts([f"{u}.total" for u in blocks], "<i8") if self.order > 2 else None)
         return worker_state(self.folder + "/pairs", load)
 
     def _per_word(self, parts: Parts, ids: np.ndarray, missing: float) -> np.ndarray:
@@ -302,11 +412,13 @@ class BigramModel:
     def log10_probabilities(self, ids: np.ndarray, n: np.ndarray, counts: list[int],
                             texts_learned: int) -> np.ndarray:
         """log10 P of every token; ``n`` holds the tokens' own counts."""
-        once, more, times, bounds, backoff, before = self._maps()
+        once, more, times, bounds, backoff, before, totals = self._maps()
         start = self.vocabulary.size
         first = np.cumsum([0, *counts[:-1]])
         previous, previous_n = np.roll(ids, 1), np.roll(n, 1).astype(float)
         previous[first], previous_n[first] = start, texts_learned
+        if self.order > 2:
+            previous_n = self._per_word(totals, previous, 0.0)
         keys = mixed((np.maximum(previous, 0).astype(np.uint64) << np.uint64(32))
                      | np.maximum(ids, 0).astype(np.uint64))
         unique, inverse = np.unique(keys, return_inverse=True)
@@ -323,18 +435,69 @@ class BigramModel:
         weight = self._per_word(backoff, previous, 1.0)
         with np.errstate(divide="ignore", invalid="ignore"):
             upper = np.where(seen > 0, (seen - d) / np.maximum(previous_n, 1), 0.0)
-        return np.log10(upper + weight * lower)
-
+        p = upper + weight * lower
+        if self.order > 2:
+            p = self._with_triples(p, ids, previous, first)
+        return np.log10(p)
 
-def fit_bigrams(texts: DataFrame) -> tuple[BigramModel, int]:
-    """(model, number of texts) learned from the column ``text`` of bytes."""
+    def _triple_maps(self):
+        def load():
+            urls = [f"{self.folder}/triples-{b:06d}" for b in range(self.buckets)]
+            return {k: Parts([f"{u}.{k}" for u in urls], t) for k, t in TRIPLE_FILES.items()}
+        return worker_state(self.folder + "/triples", load)
+
+    def _with_triples(self, lower: np.ndarray, ids: np.ndarray, previous: np.ndarray,
+                      first: np.ndarray) -> np.ndarray:
+        """Probabilities after two words; ``lower`` holds those after one."""
+        maps, bounds = self._triple_maps(), _bounds(self.buckets)
+        earlier = np.roll(previous, 1)
+        earlier[first] = self.vocabulary.size
+        known = (earlier >= 0) & (previous >= 0)
+        context = mixed((np.maximum(earlier, 0).astype(np.uint64) << np.uint64(32))
+                        | np.maximum(previous, 0).astype(np.uint64))
+        unique, inverse = np.unique(context, return_inverse=True)
+        file = np.searchsorted(bounds, unique, side="right")
+        place = maps["several"].find(unique, bounds)
+        hit = place >= 0
+        # A context seen once has one word that was seen once.
+        total = (maps["single"].find(unique, bounds) >= 0).astype(float)
+        taken = self.triple_discounts[0] * total
+        total[hit] = maps["total"].take(place[hit], file[hit])
+        taken[hit] = sum(d * maps[k].take(place[hit], file[hit])
+                         for d, k in zip(self.triple_discounts, ("n1", "n2", "n3")))
+        total, taken = np.where(known, total[inverse], 0), np.where(known, taken[inverse], 0)
+        keys, at = file[inverse], _triple_hashes(context, np.maximum(ids, 0))
+        order = np.lexsort((at, keys))
+        seen = np.zeros(len(ids), np.int64)
+        edges = np.searchsorted(keys[order], np.arange(self.buckets + 1))
+        for b, (x, y) in enumerate(zip(edges[:-1], edges[1:])):
+            if y > x:
+                wanted, found = at[order[x:y]], np.zeros(y - x, np.int64)
+                for kind in ("once", "more"):
+                    a = maps[kind].arrays[b]
+                    if len(a):
+                        i = np.searchsorted(a, wanted)
+                        i[i == len(a)] = 0
+                        n = maps["count"].arrays[b][i] if kind == "more" else 1
+                        found = np.where(a[i] == wanted, n, found)
+                seen[order[x:y]] = found
+        seen = np.where(known & (ids >= 0), seen, 0)
+        d = np.array([0.0, *self.triple_discounts])[np.minimum(seen, 3)]
+        some = np.maximum(total, 1)
+        return np.where(total > 0, (seen - d) / some + taken / some * lower, lower)
+
+
+def fit_bigrams(texts: DataFrame, order: int = 2) -> tuple[BigramModel, int]:
+    """(model of order 2 or 3, number of texts) learned from the column ``text`` of bytes."""
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     spark = texts.sparkSession
     small_batches(spark)
     with shuffles_removed(spark):
-        return _fit_bigrams(spark, texts)
+        return _fit_bigrams(spark, texts, order)
 
 
-def _fit_bigrams(spark: SparkSession, texts: DataFrame) -> tuple[BigramModel, int]:
+def _fit_bigrams(spark: SparkSession, texts: DataFrame, order: int) -> tuple[BigramModel, int]:
     buckets = _partitions(texts)
     folder = scratch_path(spark, "ngrams")
     learned = texts.count()
@@ -368,6 +531,7 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame) -> tuple[BigramModel, in
         """Write a bucket's pairs; pass on (block, kind, ids in the block, counts).
 
         Kinds 1, 2, 3: first words' pairs seen once, twice, more often; 4: second words' pairs;
+        5, for order 3: the sum of the counts of first words' pairs;
         0 with block -1: how many pairs were seen 1, 2, 3 and 4 times, and in all.
         """
         for b, adder in _added(iterator).items():
@@ -383,9 +547,14 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame) -> tuple[BigramModel, in
             rows = [(-1, 0, np.arange(5, dtype=np.uint64),
                      np.array([(counts == k).sum() for k in (1, 2, 3, 4)] + [len(keys)]))]
             for kind, words in ((1, left[single]), (2, left[counts == 2]),
-                                (3, left[counts > 2]), (4, right)):
+                                (3, left[counts > 2]), (4, right),
+                                *([(5, left)] if order > 2 else [])):
                 ids, n = np.unique(words, return_counts=True)
                 block = (ids // np.uint64(BLOCK)).astype(np.int64)
+                if kind == 5:
+                    n = np.add.reduceat(counts[np.argsort(left, kind="stable")],
+                                        np.concatenate([[0], np.cumsum(n)[:-1]])) \
+                        if len(n) else n
                 edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) \
                     if len(ids) else np.zeros(1, np.int64)
                 rows += [(int(block[x]), kind, ids[x:y] % np.uint64(BLOCK), n[x:y])
@@ -397,7 +566,9 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame) -> tuple[BigramModel, in
                  pa.array([r[3].astype("<i8" if r[0] < 0 else "<u4").tobytes() for r in rows],
                           pa.binary())], names=["block", "kind", "ids", "counts"])
 
-    passed = stored(texts.mapInArrow(count, _PARTS).repartition(buckets, "bucket")
+    counted = (texts.mapInArrow(count, _PARTS) if order == 2
+               else _triples(texts, vocabulary, folder, buckets))
+    passed = stored(counted.repartition(buckets, "bucket")
                     .mapInArrow(add, "block int, kind int, ids binary, counts binary"), "pairs")
     sums = np.zeros(5, np.int64)
     for r in passed.where("block = -1").select("counts").toLocalIterator():
@@ -410,12 +581,14 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame) -> tuple[BigramModel, in
         found: dict[int, np.ndarray] = {}
         for batch in iterator:
             for b, kind, ids, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                table = found.setdefault(b, np.zeros((4, BLOCK), np.int64))
+                table = found.setdefault(b, np.zeros((5, BLOCK), np.int64))
                 table[kind - 1, np.frombuffer(ids, "<u2")] += np.frombuffer(counts, "<u4")
         for b, table in found.items():
             taken = sum(d * table[i] for i, d in enumerate(pair_discounts))
             url = f"{folder}/block-{b:06d}"
-            total = _word_counts(b)
+            total = _word_counts(b) if order == 2 else table[4]
+            if order > 2:
+                write_file(f"{url}.total", total.astype("<i8").tobytes())
             write_file(f"{url}.backoff", np.where(total > 0, taken / np.maximum(total, 1), 1.0)
                        .astype("<f4").tobytes())
             write_file(f"{url}.before", table[3].astype("<i8").tobytes())
@@ -448,12 +621,15 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame) -> tuple[BigramModel, in
     left = (word_discounts[0] * n1 + word_discounts[1] * n2 + word_discounts[2] * more) / types \
         if types else 1.0
     _fill(folder, buckets, blocks, {r["block"] for r in passed.select("block").distinct()
-                                    .collect()})
+                                    .collect()}, order)
+    triples = np.zeros(4, np.int64)
+    for b in range(buckets if order > 2 else 0):
+        triples += np.frombuffer(read_file(f"{folder}/triples-{b:06d}.sums"), "<i8")
     return BigramModel(folder, vocabulary, buckets, pair_discounts, word_discounts, types,
-                       left), learned
+                       left, order, _discounts(triples.tolist())), learned
 
 
-def _fill(folder: str, buckets: int, blocks: int, written: set[int]) -> None:
+def _fill(folder: str, buckets: int, blocks: int, written: set[int], order: int) -> None:
     """Empty files for buckets without pairs and blocks without words."""
     from tabulon.llm.shared_files import opened
 
@@ -462,7 +638,14 @@ def _fill(folder: str, buckets: int, blocks: int, written: set[int]) -> None:
         if store.get_file_info(path).type.name == "NotFound":
             for kind in ("once", "more", "count"):
                 write_file(f"{folder}/pairs-{b:06d}.{kind}", b"")
+        store, path = opened(f"{folder}/triples-{b:06d}.sums")
+        if order > 2 and store.get_file_info(path).type.name == "NotFound":
+            for kind in TRIPLE_FILES:
+                write_file(f"{folder}/triples-{b:06d}.{kind}", b"")
+            write_file(f"{folder}/triples-{b:06d}.sums", np.zeros(4, "<i8").tobytes())
     for b in set(range(blocks)) - written:
+        if order > 2:
+            write_file(f"{folder}/block-{b:06d}.total", np.zeros(BLOCK, "<i8").tobytes())
         write_file(f"{folder}/block-{b:06d}.backoff", np.ones(BLOCK, "<f4").tobytes())
         write_file(f"{folder}/block-{b:06d}.before", np.zeros(BLOCK, "<i8").tobytes())
 
@@ -507,8 +690,9 @@ def score_texts(docs: DataFrame, model: BigramModel, learned: int, text: str = "
                          .alias("perplexity"))
 
 
-def language_model(docs: DataFrame, training: Column, text: str = "text") -> DataFrame:
+def language_model(docs: DataFrame, training: Column, text: str = "text", order: int = 2
+                   ) -> DataFrame:
     """Learn from the rows where ``training`` holds, score all."""
     model, learned = fit_bigrams(docs.where(training).select(F.col(text).cast("binary")
-                                                             .alias("text")))
+                                                             .alias("text")), order)
     return score_texts(docs, model, learned, text)

@@ -35,7 +35,8 @@ def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     held = F.coalesce(crc_mod("doc_id", 10) == 0, F.lit(False))
     return (ngram_lm.language_model(docs.select("doc_id", "text", held.alias("held_out")),
-                                    ~F.col("held_out")).drop("text", "perplexity"))
+                                    ~F.col("held_out"), order=3)
+            .drop("text", "perplexity"))
 
 
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:

@@ -109,6 +109,62 @@ def test_probabilities_sum_to_one(docs):
         assert p.sum() == pytest.approx(1, abs=1e-5)
 
 
+def brute_triples(train):
+    """Probability of w after (u, v) by the formula of order 3."""
+    triples = Counter()
+    for _, t in train:
+        w = tokens(t)
+        triples.update(zip([START, START, *w], [START, *w], w))
+    pairs = Counter((v, w) for _, v, w in triples)
+    before = Counter(w for _, w in pairs)
+
+    def level(counts):
+        n = [sum(x == k for x in counts.values()) for k in (1, 2, 3, 4)]
+        after = defaultdict(list)
+        for key, x in counts.items():
+            after[key[:-1]].append(x)
+        return (0.0, *ngram_lm._discounts(n)), after
+
+    (d3, after3), (d2, after2) = level(triples), level(pairs)
+    d1 = (0.0, *ngram_lm._discounts([sum(x == k for x in before.values()) for k in (1, 2, 3, 4)]))
+    left = sum(d1[min(k, 3)] for k in before.values()) / len(pairs)
+
+    def mix(c, d, seen, lower):
+        return (c - d[min(c, 3)] + sum(d[min(x, 3)] for x in seen) * lower) / sum(seen) \
+            if seen else lower
+
+    def p(u, v, w):
+        k = before[w]
+        lower = (k - d1[min(k, 3)]) / len(pairs) + left / (len(before) + 1)
+        lower = mix(pairs[v, w], d2, after2.get((v,)), lower)
+        return mix(triples[u, v, w], d3, after3.get((u, v)), lower)
+    return p
+
+
+def test_order_three(spark, docs, edges, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "BLOCK", 64)
+    monkeypatch.setattr(ngram_lm, "GATHER", 500)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.6, 80) % 50)) for i in range(60)]
+    small = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for df in (small, edges.select("doc_id", "text").repartition(2), docs.limit(40)):
+        held = F.coalesce(F.col("doc_id") % 5 == 0, F.lit(False))
+        p = brute_triples([tuple(r) for r in df.where(~held).select("doc_id", "text").collect()])
+        got = ngram_lm.language_model(df, ~held, order=3).collect()
+        assert got
+        for r in got:
+            w = tokens(r["text"])
+            want = sum(log10(p(*x)) for x in zip([START, START, *w], [START, *w], w))
+            assert r["score"] == pytest.approx(want, rel=1e-6)
+
+
+def test_query_uses_two_words_of_context(spark, sf_dir, monkeypatch):
+    orders, fit = [], ngram_lm.fit_bigrams
+    monkeypatch.setattr(ngram_lm, "fit_bigrams",
+                        lambda t, order=2: orders.append(order) or fit(t, order))
+    assert queries.op6_lm_scoring(spark, sf_dir).count() and orders == [3]
+
+
 def test_files_are_whole_and_mapped(tmp_path):
     url = f"file://{tmp_path}/a/b"
     shared_files.write_file(url, [b"12345678", b"abcdefgh"])
