@@ -15,6 +15,7 @@ from tabulon.llm import (
     ngram_lm,
     packing,
     quality_rules,
+    simhash,
     token_files,
 )
 from tabulon.llm.common import crc_mod
@@ -107,7 +108,12 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_copies(read_table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_classifier, op3_chat_formatting, op4_jaccard_join,
     op4_link_counts, op5_packing, op6_lm_scoring, op7_quality_rules, op8_license_scans,
-    op8_license_phrases, op9_html_extraction, op10_token_files)}
+    op8_license_phrases, op9_html_extraction, op10_token_files,
+    op13_simhash)}
