@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabulon.llm import (
     chat,
     decontaminate,
+    divergence,
     html_main,
     jaccard_join,
     licenses,
@@ -108,6 +109,10 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.source_divergence(read_table(spark, sf, "documents"))
+
+
 def op13_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_copies(read_table(spark, sf, "documents"))
 
@@ -116,4 +121,4 @@ QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_classifier, op3_chat_formatting, op4_jaccard_join,
     op4_link_counts, op5_packing, op6_lm_scoring, op7_quality_rules, op8_license_scans,
     op8_license_phrases, op9_html_extraction, op10_token_files,
-    op13_simhash)}
+    op11_source_divergence, op13_simhash)}

@@ -169,6 +169,49 @@ left join quotes q on q.conv_id is not distinct from o.conv_id and q.turn = o.tu
 left join paths p on p.conv_id is not distinct from o.conv_id and p.turn = o.turn
 """
 
+DIVERGENCE = rf"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    {_words("coalesce(text, '')", r'[^\x00-\x40\x5B-\x60\x7B-\x7F]+')} as w
+  from documents),
+terms as (select r, lang, source, unnest(w) as term from docs),
+kept as (
+  select lang, term from terms group by lang, term having count(distinct r) >= 30),
+sizes as (select lang, count(*) as v from kept group by lang),
+groups as (select distinct lang, source from docs),
+counts as (select lang, source, term, count(*) as n from terms group by lang, source, term),
+cells as (
+  select lang, source, term, coalesce(n, 0) as n
+  from groups join kept using (lang) left join counts using (lang, source, term)),
+wholes as (select lang, term, sum(n) as n from cells group by lang, term),
+shares as (
+  select lang, source, term, n, 1 + (1000000000::hugeint * (n + 5)) // (total + 5 * v) as p
+  from cells join sizes using (lang)
+  join (select lang, source, sum(n) as total from cells group by lang, source)
+    using (lang, source)),
+whole_shares as (
+  select lang, term, 1 + (1000000000::hugeint * (n + 5)) // (total + 5 * v) as q
+  from wholes join sizes using (lang)
+  join (select lang, sum(n) as total from wholes group by lang) using (lang)),
+pairs as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by a.lang, a.source, b.source),
+parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, p - q
+  from shares join whole_shares using (lang, term) where n > 0 and p > q)
+select * from (
+  select lang, source, part, item, cast(value as bigint) as value,
+    cast(row_number() over (partition by lang, source, part order by value desc, item) as integer)
+      as rank
+  from parts)
+where part = 'pair' or rank <= 50
+"""
+
 SQL = {
     "op1_decontaminate": DECONTAMINATE,
     "op3_chat_formatting": CHAT,
@@ -176,4 +219,5 @@ SQL = {
     "op4_link_counts": LINK_COUNTS,
     "op8_license_scans": _license_sql(),
     "op8_license_phrases": _phrase_sql(),
+    "op11_source_divergence": DIVERGENCE,
 }
