@@ -26,6 +26,7 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ from tabulon.functions.expr import col
 from tabulon.llm.common import batches, drop_stored, shuffles_removed, small_batches
 from tabulon.session import stored
 
-#: Different terms, of any language, that a task holds before it spills them.
-STRIPES = 200_000
+#: Entries, of terms and of sources of a term, that a task holds before it spills them.
+STRIPES = 600_000
 #: Stripes in one Arrow batch.
 _OUT_ROWS = 20_000
 #: Sources whose pairs are added up in one pass.
@@ -56,71 +57,110 @@ def terms_of(data: bytes) -> list[bytes]:
     return data.translate(_FOLD).split()
 
 
-def _stripe_batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, term bytes, documents, {source: count}) as Arrow batches."""
-    for at in range(0, len(rows), _OUT_ROWS):
-        part = rows[at:at + _OUT_ROWS]
-        offsets = np.zeros(len(part) + 1, np.int32)
-        np.cumsum([len(r[3]) for r in part], out=offsets[1:])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in part], pa.string()),
-             pa.array([r[1] for r in part], pa.binary()).cast(pa.string()),
-             pa.array([r[2] for r in part], pa.int64()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(
-                 [s for r in part for s in r[3]], pa.string())),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(
-                 [n for r in part for n in r[3].values()], pa.int64()))],
-            names=["lang", "term", "docs", "sources", "counts"])
+def _record(langs: pa.Array, terms: pa.Array, docs: np.ndarray, offsets: np.ndarray,
+            sources: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.array(offsets.astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [langs, terms, pa.array(docs), pa.ListArray.from_arrays(offsets, sources),
+         pa.ListArray.from_arrays(offsets, pa.array(counts))],
+        names=["lang", "term", "docs", "sources", "counts"])
+
+
+def _longs(values, n: int) -> np.ndarray:
+    return np.fromiter(values, np.int64, n)
+
+
+class _Stripes:
+    """The hash map of one task: per language, documents of a term and counts by source."""
+
+    def __init__(self) -> None:
+        self.docs: dict[str, Counter] = {}
+        self.counts: dict[tuple[str, str], Counter] = {}
+        self.held = 0
+
+    def fold(self, lang: str, source: str, text: bytes) -> None:
+        """Add a whole document."""
+        docs = self.docs.setdefault(lang, Counter())
+        counts = self.counts.setdefault((lang, source), Counter())
+        before = len(docs) + len(counts)
+        terms = terms_of(text)
+        counts.update(terms)
+        docs.update(set(terms))
+        self.held += len(docs) + len(counts) - before
+
+    def spill(self) -> Iterator[pa.RecordBatch]:
+        """All stripes, a row per language and term, and an empty map."""
+        for lang, docs in self.docs.items():
+            own = [(s, c) for (one, s), c in self.counts.items() if one == lang and c]
+            if not own:
+                continue
+            at = dict(zip(docs, range(len(docs))))
+            term = np.concatenate([_longs(map(at.__getitem__, c), len(c)) for _, c in own])
+            count = np.concatenate([_longs(c.values(), len(c)) for _, c in own])
+            source = np.repeat(np.arange(len(own)), [len(c) for _, c in own])
+            order = np.argsort(term, kind="stable")
+            count, source = count[order], source[order]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(docs)))])
+            names = pa.array([s for s, _ in own], pa.string())
+            terms = pa.array(list(docs), pa.binary()).cast(pa.string())
+            totals = _longs(docs.values(), len(docs))
+            for a in range(0, len(docs), _OUT_ROWS):
+                ends = offsets[a:a + _OUT_ROWS + 1]
+                cut = slice(ends[0], ends[-1])
+                rows = len(ends) - 1
+                yield _record(pa.repeat(pa.scalar(lang, pa.string()), rows),
+                              terms.slice(a, rows), totals[a:a + rows], ends - ends[0],
+                              names.take(pa.array(source[cut])), count[cut])
+        self.__init__()
 
 
 def _fold(iterator) -> Iterator[pa.RecordBatch]:
     """Whole documents (lang, source, text) to stripes, spilled whenever the map is full."""
-    stripes: dict[str, dict[bytes, list]] = {}
-    held = 0
-
-    def spill() -> Iterator[pa.RecordBatch]:
-        for lang, terms in stripes.items():
-            yield from _stripe_batches([(lang, t, docs, counts)
-                                        for t, (docs, counts) in terms.items()])
-        stripes.clear()
-
+    stripes = _Stripes()
     for batch in batches(iterator):
         for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
-            terms = stripes.setdefault(lang, {})
-            before = len(terms)
-            for term, n in Counter(terms_of(text)).items():
-                stripe = terms.get(term)
-                if stripe is None:
-                    terms[term] = [1, {source: n}]
-                else:
-                    stripe[0] += 1
-                    counts = stripe[1]
-                    counts[source] = counts.get(source, 0) + n
-            held += len(terms) - before
-            if held >= STRIPES:
-                yield from spill()
-                held = 0
-    yield from spill()
+            stripes.fold(lang, source, text)
+            if stripes.held >= STRIPES:
+                yield from stripes.spill()
+    yield from stripes.spill()
+
+
+def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Neighbouring stripes of one (lang, term) added up."""
+    lang, term, docs, sources, counts = (batch.column(n) for n in range(5))
+    if not batch.num_rows:
+        return batch
+    new = np.ones(batch.num_rows, bool)
+    new[1:] = pc.or_(pc.not_equal(lang[1:], lang[:-1]),
+                     pc.not_equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(new)
+    names = sources.flatten().dictionary_encode()
+    run = np.repeat(np.cumsum(new) - 1, pc.list_value_length(sources).to_numpy())
+    cells, at = np.unique(run * len(names.dictionary) + names.indices.to_numpy(),
+                          return_inverse=True)
+    sums = np.zeros(len(cells), np.int64)
+    np.add.at(sums, at, counts.flatten().to_numpy())
+    run, source = np.divmod(cells, max(len(names.dictionary), 1))
+    offsets = np.searchsorted(run, np.arange(len(first) + 1))
+    rows = pa.array(first)
+    return _record(lang.take(rows), term.take(rows), np.add.reduceat(docs.to_numpy(), first),
+                   offsets, names.dictionary.take(pa.array(source)), sums)
 
 
 def _merge(iterator) -> Iterator[pa.RecordBatch]:
-    """Stripes sorted by (lang, term) to one per term."""
-    key, docs, counts = None, 0, {}
-    out: list[tuple] = []
-    for batch in batches(iterator):
-        for lang, term, n, sources, numbers in zip(batch["lang"], batch["term"], batch["docs"],
-                                                   batch["sources"], batch["counts"]):
-            if (lang, term) != key:
-                if key is not None:
-                    out.append((key[0], key[1].encode(), docs, counts))
-                key, docs, counts = (lang, term), 0, {}
-            docs += n
-            for source, number in zip(sources, numbers):
-                counts[source] = counts.get(source, 0) + number
-        yield from _stripe_batches(out)
-        out = []
-    if key is not None:
-        yield from _stripe_batches([(key[0], key[1].encode(), docs, counts)])
+    """Stripes sorted by (lang, term) to one per term; the last of a batch waits for the next."""
+    waiting = None
+    for batch in iterator:
+        if waiting is not None:
+            batch = pa.Table.from_batches([waiting, batch.cast(waiting.schema)])
+            batch = batch.combine_chunks().to_batches()[0]
+        done = _merged(batch)
+        if done.num_rows:
+            waiting = done.slice(done.num_rows - 1)
+            if done.num_rows > 1:
+                yield done.slice(0, done.num_rows - 1)
+    if waiting is not None:
+        yield waiting
 
 
 def _plain(docs: DataFrame, lang: str, source: str) -> list:
