@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulon.llm import (
     chat,
+    conversations,
     decontaminate,
     divergence,
     html_main,
@@ -113,6 +114,10 @@ def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.source_divergence(read_table(spark, sf, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.audit(read_table(spark, sf, "conversations"))
+
+
 def op13_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_copies(read_table(spark, sf, "documents"))
 
@@ -121,4 +126,4 @@ QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_classifier, op3_chat_formatting, op4_jaccard_join,
     op4_link_counts, op5_packing, op6_lm_scoring, op7_quality_rules, op8_license_scans,
     op8_license_phrases, op9_html_extraction, op10_token_files,
-    op11_source_divergence, op13_simhash)}
+    op11_source_divergence, op12_conversation_repair, op13_simhash)}
