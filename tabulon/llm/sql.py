@@ -212,6 +212,104 @@ select * from (
 where part = 'pair' or rank <= 50
 """
 
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _edit(edit: str, cost: str, then: str, when: str = "true") -> str:
+    """The rest of the edits, with one more in front."""
+    return (f"case when {when} then {{'c': {cost} + {then}.c, 'a': '{edit}' || {then}.a}} "
+            f"else {{'c': 1000000000000, 'a': ''}} end")
+
+
+def _from_state(state: int) -> str:
+    """The best edits from row i on, without insertions before it."""
+    turn = 3 if state == 2 else 2
+    kept = [("s", 1), ("u", 2)] if state == 0 else [("a", 3)] if state == 2 else [("u", 2)]
+    usable = "fault in ('', 'truncated')"
+    price = "case when fault = 'truncated' then 5 else 0 end"
+    return _least(_edit("D", "2", f"b{state}"),
+                  _edit("R", f"1 + {price}", f"b{turn}", usable),
+                  *[_edit("K", price, f"b{to}", f"{usable} and left(role, 1) = '{initial}'")
+                    for initial, to in kept])
+
+
+CONVERSATIONS = rf"""
+with recursive crc_table as (
+  select list(c order by i) as t from (
+    select i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+      case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+    from range(256) r(i))),
+given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(
+      coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+      lambda x: cast(ascii(x) as bigint))),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 as kind
+  from conversations, crc_table),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g')
+      else text end as text,
+    unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+  from given where kind <> 0),
+ordered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first,
+      sha256(length(role) || ':' || role || text)) as i,
+    count(*) over (partition by conv_id) as n
+  from damaged),
+marked as (
+  select conv_id, turn, role, text, i, n, case
+    when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+    when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+    when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault,
+    left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by i) as before
+  from ordered),
+counts as (
+  select conv_id, any_value(n) as n,
+    coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from marked group by conv_id),
+best as (
+  select conv_id, n + 1 as i, {{'c': 0::bigint, 'a': ''}} as b0, {{'c': 10::bigint, 'a': 'II'}} as b1,
+    {{'c': 5::bigint, 'a': 'I'}} as b2, {{'c': 0::bigint, 'a': ''}} as b3
+  from counts
+  union all
+  select conv_id, i, {_least('p0', _edit('I', '5', 'u'))}, {_least('p1', _edit('I', '5', 'u'))},
+    u, {_least('p3', _edit('I', '5', 'p2'))}
+  from (
+    select *, {_least('p2', _edit('I', '5', 'p3'))} as u from (
+      select m.conv_id, m.i, {_from_state(0)} as p0, {_from_state(1)} as p1,
+        {_from_state(2)} as p2, {_from_state(3)} as p3
+      from best join marked m on m.conv_id is not distinct from best.conv_id
+        and m.i = best.i - 1))),
+audits as (select conv_id, b0.c as cost, b0.a as audit from best where i = 1),
+walk as (
+  select conv_id, audit, 1 as p, 1::bigint as i, '' as state, cast([] as varchar[]) as lines
+  from audits
+  union all
+  select conv_id, audit, p + 1, case when edit = 'I' then i else i + 1 end,
+    case edit when 'D' then state when 'K' then left(role, 1)
+      else case when state = 'u' then 'a' else 'u' end end,
+    case edit when 'D' then lines when 'K' then list_append(lines, role || ':' || text)
+      else list_append(lines, case when state = 'u' then 'assistant:' else 'user:' end ||
+        case when edit = 'R' then text else '' end) end
+  from (
+    select w.*, substr(audit, p, 1) as edit, m.role, m.text
+    from walk w left join marked m on m.conv_id is not distinct from w.conv_id and m.i = w.i
+    where p <= length(audit)))
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank,
+  coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(w.audit, '') as audit,
+  sha256(coalesce(array_to_string(lines, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on c.conv_id is not distinct from o.conv_id
+left join audits a on a.conv_id is not distinct from o.conv_id
+left join walk w on w.conv_id is not distinct from o.conv_id and p = length(w.audit) + 1
+"""
+
 SQL = {
     "op1_decontaminate": DECONTAMINATE,
     "op3_chat_formatting": CHAT,
@@ -220,4 +318,5 @@ SQL = {
     "op8_license_scans": _license_sql(),
     "op8_license_phrases": _phrase_sql(),
     "op11_source_divergence": DIVERGENCE,
+    "op12_conversation_repair": CONVERSATIONS,
 }
