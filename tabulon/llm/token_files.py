@@ -14,8 +14,8 @@ The driver sees one row per shard. A shard appears whole under a name that does
 the attempt, so lost tasks simply write it again.
 
 Defined results: a null or empty text is its end id alone. Rows of equal id are ordered by text
-hash; null ids come first. Strings of special tokens in a text are ordinary text. An empty table
-writes no shards.
+hash; null ids come first. The string of an added token in a text is that token, as the library has
+it. An empty table writes no shards.
 """
 
 from __future__ import annotations
@@ -49,6 +49,9 @@ DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Pieces of text whose ids a worker remembers.
 CACHE_PIECES = 600_000
+#: Unknown pieces encoded as one text.
+_ROW_PIECES = 1000
+_TEXTS = 32
 
 # White space as the pre-tokenizer's pattern has it (the Unicode property).
 _WHITE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -79,35 +82,72 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # Bytes of each token, where the vocabulary writes a byte as a character.
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.lengths[i] = len(token)
         self.code = "H" if self.width.itemsize == 2 else "I"     # little-endian machines only
+        # Pieces seen since the last change of generations, and those of the generation before.
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def _in_a_row(self, row: list[str]) -> dict[str, bytes]:
+        """Ids of pieces encoded as one text; nothing if the tokens' bytes do not show the cuts."""
+        text = "".join(row)
+        if any(t in text for t in self.added):
+            return {}
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
+                       self.width)
+        ends = np.cumsum(self.lengths[ids])
+        cuts = np.cumsum([len(p.encode()) for p in row])
+        at = np.searchsorted(ends, cuts)
+        if not len(ends) or at[-1] >= len(ends) or (ends[at] != cuts).any():
+            return {}
+        data, size = ids.tobytes(), self.width.itemsize
+        stops = ((at + 1) * size).tolist()
+        return {p: data[a:b] for p, a, b in zip(row, [0, *stops], stops)}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Serialized ids of each text."""
-        if len(self.known) > CACHE_PIECES:
-            self.known = {"": b""}
-        known = self.known
-        rows = []
-        gaps: list[tuple[list, list[int], list[str]]] = []
+        """Serialized ids of each text; a few at a time, so that their pieces stay at hand."""
+        return [ids for at in range(0, len(texts), _TEXTS)
+                for ids in self._encode(texts[at:at + _TEXTS])]
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.known) > CACHE_PIECES // 2:
+            self.known, self.older = {"": b""}, self.known
+        known, older = self.known, self.older
+        cuts = []
+        wanted: set[str] = set()
         for text in texts:
+            if text and any(t in text for t in self.added):     # rare; the library has its rules
+                cuts.append(text)
+                continue
             cut = pieces(text or "")
-            row = list(map(known.get, cut))
-            rows.append(row)
-            if None in row:
-                at = [i for i, v in enumerate(row) if v is None]
-                gaps.append((row, at, [cut[i] for i in at]))
-        todo = list({p for _, _, missing in gaps for p in missing})
-        for start in range(0, len(todo), 10_000):
-            part = todo[start:start + 10_000]
+            cuts.append(cut)
+            wanted.update(cut)
+        new = []
+        for piece in wanted.difference(known):
+            ids = older.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                known[piece] = ids
+        # Pieces that white space begins and something else ends may stand in a row.
+        rows = [p for p in new if p[:1] in (" ", "\n", "\t") and not p[-1].isspace()]
+        for start in range(0, len(rows), _ROW_PIECES):
+            known.update(self._in_a_row(rows[start:start + _ROW_PIECES]))
+        new = [p for p in new if p not in known]
+        for start in range(0, len(new), 10_000):
+            part = new[start:start + 10_000]
             for piece, e in zip(part, self.tokenizer.encode_batch_fast(
                     part, add_special_tokens=False)):
                 known[piece] = array(self.code, e.ids).tobytes()
-        for row, at, missing in gaps:
-            for i, piece in zip(at, missing):
-                row[i] = known[piece]
-        return [b"".join(row) for row in rows]
+        return [array(self.code, self.tokenizer.encode(cut, add_special_tokens=False).ids)
+                .tobytes() if isinstance(cut, str) else b"".join(map(known.__getitem__, cut))
+                for cut in cuts]
 
 
 def encoder(path: str) -> Encoder:

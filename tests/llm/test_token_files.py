@@ -17,7 +17,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -33,6 +32,30 @@ def test_pieces_never_change_the_ids(library):
             assert np.frombuffer(ids, enc.width).tolist() == library(t)
 
 
+def test_added_tokens(spark, library):
+    """Within a text, at both ends, doubled, glued to words, and broken."""
+    e = "<|endoftext|>"
+    texts = [f"Hello {e} world", e, f"{e}{e}", f"{e} a", f"a {e}", f"a{e}b", f" {e}\n{e} ",
+             "<|endoftext", "<|endoftext |>", f"a  {e}  b", f"<{e}>"]
+    enc = token_files.Encoder(PATH)
+    for t, ids in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(ids, enc.width).tolist() == library(t)
+    assert library(texts[0]) == [15496, 220, 50256, 995]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted(map(tuple, token_files.round_trip(df.repartition(3), PATH).collect()))
+    assert found == brute(list(enumerate(texts)), library)
+
+
+def test_generations_of_pieces(library, monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_PIECES", 10)
+    enc = token_files.Encoder(PATH)
+    rng = random.Random(8)
+    for _ in range(50):
+        texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(9)) for _ in range(3)]
+        for t, ids in zip(texts, enc.encode(texts)):
+            assert np.frombuffer(ids, enc.width).tolist() == library(t)
+
+
 def brute(rows, library):
     out, before = [], 0
     for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
