@@ -31,6 +31,7 @@ a probability of 2**-64.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,8 @@ MAP_WORDS = 16
 #: Prefix n-grams counted this many times above the mean of all slots are joined with the
 #: adaptive skew handling; the others cannot make a task large.
 HOT = 10_000
+#: Ranges of the prefix n-grams that are joined one after the other.
+RANGES = 4
 #: Star rounds before the last, exhaustive one.
 STAR_ROUNDS = 3
 
@@ -281,12 +284,15 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
                        F.xxhash64(text).alias("_h"))
     signed = signatures(spark, docs, size, percent, "_text", ["_id", "_h"])
 
-    cold = (signed.select(F.posexplode("prefix").alias("at", "token"), "cls")
-            .repartition("token"))
+    # Postings are dealt and joined in ranges of the token's hash, one after the other, so that
+    # the shuffle of one range is on the disk at a time.
+    postings = signed.select(F.posexplode("prefix").alias("at", "token"), "cls")
+    parts = [stored(_shared(postings.where(F.pmod("token", F.lit(RANGES)) == k)
+                            .repartition("token")), "shared") for k in range(RANGES)]
     hot = (signed.select(F.posexplode("hot").alias("at", "token"), "cls",
                          F.size("prefix").alias("n_cold"))
            .select((F.col("at") + F.col("n_cold")).alias("at"), "token", "cls"))
-    shared = stored(_shared(cold).unionByName(_shared(hot)), "shared")
+    shared = reduce(DataFrame.unionByName, [*parts, stored(_shared(hot), "shared")])
 
     classes = stored(signed.select("cls", "n", "bits", "_id")
                      .join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls")

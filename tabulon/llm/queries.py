@@ -74,24 +74,12 @@ def op3_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop(
-        "text_hash", "n_links")
-
-
-def op4_link_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """The same join with the number of links, which the SQL of ``op4_jaccard_join`` leaves out."""
+    """Every document with its group and the number of documents it links to."""
     return jaccard_join.near_copies(read_table(spark, sf, "documents")).drop("text_hash")
 
 
 def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
-    return licenses.notices(read_table(spark, sf, "documents")).select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"),
-        F.array_join("licenses", ",").alias("licenses"),
-        F.size("spans").cast("long").alias("n_spans"))
-
-
-def op8_license_phrases(spark: SparkSession, sf: str) -> DataFrame:
-    """The same scan with short notices, which the SQL of ``op8_license_scans`` leaves out."""
+    """Names and number of places of all notices, short ones included."""
     names = F.array_sort(F.array_union("licenses", "phrases"))
     return licenses.notices(read_table(spark, sf, "documents")).select(
         "doc_id", F.col("n_words").cast("long").alias("n_words"),
@@ -124,6 +112,6 @@ def op13_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_classifier, op3_chat_formatting, op4_jaccard_join,
-    op4_link_counts, op5_packing, op6_lm_scoring, op7_quality_rules, op8_license_scans,
-    op8_license_phrases, op9_html_extraction, op10_token_files,
+    op5_packing, op6_lm_scoring, op7_quality_rules, op8_license_scans,
+    op9_html_extraction, op10_token_files,
     op11_source_divergence, op12_conversation_repair, op13_simhash)}

@@ -313,10 +313,8 @@ left join walk w on w.conv_id is not distinct from o.conv_id and p = length(w.au
 SQL = {
     "op1_decontaminate": DECONTAMINATE,
     "op3_chat_formatting": CHAT,
-    "op4_jaccard_join": JACCARD,
-    "op4_link_counts": LINK_COUNTS,
-    "op8_license_scans": _license_sql(),
-    "op8_license_phrases": _phrase_sql(),
+    "op4_jaccard_join": LINK_COUNTS,
+    "op8_license_scans": _phrase_sql(),
     "op11_source_divergence": DIVERGENCE,
     "op12_conversation_repair": CONVERSATIONS,
 }

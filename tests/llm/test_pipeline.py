@@ -67,7 +67,7 @@ def test_stages_take_edges_and_clashing_columns(spark, sf_dir, edges, no_docs):
 
 def test_all_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
     assert set(queries.SQL) <= set(entry.oracle_sql())
