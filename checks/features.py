@@ -9,6 +9,7 @@ from checks.base import (
     table)
 from tabulon.functions.expr import band, col, normal_cdf, normal_ppf, safe_divide
 from tabulon.operators import features as E
+from tabulon.operators import sparse as S
 from tabulon.operators.split import train_test_split
 
 DERIVED = (
@@ -177,8 +178,44 @@ def feature_pipeline_saved(spark, sf):
     return rounded(out, ["c_acctbal"])
 
 
+def _sparse(spark, sf, saved: bool):
+    from tabulon.session import scratch_path
+
+    df = train_test_split(
+        table(spark, sf, "customer").selectExpr("c_custkey", "c_name", "c_mktsegment as market",
+                                                "c_acctbal"), ["c_custkey"])
+    fitted = S.fit_sparse_features(
+        df.filter("split = 'train'"),
+        E.FeatureSettings(("c_acctbal",), ("c_name", "market"), rare_threshold=1), df)
+    if saved:
+        path = scratch_path(spark, "sparse")
+        fitted.save(spark, path)
+        fitted = S.load_sparse_features(spark, path)
+    cells = fitted.transform(df, ["c_custkey"]).select(
+        "c_custkey", F.explode(F.arrays_zip("indices", "values")).alias("e"))
+    return rounded(cells.select("c_custkey", F.col("e.indices").alias("index"),
+                                F.col("e.values").alias("value")), ["value"])
+
+
+def sparse_features(spark, sf):
+    """The non-zero cells of every row, a column with a category for each row among them."""
+    return _sparse(spark, sf, saved=False)
+
+
+def sparse_features_saved(spark, sf):
+    """The same after a round trip of the vocabulary through its table."""
+    return _sparse(spark, sf, saved=True)
+
+
+def sparse_feature_names(spark, sf):
+    part = table(spark, sf, "part").select("p_partkey", "p_size", "p_name", "p_brand")
+    settings = E.FeatureSettings(("p_size",), ("p_brand", "p_name"), rare_threshold=2,
+                                 drop_first=False)
+    return S.fit_sparse_features(part, settings).names()
+
+
 QUERIES = {f.__name__: f for f in (
-    derived_columns, safe_division, threshold_band, normal_functions, rare_group,
+    sparse_features, sparse_features_saved, sparse_feature_names, derived_columns, safe_division, threshold_band, normal_functions, rare_group,
     rare_group_joined, rare_counts, onehot_drop_first, onehot_index, label_encode,
     label_encode_large, appearance_encode, standard_scale, minmax_scale, binary_columns,
     struct_flatten, feature_pipeline, feature_pipeline_saved)}
@@ -203,11 +240,39 @@ def _block(c: str) -> str:
             f"min({c}) from g where split = 'train') then '{c}_' || {c} else 'none' end as {c}")
 
 
+_SPARSE = f"""with m as (select c_custkey, c_name, c_mktsegment market, c_acctbal,
+  case when row_number() over (order by md5(concat_ws('|', c_custkey, '42')))
+    <= (select (count(*) + 4) // 5 from customer) then 'test' else 'train' end as split
+  from customer),
+t as (select * from m where split = 'train'),
+w as (select c_name v, row_number() over (order by c_name) as r
+  from (select distinct c_name from t)),
+k as (select market v, row_number() over (order by market) as r
+  from (select distinct market from t)),
+cells as (
+  select c_custkey, 0 as "index",
+    {R("(c_acctbal - (select avg(c_acctbal) from t)) / (select stddev_pop(c_acctbal) from t)")}
+      as value from m
+  union all select c_custkey, r - 1, 1 from m join w on c_name = v where r > 1
+  union all select c_custkey, r - 2 + (select count(*) from w), 1 from m join k on market = v
+    where r > 1)
+select c_custkey, cast("index" as bigint) as "index", cast(value as double) as value
+from cells where value <> 0"""
+
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 _SCALE = (f"(select {KEY_SQL}, l_quantity, l_extendedprice, l_tax, {', '.join(FLAGS)} "
           f"from {NULLED})")
 
 SQL = {
+    "sparse_features": _SPARSE,
+    "sparse_features_saved": _SPARSE,
+    "sparse_feature_names": """with c as (
+  select 1 as b, 'p_brand' as col, case when count(*) < 2 then 'OTROS' else p_brand end as v
+  from part group by p_brand
+  union select 2, 'p_name', case when count(*) < 2 then 'OTROS' else p_name end
+  from part group by p_name)
+select 0 as "index", 'p_size' as name
+union all select row_number() over (order by b, v), col || '_' || v from c""",
     "derived_columns": f"""with t as (select {', '.join('l.' + k for k in KEY)}, l_extendedprice,
   l_returnflag, case when l_linenumber = 7 then null else year(l_shipdate) end s,
   year(o_orderdate) o from {LINEITEM} l join orders on l_orderkey = o_orderkey),

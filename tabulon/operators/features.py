@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 from tabulon.functions.expr import clip, col, finite_or
 from tabulon.operators.common import has_at_most, join_small, melt
 from tabulon.operators.rowindex import with_row_index
+from tabulon.sources.versions import save_together, saved_folder
 
 #: Fixed value: the name rare categories are grouped under.
 OTHERS = "OTROS"
-#: Most categories per fitted pipeline that may become columns.
+#: Most categories per fitted pipeline that may become columns; the sparse rows of
+#: ``tabulon.operators.sparse`` have no such bound.
 MAX_CATEGORIES = 4096
 #: Rare values listed in the expression itself; beyond that they are joined.
 INLINE_RARE = 2000
@@ -288,30 +290,30 @@ class FittedFeatures:
         return raw.select(*out)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Vocabulary, scaler and names as Parquet tables below ``path``."""
+        """Vocabulary, scaler and names as Parquet tables below ``path``, all or none."""
         rows = [(c, v, i, "kept") for c, vs in self.categories.items()
                 for i, v in enumerate(vs)]
         rows += [(c, v, i, "rare") for c, vs in self.rare.items() for i, v in enumerate(vs)]
-        spark.createDataFrame(rows, "column string, value string, position int, kind string") \
-            .write.mode("overwrite").parquet(f"{path}/vocabulary")
-        spark.createDataFrame(
-            [(c, float(self.scaler.centre[c]) if self.scaler.centre[c] is not None else None,
-              float(self.scaler.width[c]) if self.scaler.width[c] is not None else None)
-             for c in self.scaler.centre], "column string, centre double, width double") \
-            .write.mode("overwrite").parquet(f"{path}/scaler")
+        scaler = [(c, float(self.scaler.centre[c]) if self.scaler.centre[c] is not None else None,
+                   float(self.scaler.width[c]) if self.scaler.width[c] is not None else None)
+                  for c in self.scaler.centre]
         s = self.settings
         meta = {"numeric_in": s.numeric, "categorical": s.categorical, "numeric": self.numeric,
                 "names": self.names, "other": s.other, "drop_first": s.drop_first,
                 "scaling": s.scaling, "exclude_binary": s.exclude_binary,
                 "rare_threshold": s.rare_threshold, "derived": [d.name for d in s.derived],
                 "category_order": list(self.categories)}
-        spark.createDataFrame([(json.dumps(meta),)], "metadata string") \
-            .write.mode("overwrite").parquet(f"{path}/metadata")
+        save_together(spark, path, {
+            "vocabulary": spark.createDataFrame(
+                rows, "column string, value string, position int, kind string"),
+            "scaler": spark.createDataFrame(scaler, "column string, centre double, width double"),
+            "metadata": spark.createDataFrame([(json.dumps(meta),)], "metadata string")})
 
 
 def load_features(spark: SparkSession, path: str, derived: Sequence[Derived] = ()
                   ) -> FittedFeatures:
     """Read a saved pipeline; derived columns are code and are passed in again."""
+    path = saved_folder(spark, path)
     meta = json.loads(spark.read.parquet(f"{path}/metadata").first()[0])
     by_name = {d.name: d for d in derived}
     absent = [n for n in meta["derived"] if n not in by_name]
@@ -356,7 +358,7 @@ def fit_features(train: DataFrame, settings: FeatureSettings, table: DataFrame |
         rows = counts.limit(16 * MAX_CATEGORIES + 1).collect()
         if len(rows) > 16 * MAX_CATEGORIES:
             raise ValueError("too many category values to become columns; "
-                             "use group_rare and one_hot_index on the wide columns")
+                             "use fit_sparse_features")
         threshold = settings.rare_threshold or 0
         for c in categorical:
             mine = {r["value"]: r["n"] for r in rows if r["column"] == c}
@@ -366,7 +368,7 @@ def fit_features(train: DataFrame, settings: FeatureSettings, table: DataFrame |
                 rare[c] = tuple(sorted(few))
             categories[c] = tuple(sorted(seen))
         if sum(map(len, categories.values())) > MAX_CATEGORIES:
-            raise ValueError("too many categories to become columns; raise rare_threshold")
+            raise ValueError("too many categories to become columns; use fit_sparse_features")
     scaler = (fit_scaler(derived, numeric, settings.scaling, settings.exclude_binary)
               if settings.scaling else Scaler("standard", {}, {}))
     skip = 1 if settings.drop_first else 0

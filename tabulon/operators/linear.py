@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabulon.functions.expr import balanced_sum, col
+from tabulon.sources.versions import save_together, saved_folder
 
 #: Most features for which matrices of products are kept; MLlib fits the others.
 MAX_FEATURES = 512
@@ -81,16 +82,18 @@ class LinearModel:
                 "metadata": dict(self.metadata)}
 
     def save(self, spark: SparkSession, path: str) -> None:
+        """Coefficients and metadata as Parquet tables below ``path``, all or none."""
         rows = [(i, f, w) for i, (f, w) in enumerate(zip(self.features, self.coefficients))]
-        spark.createDataFrame(rows, "position int, feature string, coefficient double") \
-            .write.mode("overwrite").parquet(f"{path}/coefficients")
-        spark.createDataFrame(
-            [(self.kind, self.alpha, self.intercept, json.dumps(dict(self.metadata)))],
-            "kind string, alpha double, intercept double, metadata string") \
-            .write.mode("overwrite").parquet(f"{path}/model")
+        save_together(spark, path, {
+            "coefficients": spark.createDataFrame(
+                rows, "position int, feature string, coefficient double"),
+            "model": spark.createDataFrame(
+                [(self.kind, self.alpha, self.intercept, json.dumps(dict(self.metadata)))],
+                "kind string, alpha double, intercept double, metadata string")})
 
 
 def load_model(spark: SparkSession, path: str) -> LinearModel:
+    path = saved_folder(spark, path)
     m = spark.read.parquet(f"{path}/model").first()
     rows = sorted(spark.read.parquet(f"{path}/coefficients").collect())
     return LinearModel(m["kind"], m["alpha"], tuple(r["feature"] for r in rows),
