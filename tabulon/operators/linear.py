@@ -1,8 +1,11 @@
 """Ridge and Lasso from sums of products.
 
 One scan turns the rows into one matrix of products per group (fold, learning-curve
-step). Every penalty and fold is then a small problem on those matrices, solved in
-Spark tasks, so a grid search reads the table once.
+step), cut into blocks (group, block row, block column) that Spark adds up. Every penalty
+and fold is then a problem on those matrices, solved in Spark tasks, so a grid search reads
+the table once, whatever the number of features. Matrices that are small together come to
+the driver; of others each task gathers those of one problem, and the driver gets
+coefficients only. Both ways solve the same problems by the same functions.
 
 Ridge minimises |y - Xw - b|^2 + alpha |w|^2 and Lasso |y - Xw - b|^2 / 2n + alpha |w|_1,
 both with a free intercept.
@@ -22,10 +25,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabulon.functions.expr import balanced_sum, col
+from tabulon.session import stored
 from tabulon.sources.versions import save_together, saved_folder
 
-#: Most features for which matrices of products are kept; MLlib fits the others.
-MAX_FEATURES = 512
+#: Rows and columns of a block of products.
+BLOCK = 256
+#: Matrices of at most this many bytes in all are held by the driver.
+LOCAL_BYTES = 64 << 20
+#: Sums that a task holds before it hands them on.
+TASK_BYTES = 96 << 20
 #: Penalties tried when none are given.
 RIDGE_ALPHAS = (0.001, 0.01, 0.1, 0.5, 1.0, 5.0, 10.0, 50.0, 100.0)
 LASSO_ALPHAS = (0.0001, 0.001, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0, 10.0)
@@ -105,17 +113,23 @@ def load_model(spark: SparkSession, path: str) -> LinearModel:
 
 @dataclass(frozen=True)
 class Products:
-    """Per group the matrix of products of [1, x - shift, y - shift]."""
+    """Per group the matrix of products of [1, x - shift, y - shift].
+
+    Either ``matrices`` are at hand, or ``blocks`` (g, i, j, v) holds their upper block
+    triangles in the shared folder.
+    """
 
     features: tuple[str, ...]
     shift: np.ndarray
-    matrices: Mapping[int, np.ndarray]
+    matrices: Mapping[int, np.ndarray] | None
+    blocks: DataFrame | None = None
+    names: tuple[int, ...] = ()
 
     def total(self) -> np.ndarray:
         return sum(self.matrices.values())
 
     def groups(self) -> list[int]:
-        return sorted(self.matrices)
+        return sorted(self.matrices) if self.matrices is not None else sorted(self.names)
 
 
 def _dense(batch: pa.RecordBatch, name: str, width: int) -> np.ndarray:
@@ -123,6 +137,59 @@ def _dense(batch: pa.RecordBatch, name: str, width: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
 
 
+_BLOCKS = "g int, i int, j int, v binary"
+
+
+def _block_batch(g: int, m: np.ndarray) -> pa.RecordBatch:
+    """The upper block triangle of a matrix."""
+    starts = range(0, len(m), BLOCK)
+    cells = [(a, b) for a in range(len(starts)) for b in range(a, len(starts))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([g] * len(cells), pa.int32()), pa.array([a for a, _ in cells], pa.int32()),
+         pa.array([b for _, b in cells], pa.int32()),
+         pa.array([np.ascontiguousarray(m[a * BLOCK:(a + 1) * BLOCK, b * BLOCK:(b + 1) * BLOCK])
+                   .tobytes() for a, b in cells], pa.binary())], names=["g", "i", "j", "v"])
+
+
+def _block_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    for g, i, j, v in zip(*(batch.column(n) for n in range(4))):
+        yield g.as_py(), i.as_py(), j.as_py(), np.frombuffer(v.as_buffer(), float)
+
+
+def _place(m: np.ndarray, i: int, j: int, v: np.ndarray) -> None:
+    """Add a block, and its mirror image, to a matrix."""
+    rows, columns = (slice(k * BLOCK, (k + 1) * BLOCK) for k in (i, j))
+    part = v.reshape(m[rows, columns].shape)
+    m[rows, columns] += part
+    if i != j:
+        m[columns, rows] += part.T
+
+
+def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks sorted by (g, i, j) to one of each."""
+    key, held = None, None
+    for batch in batches:
+        done = []
+        for g, i, j, v in _block_rows(batch):
+            if (g, i, j) == key:
+                held = held + v
+            else:
+                if key is not None:
+                    done.append((*key, held.tobytes()))
+                key, held = (g, i, j), v
+        if done:
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip("gijv", d)) for d in done], schema=_block_schema())
+    if key is not None:
+        yield pa.RecordBatch.from_pylist([dict(zip("gijv", (*key, held.tobytes())))],
+                                         schema=_block_schema())
+
+
+def _block_schema() -> pa.Schema:
+    return pa.schema([("g", pa.int32()), ("i", pa.int32()), ("j", pa.int32()),
+                      ("v", pa.binary())])
+
+
 def products(df: DataFrame, features: Sequence[str], label: str, group: Column | None = None,
              held_out: Column | None = None, folds: int = 0, steps: int = 0) -> Products:
     """Sum the products of all rows, per ``group`` (an int column) where given.
@@ -130,13 +197,11 @@ def products(df: DataFrame, features: Sequence[str], label: str, group: Column |
     With ``held_out`` (the array made by ``learning_subsets``) a row is counted once
     per fold f under group ``f * (steps + 1) + s``, s being its entry for that fold.
 
-    Rows must not contain nulls. Each task adds up its own rows; the partial sums are
-    combined matrix row by matrix row, so no task holds more than its share.
+    Rows must not contain nulls. Each task adds up its own rows. Where the matrices of all
+    groups would not fit in a task, its rows are sorted by group first, so that it holds one
+    or a few at a time; the sums of all tasks meet block by block.
     """
     features = tuple(features)
-    p = len(features)
-    if p > MAX_FEATURES:
-        raise ValueError(f"{p} features; above {MAX_FEATURES} use mllib_model")
     names = list(features) + [label]
     # Shifting by the means keeps the sums free of cancellation.
     means = df.agg(*[F.avg(col(c).cast("double")).alias(f"m{i}")
@@ -148,15 +213,26 @@ def products(df: DataFrame, features: Sequence[str], label: str, group: Column |
         F.array(*[col(c).cast("double") for c in names]).alias("z"),
         (group.cast("int") if group is not None else F.lit(0)).alias("g"),
         *([held_out.alias("h")] if held_out is not None else []))
-    width = p + 1
+    width = len(names)
     nested = held_out is not None
+    size = 8 * (width + 1) ** 2
+    wide = size * (folds * (steps + 1) if nested else 8) > TASK_BYTES
+    if wide and nested:
+        cells = (cells.select("z", F.posexplode("h").alias("f", "s"))
+                 .select("z", (F.col("f") * (steps + 1) + F.col("s")).alias("g")))
+        nested = False
+    if wide:
+        cells = cells.sortWithinPartitions("g")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict[int, np.ndarray] = {}
 
         def add(g: int, rows: np.ndarray) -> None:
             m = rows.T @ rows
-            acc[g] = acc[g] + m if g in acc else m
+            if g in acc:
+                acc[g] += m
+            else:
+                acc[g] = m
 
         for batch in batches:
             if not batch.num_rows:
@@ -172,24 +248,24 @@ def products(df: DataFrame, features: Sequence[str], label: str, group: Column |
                 g = batch.column("g").to_numpy(zero_copy_only=False)
                 for k in np.unique(g):
                     add(int(k), z[g == k])
+                    if len(acc) > 1 and len(acc) * size > TASK_BYTES:
+                        for old in [x for x in acc if x != k]:
+                            yield _block_batch(old, acc.pop(old))
         for g, m in acc.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([g] * (width + 1), pa.int32()),
-                 pa.array(range(width + 1), pa.int32()),
-                 pa.array([list(m[i, i:]) for i in range(width + 1)],
-                          pa.list_(pa.float64()))], names=["g", "i", "v"])
-
-    partial = cells.mapInArrow(sums, "g int, i int, v array<double>")
-    # Element-wise sums: (group, matrix row, position) is the grouping key.
-    summed = (partial.select("g", "i", F.posexplode("v").alias("j", "x"))
-              .groupBy("g", "i", "j").agg(F.sum("x").alias("x"))
-              .groupBy("g", "i").agg(F.sort_array(F.collect_list(F.struct("j", "x")))
-                                     .alias("v")))
+            yield _block_batch(g, m)
+
+    order = ["g", "i", "j"]
+    blocks = (cells.mapInArrow(sums, _BLOCKS).repartition(*order).sortWithinPartitions(*order)
+              .mapInArrow(_add_blocks, _BLOCKS))
+    if wide or size > LOCAL_BYTES:
+        blocks = stored(blocks, "products")
+        found = tuple(r["g"] for r in blocks.select("g").distinct().collect())
+        if len(found) * size > LOCAL_BYTES:
+            return Products(features, shift, None, blocks, found)
     matrices: dict[int, np.ndarray] = {}
-    for r in summed.select("g", "i", F.transform("v", lambda e: e["x"]).alias("v")).collect():
+    for r in blocks.collect():
         m = matrices.setdefault(r["g"], np.zeros((width + 1, width + 1)))
-        m[r["i"], r["i"]:] = r["v"]
-        m[r["i"]:, r["i"]] = r["v"]
+        _place(m, r["i"], r["j"], np.frombuffer(r["v"], float))
     if any(not np.isfinite(m).all() for m in matrices.values()):
         raise ValueError("features or label contain nulls or infinities")
     return Products(features, shift, matrices)
@@ -215,27 +291,44 @@ def _ridge(xx: np.ndarray, xy: np.ndarray, alpha: float) -> np.ndarray:
 
 
 def _lasso(xx: np.ndarray, xy: np.ndarray, n: float, alpha: float, sweeps: int = 300,
-           tol: float = 1e-11) -> np.ndarray:
+           tol: float = 1e-11, start: np.ndarray | None = None) -> np.ndarray:
     """Coordinate descent on the products, finished by an active-set method.
 
-    Descent alone crawls along directions in which features are collinear.
+    Only coordinates in use and those that the gradient asks for are swept; the optimality
+    gap over all of them decides whether any was left out wrongly. Descent alone crawls along
+    directions in which features are collinear.
     """
     p = len(xy)
     a, b = xx / n, xy / n
-    diag = np.diag(a).copy()
+    diag = np.diag(a)
     usable = np.flatnonzero(diag > 1e-14 * max(diag.max(initial=0.0), 1e-300))
     limit = tol * max(np.abs(b).max(initial=0.0), alpha, 1e-300)
-    w, grad = np.zeros(p), b.copy()            # grad = b - a w
-    for _ in range(sweeps):
-        for j in usable:
-            old = w[j]
-            z = grad[j] + diag[j] * old
-            new = np.sign(z) * max(abs(z) - alpha, 0.0) / diag[j]
-            if new != old:
-                grad -= a[:, j] * (new - old)
-                w[j] = new
-        if _gap(b - a @ w, w, alpha, usable) <= limit:
+    w = np.zeros(p)
+    if start is not None:
+        w[usable] = start[usable]
+    while sweeps > 0:
+        grad = b - a @ w
+        if _gap(grad, w, alpha, usable) <= limit:
             return w
+        work = usable[(w[usable] != 0) | (np.abs(grad[usable]) > alpha)]
+        part, v, g = a[np.ix_(work, work)], w[work], grad[work]
+        scale, every = diag[work].tolist(), np.arange(len(work))
+        while sweeps > 0:
+            sweeps -= 1
+            for k, d in enumerate(scale):
+                old = v[k]
+                z = g[k] + d * old
+                new = max(abs(z) - alpha, 0.0) / d * (1.0 if z > 0 else -1.0)
+                if new != old:
+                    g -= part[k] * (new - old)
+                    v[k] = new
+            g = b[work] - part @ v
+            if _gap(g, v, alpha, every) <= limit:
+                break
+        w = np.zeros(p)
+        w[work] = v
+    if _gap(b - a @ w, w, alpha, usable) <= limit:
+        return w
     return _active_set(a, b, alpha, w, usable, limit)
 
 
@@ -295,13 +388,14 @@ def _active_set(a: np.ndarray, b: np.ndarray, alpha: float, w: np.ndarray,
     return best
 
 
-def solve(kind: str, m: np.ndarray, alpha: float, shift: np.ndarray) -> tuple[np.ndarray, float]:
-    """(coefficients, intercept) in the units of the data."""
+def solve(kind: str, m: np.ndarray, alpha: float, shift: np.ndarray,
+          start: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """(coefficients, intercept) in the units of the data, descending from ``start``."""
     n, mean_x, mean_y, xx, xy, _ = _centred(m)
     if kind == "ridge":
         w = _ridge(xx, xy, alpha)
     elif kind == "lasso":
-        w = _lasso(xx, xy, n, alpha)
+        w = _lasso(xx, xy, n, alpha, start=start)
     else:
         raise ValueError(f"unknown model {kind}")
     return w, float(shift[-1] + mean_y - w @ (shift[:-1] + mean_x))
@@ -315,21 +409,145 @@ def _errors(m: np.ndarray, w: np.ndarray, b: float, shift: np.ndarray) -> tuple[
     return mse, (1.0 - mse / var if var > 0 else float("nan"))
 
 
+@dataclass(frozen=True)
+class _Problem:
+    """Train on the sum of some groups' products, test on those of another."""
+
+    train: tuple[int, ...]
+    test: int | None = None
+
+
+def _by_fold(sums: Products) -> dict[int, _Problem]:
+    groups = sums.groups()
+    return {f: _Problem(tuple(g for g in groups if g != f), f) for f in groups}
+
+
+_SCORED = ("problem int, position int, alpha double, rows double, train_mse double, "
+           "test_mse double, train_r2 double, test_r2 double, w array<double>, b double")
+
+
+def _scored(problem: int, train: np.ndarray, test: np.ndarray | None, kind: str,
+            alphas: Sequence[tuple[int, float]], shift: np.ndarray) -> Iterator[tuple]:
+    """Rows of ``_SCORED``; each penalty starts from the solution of the next larger one."""
+    start = None
+    for position, alpha in sorted(alphas, key=lambda x: -x[1]):
+        w, b = solve(kind, train, alpha, shift, start)
+        start = w
+        fit = _errors(train, w, b, shift)
+        held = _errors(test, w, b, shift) if test is not None else (None, None)
+        yield (problem, position, alpha, float(train[0, 0]), fit[0], held[0], fit[1], held[1],
+               w.tolist(), b)
+
+
+def _solve_all(spark: SparkSession, sums: Products, problems: Mapping[int, _Problem],
+               kind: str, alphas: Sequence[float]) -> list[Any]:
+    """Rows of ``_SCORED`` for every problem and penalty, solved in parallel tasks."""
+    grid = list(enumerate(map(float, alphas)))
+    if sums.matrices is None:
+        return _solve_wide(sums, problems, kind, grid)
+    shared = spark.sparkContext.broadcast((sums.shift, dict(sums.matrices)))
+    jobs = spark.createDataFrame([(k, i, a) for k in problems for i, a in grid],
+                                 "problem int, position int, alpha double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift, matrices = shared.value
+        for batch in batches:
+            rows = [r for k, i, a in zip(*(batch.column(c).to_pylist() for c in range(3)))
+                    for r in _scored(k, sum(matrices[g] for g in problems[k].train),
+                                     matrices.get(problems[k].test), kind, [(i, a)], shift)]
+            if rows:
+                yield _scored_batch(rows)
+
+    tasks = min(len(problems) * len(grid), 4 * spark.sparkContext.defaultParallelism)
+    return jobs.repartition(max(1, tasks)).mapInArrow(run, _SCORED).collect()
+
+
+def _scored_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), *[pa.float64()] * 6, pa.list_(pa.float64()), pa.float64()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+        names=[c.split()[0] for c in _SCORED.split(", ")])
+
+
+def _solve_wide(sums: Products, problems: Mapping[int, _Problem], kind: str,
+                alphas: Sequence[tuple[int, float]]) -> list[Any]:
+    """The same where matrices are blocks in the shared folder.
+
+    The blocks of all groups meet by place and become those of every problem; the blocks of a
+    problem meet in the task that solves it for all penalties.
+    """
+    shift, width = sums.shift, len(sums.shift) + 1
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            i, j = at
+            for k, problem in problems.items():
+                parts = [held[g] for g in problem.train if g in held]
+                found = [(2 * k, sum(parts))] if parts else []
+                if problem.test in held:
+                    found.append((2 * k + 1, held[problem.test]))
+                yield pa.RecordBatch.from_pylist(
+                    [{"g": g, "i": i, "j": j, "v": np.asarray(v).tobytes()} for g, v in found],
+                    schema=_block_schema())
+
+        for batch in batches:
+            for g, i, j, v in _block_rows(batch):
+                if (i, j) != at:
+                    if at is not None:
+                        yield from out()
+                    at, held = (i, j), {}
+                held[g] = v
+        if at is not None:
+            yield from out()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, matrices = None, [None, None]
+
+        def out() -> pa.RecordBatch:
+            if not all(np.isfinite(m).all() for m in matrices if m is not None):
+                raise ValueError("features or label contain nulls or infinities")
+            return _scored_batch(list(_scored(of, *matrices, kind, alphas, shift)))
+
+        for batch in batches:
+            for g, i, j, v in _block_rows(batch):
+                if g >> 1 != of:
+                    if of is not None and matrices[0] is not None:
+                        yield out()
+                    of, matrices = g >> 1, [None, None]
+                if matrices[g & 1] is None:
+                    matrices[g & 1] = np.zeros((width, width))
+                _place(matrices[g & 1], i, j, v)
+        if of is not None and matrices[0] is not None:
+            yield out()
+
+    dealt = (sums.blocks.repartition("i", "j").sortWithinPartitions("i", "j", "g")
+             .mapInArrow(deal, _BLOCKS))
+    by_problem = F.shiftright("g", 1)
+    tasks = max(len(problems), 1)
+    return (dealt.repartition(tasks, by_problem).sortWithinPartitions("g", "i", "j")
+            .mapInArrow(run, _SCORED).collect())
+
+
 def fit_linear(df: DataFrame, features: Sequence[str], label: str, kind: str = "ridge",
                alpha: float = 1.0, sums: Products | None = None) -> LinearModel:
     sums = sums or products(df, features, label)
-    m = sums.total()
-    w, b = solve(kind, m, alpha, sums.shift)
+    if sums.matrices is None:
+        whole = {0: _Problem(tuple(sums.groups()))}
+        row = _solve_all(df.sparkSession, sums, whole, kind, [alpha])[0]
+        w, b, n = row["w"], row["b"], row["rows"]
+    else:
+        m = sums.total()
+        w, b = solve(kind, m, alpha, sums.shift)
+        n = m[0, 0]
     return LinearModel(kind, float(alpha), sums.features, tuple(map(float, w)), b,
-                       {"train_samples": int(m[0, 0]), "n_features": len(w)})
+                       {"train_samples": int(n), "n_features": len(w)})
 
 
 def mllib_model(df: DataFrame, features: Sequence[str], label: str, kind: str = "ridge",
                 alpha: float = 1.0, tol: float = 1e-12, max_iter: int = 1000) -> LinearModel:
-    """The same model from MLlib, whose L2 penalty is scaled by the label's std.
-
-    For more features than ``products`` keeps.
-    """
+    """The same model from MLlib, whose L2 penalty is scaled by the label's std."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
@@ -356,30 +574,13 @@ def mllib_model(df: DataFrame, features: Sequence[str], label: str, kind: str =
 
 def grid_scores(spark: SparkSession, sums: Products, kind: str, alphas: Sequence[float]
                 ) -> DataFrame:
-    """(alpha, fold, train_mse, test_mse, train_r2, test_r2), solved in parallel tasks."""
-    shared = spark.sparkContext.broadcast((sums.shift, dict(sums.matrices)))
-    jobs = [(i, float(a), f) for i, a in enumerate(alphas) for f in sums.groups()]
-    table = spark.createDataFrame(jobs, "position int, alpha double, fold int")
-
-    def run(batches: Iterator[Any]) -> Iterator[Any]:
-        shift, matrices = shared.value
-        total = sum(matrices.values())
-        for pdf in batches:
-            out = []
-            for a, f in zip(pdf["alpha"], pdf["fold"]):
-                train = total - matrices[f]
-                w, b = solve(kind, train, a, shift)
-                out.append(_errors(train, w, b, shift) + _errors(matrices[f], w, b, shift))
-            e = np.array(out).reshape(-1, 4)
-            yield pdf.assign(train_mse=e[:, 0], test_mse=e[:, 2], train_r2=e[:, 1],
-                             test_r2=e[:, 3])
-
-    tasks = min(len(jobs), 4 * spark.sparkContext.defaultParallelism)
-    # mapInPandas over a few job rows; settled so that later uses do not solve again.
-    solved = table.repartition(tasks).mapInPandas(
-        run, "position int, alpha double, fold int, train_mse double, test_mse double, "
-             "train_r2 double, test_r2 double")
-    return spark.createDataFrame(solved.collect(), solved.schema)
+    """(position, alpha, fold, train_mse, test_mse, train_r2, test_r2), solved in tasks."""
+    rows = [(r["position"], r["alpha"], r["problem"], r["train_mse"], r["test_mse"],
+             r["train_r2"], r["test_r2"])
+            for r in _solve_all(spark, sums, _by_fold(sums), kind, alphas)]
+    return spark.createDataFrame(
+        sorted(rows), "position int, alpha double, fold int, train_mse double, "
+        "test_mse double, train_r2 double, test_r2 double")
 
 
 def grid_table(scores: DataFrame) -> DataFrame:
@@ -394,70 +595,31 @@ def grid_table(scores: DataFrame) -> DataFrame:
 
 def grid_search(df: DataFrame, features: Sequence[str], label: str, fold: str,
                 kind: str = "ridge", alphas: Sequence[float] | None = None,
-                sums: Products | None = None, max_features: int = MAX_FEATURES
-                ) -> tuple[LinearModel, DataFrame]:
+                sums: Products | None = None) -> tuple[LinearModel, DataFrame]:
     """Best penalty by mean test MSE (the first on ties), refitted on all rows, and the
     score of every penalty and fold."""
     spark = df.sparkSession
     alphas = list(alphas or (RIDGE_ALPHAS if kind == "ridge" else LASSO_ALPHAS))
-    if len(features) > max_features:
-        scores = _mllib_grid(df, features, label, fold, kind, alphas)
-    else:
-        sums = sums or products(df, features, label, col(fold))
-        scores = grid_scores(spark, sums, kind, alphas)
+    sums = sums or products(df, features, label, col(fold))
+    scores = grid_scores(spark, sums, kind, alphas)
     best = grid_table(scores).orderBy("mean_test_mse", "position").first()
-    model = (mllib_model(df, features, label, kind, best["alpha"]) if sums is None
-             else fit_linear(df, features, label, kind, best["alpha"], sums))
+    model = fit_linear(df, features, label, kind, best["alpha"], sums)
     meta = dict(model.metadata) | {
         "best_params": {"alpha": best["alpha"]}, "best_cv_score": best["mean_test_mse"]}
     return LinearModel(kind, model.alpha, model.features, model.coefficients, model.intercept,
                        meta), scores
 
 
-def _mllib_folds(df: DataFrame, features: Sequence[str], label: str, fold: str, kind: str,
-                 alpha: float) -> DataFrame:
-    """(fold, part, mse, mae, r2) with one MLlib fit per fold."""
-    parts = []
-    for row in df.select(col(fold).cast("int").alias("f")).distinct().orderBy("f").collect():
-        f = row["f"]
-        model = mllib_model(df.filter(col(fold) != f), features, label, kind, alpha)
-        y = col(label).cast("double")
-        scored = df.select((col(fold) == f).alias("test"), y.alias("y"),
-                           (y - model.expr()).alias("e"))
-        parts.append(scored.groupBy("test").agg(
-            F.lit(f).alias("fold"), F.avg(F.col("e") * F.col("e")).alias("mse"),
-            F.avg(F.abs("e")).alias("mae"), F.var_pop("y").alias("__v")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("fold", F.when(F.col("test"), "test").otherwise("train").alias("part"),
-                      "mse", "mae", (1 - F.try_divide("mse", "__v")).alias("r2"))
-
-
-def _mllib_grid(df: DataFrame, features: Sequence[str], label: str, fold: str, kind: str,
-                alphas: Sequence[float]) -> DataFrame:
-    out = None
-    for i, a in enumerate(alphas):
-        t = _mllib_folds(df, features, label, fold, kind, a).groupBy("fold").agg(*[
-            F.max(F.when(F.col("part") == part, F.col(m))).alias(f"{part}_{m}")
-            for m in ("mse", "r2") for part in ("train", "test")])
-        t = t.select(F.lit(i).alias("position"), F.lit(float(a)).alias("alpha"), "*")
-        out = t if out is None else out.unionByName(t)
-    return df.sparkSession.createDataFrame(out.collect(), out.schema)
-
-
 def fold_scores(df: DataFrame, features: Sequence[str], label: str, fold: str,
-                kind: str = "ridge", alpha: float = 1.0, sums: Products | None = None,
-                max_features: int = MAX_FEATURES) -> DataFrame:
+                kind: str = "ridge", alpha: float = 1.0, sums: Products | None = None
+                ) -> DataFrame:
     """(fold, part, mse, mae, r2): models of all folds scored in one scan."""
-    if len(features) > max_features:
-        return _mllib_folds(df, features, label, fold, kind, alpha)
     sums = sums or products(df, features, label, col(fold))
-    total = sums.total()
-    folds = sums.groups()
-    fitted = {f: solve(kind, total - sums.matrices[f], alpha, sums.shift) for f in folds}
-    weights = np.array([fitted[f][0] for f in folds])
-    starts = np.array([fitted[f][1] for f in folds])
+    solved = sorted(_solve_all(df.sparkSession, sums, _by_fold(sums), kind, [alpha]),
+                    key=lambda r: r["problem"])
+    folds = [r["problem"] for r in solved]
+    weights = np.array([r["w"] for r in solved])
+    starts = np.array([r["b"] for r in solved])
     width = len(sums.features) + 1
     cells = df.select(F.array(*[col(c).cast("double") for c in (*sums.features, label)])
                       .alias("z"), col(fold).cast("int").alias("g"))
@@ -481,11 +643,8 @@ def fold_scores(df: DataFrame, features: Sequence[str], label: str, fold: str,
 
     mae = (cells.mapInArrow(residuals, "fold int, test boolean, n double, e double")
            .groupBy("fold", "test").agg((F.sum("e") / F.sum("n")).alias("mae")))
-    rows = []
-    for f in folds:
-        w, b = fitted[f]
-        for part, m in (("test", sums.matrices[f]), ("train", total - sums.matrices[f])):
-            rows.append((f, part == "test", part, *_errors(m, w, b, sums.shift)))
+    rows = [(r["problem"], part == "test", part, r[f"{part}_mse"], r[f"{part}_r2"])
+            for r in solved for part in ("test", "train")]
     squared = df.sparkSession.createDataFrame(
         rows, "fold int, test boolean, part string, mse double, r2 double")
     return mae.join(F.broadcast(squared), ["fold", "test"]).select(
@@ -512,17 +671,17 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, subsets:
     a prefix is the sum of the steps up to it.
     """
     sums = products(df, features, label, held_out=col(subsets), folds=folds, steps=steps)
-    rows = []
+    there = set(sums.groups())
+    problems = {}
     for f in range(folds):
-        base = f * (steps + 1)
-        held, so_far = sums.matrices[base], 0
+        base, so_far = f * (steps + 1), []
         for s in range(1, steps + 1):
-            so_far = so_far + sums.matrices.get(base + s, 0)
-            if np.isscalar(so_far) or so_far[0, 0] < 1:
-                continue
-            w, b = solve(kind, so_far, alpha, sums.shift)
-            rows.append((f, s, int(so_far[0, 0]), _errors(so_far, w, b, sums.shift)[0],
-                         _errors(held, w, b, sums.shift)[0]))
+            so_far += [base + s] if base + s in there else []
+            if so_far:
+                problems[base + s] = _Problem(tuple(so_far), base)
+    rows = [(r["problem"] // (steps + 1), r["problem"] % (steps + 1), int(r["rows"]),
+             r["train_mse"], r["test_mse"])
+            for r in _solve_all(df.sparkSession, sums, problems, kind, [alpha])]
     scores = df.sparkSession.createDataFrame(
         rows, "fold int, step int, rows bigint, train double, val double")
     return scores.groupBy("step").agg(

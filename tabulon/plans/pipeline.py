@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,16 +115,13 @@ def run_plan(raw: DataFrame, settings: PlanSettings) -> PlanResult:
     keep = [*s.key, s.target, "__split"]
     matrix = stored(fitted.transform(table, keep), "matrix")
     names, train = list(fitted.names), matrix.filter(F.col("__split") == "train")
-    folded = split.kfold(train, s.key, s.folds, "__fold").persist(StorageLevel.DISK_ONLY)
+    folded = stored(split.kfold(train, s.key, s.folds, "__fold"), "folds")
 
-    sums = linear.products(folded, names, s.target, F.col("__fold")) \
-        if len(names) <= linear.MAX_FEATURES else None
+    sums = linear.products(folded, names, s.target, F.col("__fold"))
     models, grids, cv = {}, {}, {}
     for kind in s.models:
         if s.quick:
-            models[kind] = (linear.fit_linear(folded, names, s.target, kind, s.alpha, sums)
-                            if sums else
-                            linear.mllib_model(folded, names, s.target, kind, s.alpha))
+            models[kind] = linear.fit_linear(folded, names, s.target, kind, s.alpha, sums)
         else:
             models[kind], grids[kind] = linear.grid_search(
                 folded, names, s.target, "__fold", kind, s.grids[kind], sums)

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabulon.operators import linear as L
 from tabulon.operators import split as S
@@ -92,12 +93,105 @@ def test_grid_search(df, data):
     assert best["alpha"] == model.alpha
 
 
-def test_many_features_use_mllib(df, data):
-    """Beyond the feature limit the same scores come from MLlib fits."""
-    _, a = L.grid_search(df, NAMES, "y", "fold", "ridge", [1.0], max_features=2)
-    _, b = L.grid_search(df, NAMES, "y", "fold", "ridge", [1.0])
-    a, b = (t.orderBy("fold").toPandas()[["train_mse", "test_mse", "test_r2"]] for t in (a, b))
-    np.testing.assert_allclose(a, b, rtol=1e-6)
+@pytest.fixture
+def small_memory(monkeypatch):
+    """Blocks of four rows, and matrices that fit neither a task nor the driver."""
+    monkeypatch.setattr(L, "BLOCK", 4)
+    monkeypatch.setattr(L, "LOCAL_BYTES", 0)
+    monkeypatch.setattr(L, "TASK_BYTES", 0)
+
+
+def rows_of(table):
+    return sorted(map(tuple, table.collect()))
+
+
+@pytest.mark.parametrize("kind", ["ridge", "lasso"])
+def test_blocks_give_the_same(df, kind, request):
+    """Grid, folds, curve and fit from blocks in the shared folder."""
+    sub = S.learning_subsets(df, ["k"], "fold", 5, steps=4).persist()
+
+    def everything():
+        sums = L.products(df, NAMES, "y", df["fold"])
+        model, scores = L.grid_search(df, NAMES, "y", "fold", kind, [0.01, 1.0, 100.0], sums)
+        return (sums, [*model.coefficients, model.intercept, model.alpha], rows_of(scores),
+                rows_of(L.fold_scores(df, NAMES, "y", "fold", kind, 1.0, sums)),
+                rows_of(L.learning_curve(sub, NAMES, "y", "steps_from", 5, 4, kind, 1.0)))
+
+    local = everything()
+    request.getfixturevalue("small_memory")
+    wide = everything()
+    assert local[0].matrices is not None and wide[0].matrices is None
+    assert wide[0].blocks.groupBy("g").count().first()["count"] == 3       # 8 rows, 2 blocks
+    np.testing.assert_allclose(local[1], wide[1], rtol=1e-7, atol=1e-7)
+    for a, b in zip(local[2:], wide[2:]):
+        assert len(a) == len(b)
+        for x, y in zip(a, b):
+            assert [v for v in x if isinstance(v, str)] == [v for v in y if isinstance(v, str)]
+            np.testing.assert_allclose([v for v in x if not isinstance(v, str)],
+                                       [v for v in y if not isinstance(v, str)], rtol=1e-6)
+
+
+def test_blocks_refuse_nulls(spark, small_memory):
+    df = spark.createDataFrame([(1.0, 1.0), (None, 2.0), (3.0, 1.0)], "x double, y double")
+    with pytest.raises(Exception, match="nulls or infinities"):
+        L.fit_linear(df, ["x"], "y")
+
+
+def test_screened_descent_meets_the_conditions():
+    """Many features, few of them used; the penalties follow each other from large to small."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 300))
+    x[:, 100:200] = x[:, :100] + 0.1 * rng.normal(size=(500, 100))
+    y = x[:, :20] @ rng.normal(size=20) + rng.normal(size=500)
+    xc, yc = x - x.mean(0), y - y.mean()
+    start = None
+    for alpha in (1.0, 0.3, 0.1, 0.01):
+        cold = L._lasso(xc.T @ xc, xc.T @ yc, 500.0, alpha)
+        w = L._lasso(xc.T @ xc, xc.T @ yc, 500.0, alpha, start=start)
+        start = w
+        grad = xc.T @ (yc - xc @ w) / 500
+        assert np.abs(grad).max() <= alpha + 1e-8
+        np.testing.assert_allclose(grad[w != 0], alpha * np.sign(w[w != 0]), atol=1e-8)
+        np.testing.assert_allclose(w, cold, atol=1e-6)
+
+
+def test_many_features(spark):
+    """1,500 features: grid, folds and curve against numpy."""
+    rng = np.random.default_rng(3)
+    n, p = 1800, 1500
+    x = rng.normal(size=(n, p)).round(3)
+    y = x[:, :30] @ rng.normal(size=30) + rng.normal(size=n)
+    names = [f"x{i}" for i in range(p)]
+    pdf = pd.DataFrame(x, columns=names).assign(y=y, k=np.arange(n), fold=np.arange(n) % 3)
+    wide = spark.createDataFrame(pdf).repartition(4)
+    wide = wide.withColumn("h", F.array(*[
+        F.when(F.col("fold") == f, 0).otherwise(F.col("k") % 2 + 1) for f in range(3)]))
+    from tabulon.session import stored
+
+    wide = stored(wide, "wide")
+
+    def fit(t, alpha):
+        xc, yc = x[t] - x[t].mean(0), y[t] - y[t].mean()
+        w = np.linalg.solve(xc.T @ xc + alpha * np.eye(p), xc.T @ yc)
+        return w, y[t].mean() - x[t].mean(0) @ w
+
+    sums = L.products(wide, names, "y", F.col("fold"))
+    _, scores = L.grid_search(wide, names, "y", "fold", "ridge", [10.0, 1000.0], sums)
+    for r in scores.collect():
+        t = np.arange(n) % 3 != r["fold"]
+        w, b = fit(t, r["alpha"])
+        assert r["test_mse"] == pytest.approx(((y - b - x @ w)[~t] ** 2).mean(), rel=1e-6)
+    curve = L.learning_curve(wide, names, "y", "h", 3, 2, "ridge", 10.0).collect()
+    want = []
+    for f in range(3):
+        w, b = fit((np.arange(n) % 3 != f) & (np.arange(n) % 2 == 0), 10.0)
+        want.append(((y - b - x @ w)[np.arange(n) % 3 == f] ** 2).mean())
+    assert curve[0]["val_rmse"] == pytest.approx(np.sqrt(np.mean(want)), rel=1e-6)
+    lasso = L.fit_linear(wide, names, "y", "lasso", 0.1, sums)
+    w = np.array(lasso.coefficients)
+    grad = (x - x.mean(0)).T @ (y - lasso.intercept - x @ w) / n
+    assert np.abs(grad).max() <= 0.1 + 1e-6 and 20 < (w != 0).sum() < 400
+    np.testing.assert_allclose(grad[w != 0], 0.1 * np.sign(w[w != 0]), atol=1e-6)
 
 
 def test_cross_validation(df, data):
