@@ -34,6 +34,18 @@ def kfold_assign(spark, sf):
     return S.kfold(lineitem(spark, sf).select(*KEY), KEY, 7)
 
 
+def kfold_text(spark, sf):
+    """Folds in the order of a text key, a tenth of which is null."""
+    df = table(spark, sf, "customer").selectExpr(
+        "case when c_custkey % 10 > 0 then c_name end as name", "c_custkey")
+    return S.kfold(df, ["name", "c_custkey"], 7)
+
+
+def split_text_key(spark, sf):
+    df = table(spark, sf, "customer").select("c_name", "c_mktsegment")
+    return S.three_way_split(df, ["c_name"], ["c_mktsegment"])
+
+
 def learning_subsets(spark, sf):
     df = S.kfold(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 3)
     out = S.learning_subsets(df, ["o_orderkey"], "fold", 3)
@@ -48,7 +60,7 @@ def row_index(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     split_three_way, split_sizes, split_many_strata, split_unstratified, kfold_assign,
-    learning_subsets, row_index)}
+    kfold_text, split_text_key, learning_subsets, row_index)}
 
 
 def _three_way(rows: str, key: str, strata: str) -> str:
@@ -85,6 +97,11 @@ order by md5(concat_ws('|', o_orderkey, '42'))) <= (select (count(*) + 4) // 5 f
 then 'test' else 'train' end as split from orders""",
     "kfold_assign": f"""select {KEY_SQL}, cast(ntile(7) over (order by {KEY_SQL}) - 1 as integer)
 as fold from {LINEITEM}""",
+    "kfold_text": """select *, cast(ntile(7) over (order by name nulls first, c_custkey) - 1
+as integer) as fold from (select case when c_custkey % 10 > 0 then c_name end as name, c_custkey
+from customer)""",
+    "split_text_key": _three_way("select c_name, c_mktsegment from customer", "c_name",
+                                 "c_mktsegment"),
     "learning_subsets": """with t as (select o_orderkey, cast(ntile(3) over (order by o_orderkey)
   - 1 as integer) fold from orders),
 x as (select t.*, cast(h.range as integer) held_out from t, range(3) h),

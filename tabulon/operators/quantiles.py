@@ -18,6 +18,7 @@ from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,8 @@ GROUP_DISTINCT = 100_000
 #: Up to this many groups get brackets of their own.
 BRACKET_GROUPS = 8
 MAX_ROUNDS = 64
+#: Bytes of a text that are compared as one number; with their count it is exact as a double.
+CODE_BYTES = 6
 
 
 @dataclass
@@ -337,29 +340,115 @@ def _sorted_groups(slim: DataFrame, by: Sequence[str], probs: Mapping[str, float
         for i, name in enumerate(probs)])
 
 
+def _text_code(text: Column, at: int) -> Column:
+    """A number whose order is that of texts which agree in their first ``at`` bytes.
+
+    It holds the next bytes and how many there are, so a text comes before its continuations.
+    """
+    part = F.substring(text.cast("binary"), at + 1, CODE_BYTES)
+    digits = F.rpad(F.hex(part), 2 * CODE_BYTES, "0")
+    return F.conv(digits, 16, 10).cast("bigint") * 8 + F.length(part)
+
+
+def text_ranks(df: DataFrame, text: Column, ranks: Sequence[int],
+               bracket_rows: int = BRACKET_ROWS) -> dict[int, tuple[str, int, int]]:
+    """``{rank: (value, rows below it, rows equal to it)}`` among texts without nulls.
+
+    What all texts begin with is skipped. The next bytes as a number are bracketed like any
+    number; where many rows share them, the search goes on behind them, among those rows only.
+    """
+    row = df.agg(F.min(text).alias("low"), F.max(text).alias("high"), F.count(text)).first()
+    low, high, n = row
+    if max(ranks) >= n or min(ranks) < 0:
+        raise ValueError(f"rank out of range: {n} values")
+    if low == high:
+        return {r: (low, 0, n) for r in ranks}
+    pairs = zip(low.encode(), high.encode())
+    at = next((i for i, (x, y) in enumerate(pairs) if x != y), len(low.encode()))
+    code = _text_code(text, at)
+    _, found = select_ranks(df, {"c": (code, lambda _: ranks)},
+                            [r / max(n - 1, 1) for r in ranks], bracket_rows=bracket_rows)["c"]
+    out: dict[int, tuple[str, int, int]] = {}
+    few: dict[int, list[int]] = {}
+    for value, members in _by_value(found).items():
+        _, below, equal = found[members[0]]
+        # Texts that end within these bytes are equal to each other.
+        if equal <= bracket_rows or value % 8 < CODE_BYTES:
+            few[value] = members
+            continue
+        deeper = text_ranks(df.filter(code == F.lit(value)), text, [r - below for r in members],
+                            bracket_rows)
+        for r in members:
+            v, under, same = deeper[r - below]
+            out[r] = (v, below + under, same)
+    if few:
+        counts = (df.filter(code.isin(list(few))).groupBy(code.alias("c"), text.alias("v"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+        # A bracket's different texts, or a single text, in each group.
+        before = W.partitionBy("c").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+        counts = counts.withColumn("f", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        wanted = F.lit(False)
+        for value, members in few.items():
+            for r in members:
+                place = F.lit(r - found[r][1])
+                wanted = wanted | ((F.col("c") == value) & (F.col("f") <= place)
+                                   & (place < F.col("f") + F.col("n")))
+        for hit in counts.filter(wanted).collect():
+            for r in few[hit["c"]]:
+                below = found[r][1] + hit["f"]
+                if below <= r < below + hit["n"]:
+                    out[r] = (hit["v"], below, hit["n"])
+    return out
+
+
+def _by_value(found: Mapping[int, tuple[Any, int, int]]) -> dict[Any, list[int]]:
+    groups: dict[Any, list[int]] = {}
+    for r, (value, _, _) in found.items():
+        groups.setdefault(value, []).append(r)
+    return groups
+
+
 def cut_by_rank(df: DataFrame, keys: Sequence[str], ranks: Sequence[int],
-                tie_rows: int = BRACKET_ROWS, rows: int | None = None) -> list[tuple]:
-    """Key tuples standing at ``ranks`` (from 0) in the order of ``keys``.
+                tie_rows: int = BRACKET_ROWS, rows: int | None = None,
+                nulls: int | None = None) -> list[tuple]:
+    """Key tuples standing at ``ranks`` (from 0) in the order of ``keys``, nulls first.
 
     Works key by key: the value of the first key at a rank, then the rest of the
     key among the rows sharing that value, so a value on a third of all rows is no
-    problem. Keys must be numbers, dates or timestamps without nulls. ``rows``, the
-    size of the table where it is known, saves a scan.
+    problem. Keys are numbers, dates, timestamps or texts, in the order of their UTF-8 bytes.
+    ``rows`` and ``nulls``, the size of the table and the nulls of the first key where they
+    are known, save a scan.
     """
     ranks = sorted(set(ranks))
     if not ranks:
         return []
     head, rest = keys[0], list(keys[1:])
-    hints = [r / max(rows - 1, 1) for r in ranks] if rows else ()
-    _, found = select_ranks(df, {head: (col(head), lambda n: ranks)}, hints)[head]
-    if not rest:
-        return [(found[r][0],) for r in ranks]
+    if nulls is None:
+        rows, nulls = df.agg(F.count(F.lit(1)), F.count_if(col(head).isNull())).first()
     out: dict[int, tuple] = {}
+    if nulls:
+        among = [r for r in ranks if r < nulls]
+        tails = (cut_by_rank(df.filter(col(head).isNull()), rest, among, tie_rows)
+                 if rest else [()] * len(among))
+        out.update({r: (None, *t) for r, t in zip(among, tails)})
+        df = df.filter(col(head).isNotNull())
+        rows = rows - nulls if rows else None
+    after = [r - nulls for r in ranks if r >= nulls]
+    if not after:
+        return [out[r] for r in ranks]
+    if isinstance(df.schema[head].dataType, T.StringType):
+        found = text_ranks(df, col(head), after, tie_rows)
+    else:
+        hints = [min(1.0, r / max(rows - 1, 1)) for r in after] if rows else ()
+        _, found = select_ranks(df, {head: (col(head), lambda n: after)}, hints)[head]
+    if not rest:
+        out.update({r + nulls: (found[r][0],) for r in after})
+        return [out[r] for r in ranks]
     small = {r: f for r, f in found.items() if f[2] <= tie_rows}
     for r, (v, below, equal) in found.items():
         if r not in small:
-            tail = cut_by_rank(df.filter(col(head) == F.lit(v)), rest, [r - below], tie_rows, equal)
-            out[r] = (v,) + tail[0]
+            tail = cut_by_rank(df.filter(col(head) == F.lit(v)), rest, [r - below], tie_rows)
+            out[r + nulls] = (v, *tail[0])
     if small:
         ties = df.filter(col(head).isin([f[0] for f in small.values()]))
         ordered = ", ".join("`" + k.replace("`", "``") + "`" for k in rest)
@@ -372,5 +461,5 @@ def cut_by_rank(df: DataFrame, keys: Sequence[str], ranks: Sequence[int],
         for row in ties.filter(hit).collect():
             for r, (v, below, _) in small.items():
                 if row[head] == v and row["__rn"] == r - below + 1:
-                    out[r] = tuple(row[k] for k in keys)
+                    out[r + nulls] = tuple(row[k] for k in keys)
     return [out[r] for r in ranks]

@@ -223,21 +223,25 @@ def fold_starts(n: int, k: int) -> list[int]:
 
 
 def kfold(df: DataFrame, order: Sequence[str], k: int = 5, out: str = "fold") -> DataFrame:
-    """Add contiguous, unshuffled folds 0..k-1 in the order of unique numeric keys.
+    """Add contiguous, unshuffled folds 0..k-1 in the order of unique keys, nulls first.
 
-    Only the key tuples at the k-1 fold starts are looked up; rows are compared with
-    them in place.
+    Keys are numbers, dates, timestamps or texts (in the order of their UTF-8 bytes). Only the
+    key tuples at the k-1 fold starts are looked up; rows are compared with them in place.
     """
-    n = df.count()
+    n, nulls = df.agg(F.count(F.lit(1)), F.count_if(col(order[0]).isNull())).first()
     if n < k:
         raise ValueError(f"{n} rows cannot make {k} folds")
     cuts = cut_by_rank(df.select(*[col(c) for c in order]), order, fold_starts(n, k)[1:],
-                       rows=n)
+                       rows=n, nulls=nulls)
     fold = F.lit(0)
     for cut in cuts:
         at_or_after = F.lit(True)
         for c, v in reversed(list(zip(order, cut))):
-            at_or_after = (col(c) > F.lit(v)) | ((col(c) == F.lit(v)) & at_or_after)
+            if v is None:
+                at_or_after = col(c).isNotNull() | at_or_after
+            else:
+                at_or_after = F.coalesce((col(c) > F.lit(v)) | ((col(c) == F.lit(v))
+                                                                & at_or_after), F.lit(False))
         fold = fold + at_or_after.cast("int")
     return df.withColumn(out, fold)
 

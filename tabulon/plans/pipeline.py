@@ -20,7 +20,7 @@ GRIDS = {"ridge": linear.RIDGE_GRID, "lasso": linear.LASSO_GRID}
 @dataclass(frozen=True)
 class PlanSettings:
     target: str
-    #: Whole-number columns that tell rows apart and order them.
+    #: Columns that tell rows apart and order them: numbers, dates, timestamps or texts.
     key: tuple[str, ...]
     exclude: tuple[str, ...] = ()
     strata: tuple[str, ...] = ()

@@ -72,3 +72,51 @@ def test_learning_subsets_are_nested(spark):
         assert (steps[out["fold"] == f] == 0).all()
         for s in range(1, 6):
             assert ((steps > 0) & (steps <= s)).sum() == 75 * s // 5
+
+
+TEXTS = ["", "a", "a\x00", "a\x00b", "aa", "abcdef", "abcdefg", "abcdefgh" * 4, "ä", "漢字", "😀",
+         "z" * 40 + "1", "z" * 40 + "2", "Z"]
+
+
+@pytest.mark.parametrize("bracket", [1, 3, 50_000])
+def test_ranks_of_texts(spark, bracket):
+    """Short ones, shared beginnings, a value on a third of the rows, characters beyond ASCII."""
+    from tabulon.operators.quantiles import text_ranks
+
+    rows = [t for i, t in enumerate(TEXTS) for _ in range(1 + i % 3)] + ["mmmmmmmm"] * 15
+    rows += [f"common-prefix-{i:04d}" for i in range(20)]
+    df = spark.createDataFrame([(t,) for t in rows], "t string").repartition(3)
+    ordered = sorted(rows, key=str.encode)
+    got = text_ranks(df, F.col("t"), range(len(rows)), bracket)
+    assert got == {r: (t, ordered.index(t), ordered.count(t)) for r, t in enumerate(ordered)}
+
+
+@pytest.mark.parametrize("bracket", [2, 50_000])
+def test_folds_by_texts_and_nulls(spark, bracket, monkeypatch):
+    from tabulon.operators import quantiles
+
+    monkeypatch.setattr(quantiles.cut_by_rank, "__defaults__", (bracket, None, None))
+    rows = [(t if i % 4 else None, d if i % 3 else None, i)
+            for i, (t, d) in enumerate((t, d) for t in [*TEXTS, "same", "same"]
+                                       for d in ("x", "y", "z", "same-day"))]
+    df = spark.createDataFrame(rows, "t string, d string, k int").repartition(3)
+    order = sorted(rows, key=lambda r: [(x is not None, x.encode() if isinstance(x, str) else x)
+                                        for x in r])
+    for k in (2, 5, 9):
+        want = {}
+        starts = S.fold_starts(len(rows), k)
+        for i, r in enumerate(order):
+            want[r[2]] = sum(i >= s for s in starts) - 1
+        assert {r["k"]: r["fold"] for r in S.kfold(df, ["t", "d", "k"], k).collect()} == want
+
+
+def test_plan_by_a_text_key(spark):
+    from tabulon.plans.pipeline import PlanSettings, run_plan
+
+    df = spark.range(300).selectExpr("uuid() as id", "cast(id % 17 as double) as x",
+                                     "id % 17 + 0.5 * (id % 3) as y")
+    from tabulon.session import stored
+
+    result = run_plan(stored(df), PlanSettings("y", ("id",), models=("ridge",), outliers=None))
+    assert sum(result.split_rows.values()) == 300
+    assert result.metrics.first()["r2"] > 0.5
