@@ -69,6 +69,13 @@ def value_counts_topk(spark, sf):
     return P.value_counts(table(spark, sf, "part"), ["p_brand", "p_type", "p_name"], 10)
 
 
+def value_counts_summaries(spark, sf):
+    """Columns with a value for each row, and one with hot values, by the tasks' summaries."""
+    df = table(spark, sf, "customer").selectExpr(
+        "c_name", "c_mktsegment", "if(c_custkey % 3 = 0, 'hot', c_name) as mixed")
+    return P.value_counts(df, ["c_name", "c_mktsegment", "mixed"], 10, few_values=0)
+
+
 def value_counts(spark, sf):
     return P.value_counts(table(spark, sf, "customer"), "c_mktsegment")
 
@@ -87,6 +94,21 @@ def correlation_matrix(spark, sf):
     return rounded(P.correlation_matrix(nulled(spark, sf), NUMBERS), ["correlation"])
 
 
+def _sixty() -> list[tuple[str, str]]:
+    """Sixty columns with nulls of their own, among them a constant and one without values."""
+    base = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey"]
+    made = [(f"x{i}", f"case when (l_orderkey + {i} * l_linenumber) % {3 + i % 7} > 0 then "
+                      f"{base[i % 6]} * {1 + i % 4} + {i} * l_linenumber end")
+            for i in range(58)]
+    return [*made, ("x58", "5.0"), ("x59", "cast(null as double)")]
+
+
+def correlation_matrix_nulls(spark, sf):
+    """Pairwise-complete correlations of sixty columns in one scan."""
+    df = table(spark, sf, "lineitem").selectExpr(*[f"{e} as {c}" for c, e in _sixty()])
+    return rounded(P.correlation_matrix(df), ["correlation"], 5)
+
+
 def dataset_card(spark, sf):
     return rounded(P.dataset_card(table(spark, sf, "orders"), "o_totalprice"),
                    ["target_mean", "target_std", "target_min", "target_max"], 3)
@@ -148,6 +170,7 @@ QUERIES = {f.__name__: f for f in (
     preview, table_info, null_profile, duplicate_rows, duplicate_rows_wide,
     distinct_counts, quality_report,
     numeric_summary, describe_target, categorical_summary, value_counts_topk, value_counts,
+    value_counts_summaries, correlation_matrix_nulls,
     distinct_values, target_correlations, correlation_matrix, dataset_card, histogram40,
     histogram_by_group, boxplot_stats, table_check, model_input_nulls, target_range,
     validate_rows)}
@@ -215,6 +238,11 @@ select '{c}' as "column", (select count(*) from c) as total_unique,
     "value_counts_topk": " union all ".join(f"""
 select * from (select '{c}' as "column", {c} as "value", count(*) as "count" from part
 group by {c} order by count(*) desc, {c} limit 10)""" for c in ("p_brand", "p_type", "p_name")),
+    "value_counts_summaries": " union all ".join(f"""
+select * from (select '{c}' as "column", v as "value", count(*) as "count"
+from (select {e} as v from customer) group by v order by count(*) desc, v limit 10)"""
+        for c, e in (("c_name", "c_name"), ("c_mktsegment", "c_mktsegment"),
+                     ("mixed", "case when c_custkey % 3 = 0 then 'hot' else c_name end"))),
     "value_counts": "select 'c_mktsegment' as \"column\", c_mktsegment as \"value\", "
                     "count(*) as \"count\" from customer group by c_mktsegment",
     "distinct_values": " union all ".join(
@@ -226,6 +254,15 @@ group by {c} order by count(*) desc, {c} limit 10)""" for c in ("p_brand", "p_ty
     "correlation_matrix": " union all ".join(
         f"select '{a}' as column_a, '{b}' as column_b, {R(f'corr({a}, {b})')} as correlation "
         f"from {NULLED}" for a in NUMBERS for b in NUMBERS),
+    "correlation_matrix_nulls": "with t as (select " + ", ".join(
+        f"cast({e} as double) as {c}" for c, e in _sixty()) + " from lineitem), r as (select "
+    + ", ".join(f"corr({a}, {b}) as {a}_{b}" for i, (a, _) in enumerate(_sixty())
+                for b, _ in _sixty()[i:]) + " from t), l as (unpivot r on * into name p value r)"
+    + """, n as (select split_part(p, '_', 1) as a, split_part(p, '_', 2) as b,
+  case when isfinite(r) then round(r, 5) end as r from l),
+every as (select 'x' || i.range as a, 'x' || j.range as b from range(60) i, range(60) j)
+select e.a as column_a, e.b as column_b, n.r as correlation from every e
+left join n on (n.a = e.a and n.b = e.b) or (n.a = e.b and n.b = e.a and e.a <> e.b)""",
     "dataset_card": f"""select count(*) as total_rows, cast(6 as bigint) as total_columns,
 {R('avg(o_totalprice)', 3)} as target_mean, {R('stddev_samp(o_totalprice)', 3)} as target_std,
 {R('min(o_totalprice)', 3)} as target_min, {R('max(o_totalprice)', 3)} as target_max

@@ -7,13 +7,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.expr import col
 from tabulon.operators.common import is_numeric, numeric_columns, rows_from_aggregate
+from tabulon.operators.frequent import top_values
 from tabulon.operators.quantiles import column_quantiles
+from tabulon.session import BROADCAST_ROWS, stored
 
 #: Fixed value: what a missing category is called.
 UNKNOWN = "DESCONOCIDO"
@@ -84,22 +86,14 @@ def keep_filled_columns(df: DataFrame, min_share: float = 0.3) -> DataFrame:
 def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
     """Most frequent value per column, the smallest on ties; None without values.
 
-    Values are counted in groups of (column, value), so the most frequent value or
-    a column of distinct values never gathers in one task.
+    See ``frequent``: neither a frequent value nor a column of distinct ones gathers in a task.
     """
     out: dict[str, Any] = {c: None for c in columns}
     by_type: dict[str, list[str]] = {}
     for c in columns:
         by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
     for names in by_type.values():
-        cells = F.array(*[F.struct(F.lit(i).alias("i"), col(c).alias("v"))
-                          for i, c in enumerate(names)])
-        counts = (df.select(F.explode(cells).alias("x")).select("x.i", "x.v")
-                  .filter(F.col("v").isNotNull())
-                  .groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")))
-        most = counts.groupBy("i").agg(F.max("n").alias("n"))
-        tied = counts.join(F.broadcast(most), ["i", "n"])      # one row per column
-        for row in tied.groupBy("i").agg(F.min("v").alias("v")).collect():
+        for row in top_values(df, names, 1).collect():       # one row per column
             out[names[row["i"]]] = row["v"]
     return out
 
@@ -266,7 +260,20 @@ def convert_types(df: DataFrame, roles: FeatureRoles) -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """One row of each group of equal rows, nulls equal.
+
+    Hashes of the rows are counted first. Rows whose hash occurs once stay where they are;
+    only the others are brought together and compared by value.
+    """
+    hashed = df.withColumn("__h", F.xxhash64(*[col(c) for c in df.columns]))
+    again = stored(hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
+                   .filter("__n > 1").select("__h"), "repeated")
+    n = again.count()
+    if not n:
+        return df
+    small = F.broadcast(again) if n <= BROADCAST_ROWS else again
+    return (hashed.join(small, "__h", "left_anti").drop("__h").unionByName(
+        hashed.join(small, "__h", "left_semi").drop("__h").dropDuplicates()))
 
 
 def numeric_matrix(df: DataFrame, target: str, fit_on: DataFrame | None = None) -> DataFrame:
@@ -282,16 +289,38 @@ def feature_columns(df: DataFrame, target: str, exclude: Sequence[str] = ()) ->
 
 
 class ProcessingLog:
-    """Steps with the size of the table after each, and the before/after report."""
+    """Steps with the size of the table after each, and the before/after report.
+
+    ``watch`` counts a step's rows while a later job reads them, so no job is run to count;
+    the log can be read once such a job has ended.
+    """
 
     def __init__(self) -> None:
-        self.steps: list[tuple[int, str, str, int, int]] = []
+        self._steps: list[tuple[str, str, int | Observation, int]] = []
 
     def add(self, action: str, details: str, df: DataFrame, rows: int | None = None) -> int:
+        """A step whose rows are known, or are counted now."""
         n = df.count() if rows is None else rows
-        self.steps.append((len(self.steps) + 1, action, details, n, len(df.columns)))
+        self._steps.append((action, details, n, len(df.columns)))
         return n
 
+    def watch(self, action: str, details: str, df: DataFrame) -> DataFrame:
+        """``df``, whose rows are counted by the first job that reads all of the table given
+        back."""
+        seen = Observation()
+        self._steps.append((action, details, seen, len(df.columns)))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def same_rows(self, action: str, details: str, df: DataFrame) -> None:
+        """A step that leaves the rows of the one before."""
+        self._steps.append((action, details, self._steps[-1][2], len(df.columns)))
+
+    @property
+    def steps(self) -> list[tuple[int, str, str, int, int]]:
+        """(step, action, details, rows, columns) of each step."""
+        return [(i + 1, a, d, n.get["rows"] if isinstance(n, Observation) else n, c)
+                for i, (a, d, n, c) in enumerate(self._steps)]
+
     def table(self, df: DataFrame) -> DataFrame:
         return df.sparkSession.createDataFrame(
             self.steps, "step int, action string, details string, rows bigint, columns int")

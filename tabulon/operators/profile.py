@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,11 +14,14 @@ from pyspark.sql import functions as F
 from tabulon.functions.expr import col, correlation, sample_kurtosis, sample_skewness
 from tabulon.operators.common import (
     join_small, melt, numeric_columns, rows_from_aggregate)
+from tabulon.operators.frequent import top_values
 from tabulon.operators.quantiles import column_quantiles, group_quantiles
 from tabulon.session import BROADCAST_ROWS
 
-#: Correlations computed by one scan.
-PAIRS_PER_SCAN = 150
+#: Columns whose pairs are correlated by one scan.
+PAIR_COLUMNS = 700
+#: Tasks that merge the sums of all others before the last one.
+_MERGERS = 16
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
@@ -126,30 +131,31 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     return numeric_summary(df, [column]).drop("skewness", "kurtosis")
 
 
-def value_counts(df: DataFrame, columns: str | Sequence[str], top: int | None = None
-                 ) -> DataFrame:
+def value_counts(df: DataFrame, columns: str | Sequence[str], top: int | None = None,
+                 few_values: int | None = None) -> DataFrame:
     """(column, value, count), nulls excluded; the ``top`` most frequent of each column."""
     names = [columns] if isinstance(columns, str) else list(columns)
-    counts = (melt(df, names, cast="string").filter(F.col("value").isNotNull())
-              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")))
     if top is None:
-        return counts
-    order = W.partitionBy("column").orderBy(F.desc("count"), "value")
-    # The rank filter is also applied before the shuffle, per input partition.
-    return (counts.withColumn("__rn", F.row_number().over(order))
-            .filter(F.col("__rn") <= top).drop("__rn"))
+        return (melt(df, names, cast="string").filter(F.col("value").isNotNull())
+                .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")))
+    return _named(top_values(df, names, top, "string", few_values), names).drop("place")
+
+
+def _named(tops: DataFrame, names: Sequence[str]) -> DataFrame:
+    name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("i") + 1)
+    return tops.select(name.alias("column"), F.col("v").alias("value"),
+                       F.col("n").alias("count"), "place")
 
 
 def categorical_summary(df: DataFrame, columns: str | Sequence[str], top_n: int = 10
                         ) -> DataFrame:
     """(column, total_unique, most_frequent, most_frequent_count, top_categories)."""
-    counts = value_counts(df, columns)
-    unique = counts.groupBy("column").agg(F.count(F.lit(1)).alias("total_unique"))
-    order = W.partitionBy("column").orderBy(F.desc("count"), "value")
-    best = (counts.withColumn("rn", F.row_number().over(order))
-            .filter(F.col("rn") <= top_n)
+    names = [columns] if isinstance(columns, str) else list(columns)
+    unique = distinct_counts(df, names).select(
+        "column", F.col("distinct_count").alias("total_unique"))
+    best = (_named(top_values(df, names, top_n, "string"), names)
             .groupBy("column").agg(F.array_sort(F.collect_list(
-                F.struct("rn", "value", "count"))).alias("top")))
+                F.struct("place", "value", "count"))).alias("top")))
     top = F.transform("top", lambda t: F.struct(t["value"].alias("value"),
                                                 t["count"].alias("count")))
     return unique.join(best, "column").select(
@@ -177,26 +183,117 @@ def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | Non
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column_a, column_b, correlation) for every ordered pair, diagonal included."""
+    """(column_a, column_b, correlation) for every ordered pair, diagonal included.
+
+    Each pair uses the rows that have both values (NaN counts as missing). All pairs come from
+    one scan, in which tasks multiply the values, squares and masks of their rows; more than
+    ``PAIR_COLUMNS`` columns take a scan for each pair of blocks of that many.
+    """
     names = list(columns or numeric_columns(df))
-    pairs = list(combinations(names, 2)) + [(c, c) for c in names]
-    parts = []
-    for at in range(0, len(pairs), PAIRS_PER_SCAN):
-        chunk = pairs[at:at + PAIRS_PER_SCAN]
-        wide = df.agg(*[correlation(col(a).cast("double"), col(b).cast("double")).alias(f"r{i}")
-                        for i, (a, b) in enumerate(chunk)])
-        cells = []
-        for i, (a, b) in enumerate(chunk):
-            for x, y in {(a, b), (b, a)}:
-                cells.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"),
-                                      F.col(f"r{i}").alias("correlation")))
-        parts.append(rows_from_aggregate(wide, cells))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    blocks = [names[at:at + PAIR_COLUMNS] for at in range(0, len(names), PAIR_COLUMNS)]
+    out = None
+    for i, a in enumerate(blocks):
+        for b in blocks[i:]:
+            found = _pair_correlations(df, a, b)
+            if b is not a:
+                found = found.unionByName(found.select(
+                    F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"),
+                    "correlation"))
+            out = found if out is None else out.unionByName(found)
     return out
 
 
+def _centred_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per pair of a column of ``x`` and one of ``y``, over the rows that have both: count, means,
+    squared deviations and their product. NaN is a missing value."""
+    mx, my = ~np.isnan(x), ~np.isnan(y)
+    # Shifting by a value of the column keeps the sums free of cancellation.
+    sx, sy = (np.nan_to_num(np.nanmedian(np.where(m.any(0), z, 0.0), axis=0))
+              for z, m in ((x, mx), (y, my)))
+    x, y = np.where(mx, x - sx, 0.0), np.where(my, y - sy, 0.0)
+    mx, my = mx.astype(float), my.astype(float)
+    n, ax, ay = mx.T @ my, x.T @ my, mx.T @ y
+    qx, qy, p = (x * x).T @ my, mx.T @ (y * y), x.T @ y
+    some = np.maximum(n, 1)
+    cx, cy = qx - ax * ax / some, qy - ay * ay / some
+    # What rounding leaves of a constant is none.
+    least = 4.5e-16 * (n + 16)
+    cx, cy = np.where(cx <= least * qx, 0.0, cx), np.where(cy <= least * qy, 0.0, cy)
+    return np.stack([n, ax / some + sx[:, None], ay / some + sy, cx, cy, p - ax * ay / some])
+
+
+def _merge_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy = b[1] - a[1], b[2] - a[2]
+    weight = a[0] * share
+    dx, dy = np.where(weight > 0, dx, 0.0), np.where(weight > 0, dy, 0.0)
+    first = a[0] == 0
+    return np.stack([n, np.where(first, b[1], a[1] + dx * share),
+                     np.where(first, b[2], a[2] + dy * share),
+                     a[3] + b[3] + dx * dx * weight, a[4] + b[4] + dy * dy * weight,
+                     a[5] + b[5] + dx * dy * weight])
+
+
+def _pair_correlations(df: DataFrame, a: Sequence[str], b: Sequence[str]) -> DataFrame:
+    """(column_a, column_b, correlation) of every column of ``a`` with every one of ``b``."""
+    names = list(a) if a is b else [*a, *b]
+    shape = (6, len(a), len(b))
+
+    def state(part: int, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([sums.tobytes()], pa.binary())],
+            names=["part", "sums"])
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float)
+                                 for c in batch.columns])
+            sums = _centred_products(z[:, :len(a)], z[:, -len(b):])
+            held = sums if held is None else _merge_products(held, sums)
+        if held is not None:
+            yield state(TaskContext.get().partitionId(), held)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
+        held = None
+        for batch in batches:
+            for v in batch.column("sums").drop_null():
+                sums = np.frombuffer(v.as_buffer(), float).reshape(shape)
+                held = sums if held is None else _merge_products(held, sums)
+        return held
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = merged(batches)
+        if held is not None:
+            yield state(TaskContext.get().partitionId(), held)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = merged(batches)
+        sums = np.zeros(shape) if held is None else held
+        # Means of a constant differ between tasks in their last bits.
+        cx, cy = (np.where(c <= sums[0] * (1e-14 * m) ** 2, 0.0, c)
+                  for c, m in ((sums[3], sums[1]), (sums[4], sums[2])))
+        spread = np.sqrt(cx) * np.sqrt(cy)
+        r = np.divide(sums[5], spread, out=np.full(shape[1:], np.nan), where=spread > 0)
+        for x, row in zip(a, r):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x] * len(b)), pa.array(list(b)),
+                 pa.array(row, pa.float64(), from_pandas=True)],
+                names=["column_a", "column_b", "correlation"])
+
+    sums = "part int, sums binary"
+    # The last task has a row to run on where the table has none.
+    start = df.sparkSession.range(1).selectExpr("-1 as part", "cast(null as binary) as sums")
+    return (df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+            .mapInArrow(multiply, sums)
+            .repartition(_MERGERS, "part").sortWithinPartitions("part").mapInArrow(merge, sums)
+            .unionByName(start).repartition(1).sortWithinPartitions("part")
+            .mapInArrow(finish, "column_a string, column_b string, correlation double"))
+
+
 def dataset_card(df: DataFrame, target: str) -> DataFrame:
     """Rows, columns and the target's mean, std, min and max in one row."""
     t = col(target).cast("double")

@@ -87,26 +87,24 @@ def run_plan(raw: DataFrame, settings: PlanSettings) -> PlanResult:
     s = settings
     raw = stored(raw, "loaded") if s.store_input else raw
     log = clean.ProcessingLog()
-    log.add("start", f"target {s.target}", raw)
+    raw = log.watch("start", f"target {s.target}", raw)
     roles = clean.identify_roles(raw, s.target, list(s.exclude) + list(s.key))
-    rows = log.add("roles", f"numeric {len(roles.numeric)}, categorical "
-                   f"{len(roles.categorical)}", raw, log.steps[-1][3])
+    log.same_rows("roles", f"numeric {len(roles.numeric)}, categorical "
+                  f"{len(roles.categorical)}", raw)
     table = clean.handle_missing(raw, roles, s.missing, s.missing_threshold)
-    table = clean.drop_null_target(table, s.target)
-    rows = log.add("missing values", s.missing, table)
+    table = log.watch("missing values", s.missing, clean.drop_null_target(table, s.target))
     roles = roles.keep(table.columns)
     if s.outliers and roles.numeric:
-        table = clean.remove_outliers(table, roles.numeric, s.outliers, s.outlier_threshold,
-                                      s.target)
-        rows = log.add("outliers", s.outliers, table)
+        table = log.watch("outliers", s.outliers, clean.remove_outliers(
+            table, roles.numeric, s.outliers, s.outlier_threshold, s.target))
     table = clean.convert_types(table, roles)
-    log.add("types", f"{len(roles.categorical)} categorical", table, rows)
+    log.same_rows("types", f"{len(roles.categorical)} categorical", table)
     table = split.three_way_split(table, s.key, s.strata, s.test, s.val, s.seed, "__split")
     table = stored(table, "cleaned")
     sizes = {r["__split"]: r["n"] for r in
              table.groupBy("__split").agg(F.count(F.lit(1)).alias("n")).collect()}
     log.add("split", ", ".join(f"{k} {sizes.get(k, 0)}" for k in ("train", "val", "test")),
-            table.drop("__split"), rows)
+            table.drop("__split"), sum(sizes.values()))
 
     train = table.filter(F.col("__split") == "train")
     fitted = fit_features(

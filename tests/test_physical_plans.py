@@ -58,3 +58,22 @@ def test_small_sides_are_broadcast_only_within_the_limit(spark):
 def test_scoring_is_narrow(spark, sf_dir):
     df = lineitem(spark, sf_dir)
     assert "Exchange" not in plan(score.score_batch(df, F.col("l_quantity"), HISTORY))
+
+
+def test_all_pairs_come_from_one_scan(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    wide = df.select(*[(F.col("l_quantity") * i + F.col("l_tax")).alias(f"x{i}")
+                       for i in range(60)])
+    assert plan(profile.correlation_matrix(wide)).count("FileScan") == 1
+
+
+def test_unique_rows_are_not_exchanged(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    twice = df.unionByName(df.filter("o_orderkey % 50 = 0"))
+    out = clean.drop_duplicates(twice)
+    text = plan(out)
+    kept, repeated = text.split("HashAggregate", 1)       # both sides of the union
+    assert "LeftAnti" in kept and "LeftSemi" in repeated
+    assert "BroadcastHashJoin" in kept and "Exchange hashpartitioning" not in kept
+    assert out.exceptAll(df).count() == 0 and out.count() == df.count()
+    assert "Exchange" not in plan(clean.drop_duplicates(df))
