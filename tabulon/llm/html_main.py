@@ -1,16 +1,24 @@
 """Main text of web pages, with the templates of their site removed.
 
-A tolerant parse makes a tree of each page. Elements that are never part of an article go by
-their tag or by the words of their class, id and role. What is left of the page's main region
-(articles, else the main element, else named content, else the body) is cut into blocks.
-
-Templates are found per host: every block element's subtree is hashed, hashes are counted in
-Spark over the host's different pages, and subtrees on at least ``share`` of them (and on
-``min_pages``) are deleted. Copies of one page count once. Inside a main region, paragraphs, headings and
-other prose are never deleted this way: a sentence that many articles have is still part of each.
+A tolerant parse makes a tree of each page. The subtree of every block element is hashed, those
+of menus, footers and boxes around the article included, and hashes are counted in Spark over
+the different pages of each host; copies of one page count once. Subtrees that recur are
+templates and go:
+
+* Elements other than prose go where at least ``min_pages`` pages and a third of the square root
+  of the host's pages have them, so the boxes of one section of a large host are found too.
+* Prose (paragraphs, headings, list items and the like) goes only on pages without a main region,
+  where at least ``share`` of the host's pages have it. Inside a main region it is never deleted:
+  a sentence that many articles have is still part of each.
+
+The main region of a page are its articles, else the main element, else named content, else the
+body. What occurs on too few pages to be counted is told by its markup: scripts, styles, forms
+and other elements that are never prose go by their tag, around the main region also what class,
+id or role name as menus, adverts or comments. Inside it only names that leave no doubt count.
 
 A hot host is no task's load: hashes are counted by (host, hash) after partial sums, and pages
-are joined with the list of their host's templates, broadcast behind a check of its rows.
+are joined with the list of their host's templates, broadcast behind a check of its rows. That
+list grows with the square root of a host's pages.
 
 Defined results: null and empty pages, and pages without text, give empty text. A page without a
 host counts under an empty host. Repeated rows give the same text each. Other columns go.
@@ -32,6 +40,8 @@ from tabulon.session import BROADCAST_ROWS, stored
 
 MIN_PAGES = 5
 SHARE = 0.5
+#: An element on this part of the square root of a host's pages is a template of a section.
+SECTION = 3
 
 # Fixed vocabulary of markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -65,6 +75,14 @@ HEADER = frozenset("header site page top global wrapper container main".split())
 CONTENT = frozenset("content main main-content maincontent article article-body article-content "
                     "post post-body post-content entry entry-content story story-body".split())
 
+#: Names of class, id or role that mark what is not the article wherever they stand.
+SURE = re.compile(
+    r"(?:ads?|adverts?|advertisements?|advertising|adsbygoogle|sponsored|promo|banner|cookies?|gdpr|"
+    r"breadcrumbs?|navigation|navbar|menubar|sidebar|footer|comments?|disqus|newsletter|"
+    r"subscribe|related|social|share|sharing|pagination|contentinfo|complementary|dialog)"
+    r"(?:[-_](?:slot|box|block|unit|list|area|form|links?|buttons?|bar|banner|container|wrapper|"
+    r"section|posts?|articles?|notice|top|bottom|left|right|inline|label|thread|\d+))*")
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
@@ -105,10 +123,12 @@ class Node:
             return not (self.tag in ("form", "label", "fieldset") and self.has_main)
         if self.tag in ("html", "body", "main"):
             return False
+        if self.inside("article", "main"):
+            return (any(map(SURE.fullmatch, self.names)) or self.hidden) and not self.has_main
         marked = (bool(self.words & MARKED)
                   or any(w.startswith(PREFIXES) for w in self.words)
                   or bool(self.words) and "header" in self.words and self.words <= HEADER)
-        if self.tag == "header" and not self.inside("article", "main"):
+        if self.tag == "header":
             marked = True
         return (marked or self.hidden) and not self.has_main
 
@@ -208,8 +228,9 @@ def _finish(root: Node) -> None:
         h = xxhash.xxh3_64(node.tag.encode())
         for c in node.children:
             if isinstance(c, Node):
-                if c.tag not in DROPPED:
+                if c.tag not in RAW:
                     h.update(c.hash.to_bytes(8, "little"))
+                if c.tag not in DROPPED:
                     node.letters += c.letters
                     node.linked += c.letters if c.tag == "a" else c.linked
             else:
@@ -220,17 +241,36 @@ def _finish(root: Node) -> None:
         node.hash = h.intdigest()
 
 
-def page_blocks(page: str | None) -> list[tuple[str, list[int]]]:
-    """(text, hashes of the subtrees that hold it and may be templates) of the main blocks."""
+#: A block of the main text: (text, subtrees that hold it and go by the rule of elements, those
+#: that go by the rule of prose).
+Block = tuple[str, list[int], list[int]]
+
+
+def page_blocks(page: str | None) -> list[Block]:
+    """The blocks of the page's main regions."""
+    return _page(page)[0]
+
+
+def _page(page: str | None) -> tuple[list[Block], list[int]]:
+    """Blocks, and the hashes of the elements around the main regions."""
     if not page:
-        return []
+        return [], []
     root = parse(page)
     _finish(root)
+    blocks: list[Block] = []
     regions = _regions(root)
-    blocks: list[tuple[str, list[int]]] = []
     for region, loose in regions:
         _cut(region, loose, blocks)
-    return blocks
+    inside = {id(r) for r, _ in regions}
+    around, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if id(node) in inside or node.tag in RAW:
+            continue
+        if node.tag not in INLINE and _eligible(node, root):
+            around.append(node.hash)
+        stack += [c for c in node.children if isinstance(c, Node)]
+    return blocks, around
 
 
 def _regions(root: Node) -> list[tuple[Node, bool]]:
@@ -258,16 +298,24 @@ def _regions(root: Node) -> list[tuple[Node, bool]]:
     return [(root, True)]
 
 
-def _cut(region: Node, loose: bool, blocks: list[tuple[str, list[int]]]) -> None:
+def _cut(region: Node, loose: bool, blocks: list[Block]) -> None:
     """Append the region's blocks. ``loose``: the region is the whole page, so prose may be
     template too, and lists of links are left out."""
     text: list[str] = []
-    chain: list[int] = []
+    elements: list[int] = []
+    prose: list[int] = []
+
+    def chain(node: Node) -> list[int] | None:
+        if node is region or not _eligible(node, region):
+            return None
+        if node.tag not in PROSE:
+            return elements
+        return prose if loose else None
 
     def flush() -> None:
         words = html.unescape("".join(text)).split()
         if words:
-            blocks.append((" ".join(words), list(chain)))
+            blocks.append((" ".join(words), list(elements), list(prose)))
         text.clear()
 
     # A stack of steps: a node to enter, a string to add, or a node to leave.
@@ -281,8 +329,8 @@ def _cut(region: Node, loose: bool, blocks: list[tuple[str, list[int]]]) -> None
         if step == 1:
             if not inline:
                 flush()
-                if _eligible(item, region, loose):
-                    chain.pop()
+                if (held := chain(item)) is not None:
+                    held.pop()
             continue
         if item is not region and (item.unwanted() or loose and _links_only(item)):
             if not inline:
@@ -293,16 +341,17 @@ def _cut(region: Node, loose: bool, blocks: list[tuple[str, list[int]]]) -> None
             continue
         if not inline:
             flush()
-            if _eligible(item, region, loose):
-                chain.append(item.hash)
+            if (held := chain(item)) is not None:
+                held.append(item.hash)
         stack.append((1, item))
         stack += [(0, c) for c in reversed(item.children)]
     flush()
 
 
-def _eligible(node: Node, region: Node, loose: bool) -> bool:
-    return (node is not region and not node.has_main and node.tag not in ("#", "html", "body")
-            and (loose or node.tag not in PROSE))
+def _eligible(node: Node, region: Node) -> bool:
+    """The node may be a template of its site as a whole."""
+    return (node is not region and not node.has_main
+            and node.tag not in ("#", "html", "head", "body", *VOID))
 
 
 def _links_only(node: Node) -> bool:
@@ -310,11 +359,13 @@ def _links_only(node: Node) -> bool:
     return node.tag in ("ul", "ol", "div", "p") and links > 1 and 0 < node.letters == node.linked
 
 
+_LONGS = T.ArrayType(T.LongType())
 _PARSED = T.StructType([
     T.StructField("signature", T.LongType()),
+    T.StructField("around", _LONGS),
     T.StructField("blocks", T.ArrayType(T.StructType([
         T.StructField("text", T.StringType()),
-        T.StructField("held", T.ArrayType(T.LongType()))])))])
+        T.StructField("elements", _LONGS), T.StructField("prose", _LONGS)])))])
 
 
 def _signed(h: int) -> int:
@@ -324,52 +375,61 @@ def _signed(h: int) -> int:
 def _parse_pages(pages: pa.Array) -> pa.Array:
     out = []
     for page in pages.to_pylist():
-        blocks = page_blocks(page)
-        whole = xxhash.xxh3_64_intdigest("\n".join(t for t, _ in blocks).encode("utf-8", "replace"))
-        out.append({"signature": _signed(whole), "blocks": [
-            {"text": t, "held": [_signed(h) for h in held]} for t, held in blocks]})
+        blocks, around = _page(page)
+        whole = xxhash.xxh3_64_intdigest(
+            "\n".join(b[0] for b in blocks).encode("utf-8", "replace"))
+        out.append({"signature": _signed(whole), "around": [_signed(h) for h in around],
+                    "blocks": [{"text": t, "elements": [_signed(h) for h in e],
+                                "prose": [_signed(h) for h in p]} for t, e, p in blocks]})
+    longs = pa.list_(pa.int64())
     return pa.array(out, pa.struct([
-        ("signature", pa.int64()),
-        ("blocks", pa.list_(pa.struct([("text", pa.string()), ("held", pa.list_(pa.int64()))])))]))
+        ("signature", pa.int64()), ("around", longs),
+        ("blocks", pa.list_(pa.struct([("text", pa.string()), ("elements", longs),
+                                       ("prose", longs)])))]))
 
 
 def site_templates(elements: DataFrame, min_pages: int, share: float) -> DataFrame:
-    """(host, subtree) of the subtrees on at least ``share`` of a host's different pages.
+    """(host, subtree, most) of the subtrees that recur on a host's different pages.
 
     ``elements`` has (host, signature, subtree); a page without elements has a null subtree.
+    ``most`` tells those on at least ``share`` of the pages.
     """
     different = elements.distinct()
     pages = (different.select("host", "signature").distinct()
              .groupBy("host").agg(F.count("*").alias("pages")))
     return (different.where("subtree is not null").groupBy("host", "subtree")
             .agg(F.count("*").alias("n")).where(f"n >= {min_pages}")
-            .join(pages, "host").where(f"n >= {share} * pages").select("host", "subtree"))
+            .join(pages, "host").withColumn("most", F.expr(f"n >= {share} * pages"))
+            .where(f"most or n >= sqrt(pages) / {SECTION}").select("host", "subtree", "most"))
 
 
 def main_text(pages: DataFrame, html_column: str = "html", url: str = "url",
               id_column: str = "page_id", min_pages: int = MIN_PAGES, share: float = SHARE
               ) -> DataFrame:
-    """Per page: id, url, ``text`` (blocks joined by one space), ``n_chars``, ``n_removed``."""
+    """Per page: id, url, ``text`` (blocks joined by one space), ``n_chars``, and ``n_removed``:
+    how many blocks of the main text and elements around it were templates."""
     small_batches(pages.sparkSession)
     host = F.lower(F.coalesce(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1),
                               F.lit("")))
     parsed = stored(pages.select(
         F.col(id_column).alias("_id"), F.col(url).alias("_url"), host.alias("host"),
         F.arrow_udf(_parse_pages, _PARSED)(F.col(html_column)).alias("_p"))
-        .select("_id", "_url", "host", "_p.signature", "_p.blocks")
-        .withColumn("_row", F.monotonically_increasing_id()), "parsed")
-    held = F.array_distinct(F.flatten(F.col("blocks.held")))
-    elements = parsed.select("_row", "host", "signature", F.explode_outer(held).alias("subtree"))
-    # A host has few templates: each is on ``share`` of its pages, so there are at most
-    # 1 / share times as many as elements on its mean page.
-    templates = stored(site_templates(elements.drop("_row"), min_pages, share).groupBy("host")
-                       .agg(F.collect_list("subtree").alias("gone")), "templates")
+        .select("_id", "_url", "host", "_p.*"), "parsed")
+    every = F.array_distinct(F.concat(F.flatten(F.col("blocks.elements")),
+                                      F.flatten(F.col("blocks.prose")), F.col("around")))
+    elements = parsed.select("host", "signature", F.explode_outer(every).alias("subtree"))
+    templates = stored(site_templates(elements, min_pages, share).groupBy("host")
+                       .agg(F.collect_list("subtree").alias("gone"),
+                            F.collect_list(F.when(F.col("most"), F.col("subtree"))).alias("most")),
+                       "templates")
     if templates.count() <= BROADCAST_ROWS:
         templates = F.broadcast(templates)
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["held"], F.col("gone")),
-                                                    F.lit(False)))
+    kept = F.filter("blocks", lambda b: ~F.coalesce(
+        F.arrays_overlap(b["elements"], F.col("gone"))
+        | F.arrays_overlap(b["prose"], F.col("most")), F.lit(False)))
+    boxes = F.coalesce(F.size(F.array_intersect("around", "gone")), F.lit(0))
     return (parsed.join(templates, "host", "left").withColumn("kept", kept)
             .select(F.col("_id").alias(id_column), F.col("_url").alias(url),
                     F.array_join(F.col("kept.text"), " ").alias("text"),
-                    (F.size("blocks") - F.size("kept")).alias("n_removed"))
+                    (F.size("blocks") - F.size("kept") + boxes).cast("long").alias("n_removed"))
             .withColumn("n_chars", F.length("text").cast("long")))

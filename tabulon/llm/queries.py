@@ -88,7 +88,7 @@ def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
-    return html_main.main_text(read_table(spark, sf, "pages")).drop("n_removed")
+    return html_main.main_text(read_table(spark, sf, "pages"))
 
 
 def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:

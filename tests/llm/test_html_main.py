@@ -10,7 +10,7 @@ from tabulon.sources.tables import read_table
 
 
 def text(page):
-    return " ".join(t for t, _ in html_main.page_blocks(page))
+    return " ".join(b[0] for b in html_main.page_blocks(page))
 
 
 @pytest.mark.parametrize("page, expected", [
@@ -31,6 +31,12 @@ def text(page):
     ("<p hidden>h</p><div style='display:none'>n</div>shown", "shown"),
     ("<textarea>t</textarea><p>x</p><noscript><p>n</p></noscript>", "x"),
     ("</div></p></article>x", "x"),
+    # Names that may as well be the article's own do not count inside it.
+    ("<article><p>a</p><section class=discussion><p>b</p></section></article>", "a b"),
+    ("<main><div class='search-results-analysis'>c</div><div class=form>d</div></main>", "c d"),
+    ("<article><div class='ad-hoc'>e</div><div class='ad-slot-2'>no</div></article>", "e"),
+    ("<article>f<div id=comments>no</div><div class='share-buttons'>no</div></article>", "f"),
+    ("<div class=discussion>no</div><p>g</p>", "g"),
 ])
 def test_pages(page, expected):
     assert text(page) == expected
@@ -74,6 +80,56 @@ def test_templates_of_a_site_go(spark):
     assert found[300][0] == "no host" and found[301][0] == "" and found[302][0] == ""
 
 
+def extract(spark, rows):
+    return {r["page_id"]: (r["text"], r["n_removed"]) for r in html_main.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_counted_subtrees_decide(spark):
+    """Boxes in neutral tags without telling names: inside articles and without any region, on
+    all pages and in one section of a large host; the same boxes stay on a small host."""
+    def page(i, box, article=True):
+        own = f"<p>own text {i}</p><div><p>a box of {i}</p></div><p>the same sentence</p>"
+        main = f"<article>{own}<div><p>{box}</p></div></article>" if article else (
+            f"<div><span>{box}</span></div><section>{own}</section>")
+        return f"<div><a href=/>home</a></div>{main}<div>end of page</div>"
+
+    rows = [(i, f"http://big.example/{i}", page(i, "Read more" if i % 10 else f"once {i}"))
+            for i in range(80)]
+    rows += [(100 + i, f"http://loose.example/{i}",
+              page(i, "On sale" if i < 6 else f"once {i}", False)) for i in range(200)]
+    rows += [(400 + i, f"http://small.example/{i}", page(i, "Read more")) for i in range(4)]
+    found = extract(spark, rows)
+    for i in range(80):
+        more = "" if i % 10 else f" once {i}"
+        text, n = found[i]
+        assert text == f"own text {i} a box of {i} the same sentence{more}"
+        assert n == 2 + (i % 10 > 0)                      # two boxes around, one inside
+    for i in range(200):
+        box = "" if i < 6 else f"once {i} "
+        # Without a region the sentence of every page goes too.
+        assert found[100 + i][0] == f"{box}own text {i} a box of {i}"
+    for i in range(4):
+        assert found[400 + i] == (f"own text {i} a box of {i} the same sentence Read more", 0)
+
+
+def test_menus_of_the_table_are_counted(spark, sf_dir):
+    """Elements around the article that recur are templates; the text does not change."""
+    from pyspark.sql import functions as F
+
+    pages = read_table(spark, sf_dir, "pages")
+    one = pages.withColumn("url", F.lit("http://one.example/"))
+    text = {r["page_id"]: r["text"] for r in html_main.main_text(pages).collect()}
+    copies = one
+    for k in range(1, 6):
+        copies = copies.unionByName(one.select(
+            (F.col("page_id") + 10_000 * k).alias("page_id"), "url",
+            F.regexp_replace("html", "</h1>", f" copy {k}</h1>").alias("html")))
+    found = {r["page_id"]: r for r in html_main.main_text(copies).collect()}
+    assert all(found[i]["text"] == t for i, t in text.items())
+    assert all(r["n_removed"] >= 3 for r in found.values())      # menu, advert and footer
+
+
 def test_sentences_inside_articles_stay(spark):
     rows = [(i, u, f"<article>{h}</article>") for i, u, h in site(8)]
     found = html_main.main_text(spark.createDataFrame(
