@@ -380,21 +380,28 @@ def _classes_and_links(spark: SparkSession, docs: DataFrame, text: str, id_colum
                       .agg(F.min("component").alias("low"), F.max("component").alias("high"))
                       .where("low < high").select("token"))
         lists = lists.join(open_lists, "token", "left_semi")
-    rest = stored(lists.join(classes.select("cls", "n", "bits"), "cls"), "open")
-    # The shorter of two sets, b, shares one of its first n - 2 t / (1 + t) n + 1 n-grams.
-    a, b = (rest.select(F.col("token").alias(f"{x}_token"), F.col("cls").alias(x),
-                        F.col("component").alias(f"{x}_c"), F.col("n").alias(f"{x}_n"),
-                        F.col("bits").alias(f"{x}_bits"), F.col("at").alias(f"{x}_at"))
-            for x in "ab")
-    b = b.where(f"b_at <= b_n - ({2 * percent} * b_n + {99 + percent}) div {100 + percent}")
     # Positional filter: behind the first n-gram in common, enough must be left of both. Where
     # it fails, either an earlier n-gram is in common or the pair is not similar.
     enough_left = f"{100 + percent} * least(a_n - a_at, b_n - b_at) >= {percent} * (a_n + b_n)"
     apart = "" if every_link else "a_c <> b_c and "
-    attempt(a.join(b, F.expr("a_token = b_token and " + apart +
+    met = []
+    for k in range(RANGES):                         # again one range of tokens at a time
+        rest = stored(lists.where(F.pmod("token", F.lit(RANGES)) == k)
+                      .join(classes.select("cls", "n", "bits"), "cls"), "open")
+        # The shorter of two sets, b, shares one of its first n - 2 t / (1 + t) n + 1 n-grams.
+        a, b = (rest.select(F.col("token").alias(f"{x}_token"), F.col("cls").alias(x),
+                            F.col("component").alias(f"{x}_c"), F.col("n").alias(f"{x}_n"),
+                            F.col("bits").alias(f"{x}_bits"), F.col("at").alias(f"{x}_at"))
+                for x in "ab")
+        b = b.where(f"b_at <= b_n - ({2 * percent} * b_n + {99 + percent}) div {100 + percent}")
+        met.append(stored(
+            a.join(b, F.expr("a_token = b_token and " + apart +
                              "(a_n > b_n or a_n = b_n and a > b) and " + enough_left + " and "
                              + _bound("a", "b", percent)))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+            "met"))
+        drop_stored(rest)
+    attempt(reduce(DataFrame.unionByName, met).distinct())
     links = (tried.where("linked").select("a", "b") if tried is not None
              else spark.createDataFrame([], "a long, b long"))
     return members, links, found
