@@ -266,12 +266,13 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     only the others are brought together and compared by value.
     """
     hashed = df.withColumn("__h", F.xxhash64(*[col(c) for c in df.columns]))
-    again = stored(hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
-                   .filter("__n > 1").select("__h"), "repeated")
-    n = again.count()
-    if not n:
+    again = (hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
+             .filter("__n > 1").select("__h"))
+    rows = again.limit(BROADCAST_ROWS + 1).toArrow()
+    if not rows.num_rows:
         return df
-    small = F.broadcast(again) if n <= BROADCAST_ROWS else again
+    small = (F.broadcast(df.sparkSession.createDataFrame(rows))
+             if rows.num_rows <= BROADCAST_ROWS else stored(again, "repeated"))
     return (hashed.join(small, "__h", "left_anti").drop("__h").unionByName(
         hashed.join(small, "__h", "left_semi").drop("__h").dropDuplicates()))
 

@@ -20,6 +20,8 @@ from tabulon.session import BROADCAST_ROWS
 
 #: Columns whose pairs are correlated by one scan.
 PAIR_COLUMNS = 700
+#: Up to so many columns their pairs are one aggregate.
+FEW_COLUMNS = 12
 #: Tasks that merge the sums of all others before the last one.
 _MERGERS = 16
 
@@ -190,6 +192,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     ``PAIR_COLUMNS`` columns take a scan for each pair of blocks of that many.
     """
     names = list(columns or numeric_columns(df))
+    if len(names) <= FEW_COLUMNS:
+        return _few_correlations(df, names)
     blocks = [names[at:at + PAIR_COLUMNS] for at in range(0, len(names), PAIR_COLUMNS)]
     out = None
     for i, a in enumerate(blocks):
@@ -203,6 +207,17 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return out
 
 
+def _few_correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same for so few columns that one aggregate holds their pairs."""
+    x = {c: F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in names}
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    wide = df.agg(*[correlation(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    return rows_from_aggregate(wide, [
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                 F.col(f"r{i}").alias("correlation"))
+        for i, pair in enumerate(pairs) for a, b in sorted({pair, pair[::-1]})])
+
+
 def _centred_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Per pair of a column of ``x`` and one of ``y``, over the rows that have both: count, means,
     squared deviations and their product. NaN is a missing value."""

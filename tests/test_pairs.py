@@ -26,9 +26,9 @@ def table():
     return pdf
 
 
-@pytest.mark.parametrize("block", [700, 3, 1])
-@pytest.mark.parametrize("parts", [1, 7])
-def test_correlations(spark, table, block, parts, monkeypatch):
+@pytest.mark.parametrize("few, block, parts", [(12, 700, 3), (0, 700, 1), (0, 700, 7), (0, 3, 7)])
+def test_correlations(spark, table, few, block, parts, monkeypatch):
+    monkeypatch.setattr(profile, "FEW_COLUMNS", few)
     monkeypatch.setattr(profile, "PAIR_COLUMNS", block)
     df = spark.createDataFrame(table.astype(object).where(table.notna(), None).values.tolist(),
                                ", ".join(f"{c} double" for c in table)).repartition(parts)
@@ -45,7 +45,9 @@ def test_correlations(spark, table, block, parts, monkeypatch):
                 assert math.isclose(got[a, b], np.corrcoef(x, y)[0, 1], abs_tol=1e-6), (a, b)
 
 
-def test_no_rows(spark, table):
+@pytest.mark.parametrize("few", [12, 0])
+def test_no_rows(spark, few, monkeypatch):
+    monkeypatch.setattr(profile, "FEW_COLUMNS", few)
     df = spark.createDataFrame([], "a double, b double")
     assert [r["correlation"] for r in profile.correlation_matrix(df).collect()] == [None] * 4
 
