@@ -22,7 +22,8 @@ h hand on what was taken. An unseen v gives P(w); an unseen w shares ``h / (V +
 That is order 2. With order 3, triples are counted before pairs, and n(vw) is the number of
 different words before the pair, n(v) the sum of these. The probability of w after u and v is
 ``(n(uvw) - D') / n(uv) + g(uv) * P(w after v)``, or P(w after v) if uv was not seen. Triples lie
-in files by the hash of (u, v), so what follows a pair is added up in one task.
+in files by the hash of (u, v): sorted pairs, the ids that follow each, and a byte for each count.
+As a pair that does not end a text is followed by a word, these are also the files of pairs.
 
 Defined results: a null or empty text is its end alone; texts score whether or not they were
 learned from; repeated rows count as often as they occur; without training texts the score is
@@ -36,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +50,7 @@ from tabulon.llm.common import (
     word_hashes,
     worker_state,
 )
-from tabulon.llm.shared_files import mapped, read_file, write_file
+from tabulon.llm.shared_files import mapped, write_file
 from tabulon.session import scratch_path, stored
 
 #: Pairs or words that a task gathers before it adds them up and hands them on.
@@ -143,21 +145,29 @@ def _added(iterator) -> dict[int, _Adder]:
     return sums
 
 
+def _places(a: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each key in the sorted array, -1 if it is not there."""
+    if not len(a):
+        return np.full(len(keys), -1, np.int64)
+    at = np.searchsorted(a, keys)
+    at[at == len(a)] = 0
+    return np.where(a[at] == keys, at, -1)
+
+
 class Parts:
     """Values in several mapped files, in the order of sorted keys or of ids."""
 
-    def __init__(self, urls: list[str], dtype: str) -> None:
-        self.arrays = [mapped(u, dtype) for u in urls]
+    def __init__(self, urls: list[str | None], dtype: str) -> None:
+        """Without a URL a file has no values."""
+        self.arrays = [mapped(u, dtype) if u else np.empty(0, dtype) for u in urls]
 
     def find(self, sorted_keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Place of each key within its file, -1 if it is not there; files are hash ranges."""
         out = np.full(len(sorted_keys), -1, np.int64)
         edges = [0, *np.searchsorted(sorted_keys, bounds).tolist(), len(sorted_keys)]
         for a, x, y in zip(self.arrays, edges, edges[1:]):
-            if y > x and len(a):
-                at = np.searchsorted(a, sorted_keys[x:y])
-                at[at == len(a)] = 0
-                out[x:y] = np.where(a[at] == sorted_keys[x:y], at, -1)
+            if y > x:
+                out[x:y] = _places(a, sorted_keys[x:y])
         return out
 
     def take(self, places: np.ndarray, file: np.ndarray) -> np.ndarray:
@@ -273,14 +283,83 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
                  ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, d3)))
 
 
-#: Files of a bucket of triples: contexts seen once, the others and what follows them, triples.
-TRIPLE_FILES = {"single": "<u8", "several": "<u8", "total": "<u4", "n1": "<u4", "n2": "<u4",
-                "n3": "<u4", "once": "<u8", "more": "<u8", "count": "<u4"}
+#: Files of a bucket of triples: contexts, where their followers begin, the followers' ids, and
+#: what is known of contexts with more than ``FEW`` followers.
+TRIPLE_FILES = {"context": "<u8", "first": "<u4", "word": "<u4", "wide": "<u4", "total": "<u8",
+                "n1": "<u4", "n2": "<u4"}
+#: Contexts with at most so many followers are added up when they are looked up.
+FEW = 16
+
+
+def packed(a: np.ndarray) -> bytes:
+    """The values' first bytes, then their second bytes and so on, compressed.
+
+    Ids use few of their high bytes, so these come to almost nothing.
+    """
+    planes = a.view(np.uint8).reshape(len(a), a.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpacked(data: bytes, dtype: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    planes = raw.reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def _packed_pairs(rows: list[tuple]) -> pa.RecordBatch:
+    """(bucket, pair hashes, counts) as a record batch; the ids behind the hashes are packed."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array([b for b, _, _ in rows], pa.int32()),
+         pa.array([packed(unmixed(keys)) for _, keys, _ in rows], pa.binary()),
+         pa.array([packed(counts.astype("<u8")) for _, _, counts in rows], pa.binary())],
+        names=["bucket", "keys", "counts"])
+
+
+def _added_pairs(iterator) -> dict[int, _Adder]:
+    """Sums of all packed pairs of one partition by bucket."""
+    sums: dict[int, _Adder] = {}
+    for batch in iterator:
+        for b, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            sums.setdefault(b, _Adder()).add(mixed(unpacked(keys, "<u8")),
+                                             unpacked(counts, "<u8").astype(np.int64))
+    return sums
+
+
+def write_clipped(url: str, counts: np.ndarray) -> None:
+    """Write counts in a byte each, and those of 255 or more once again with their places."""
+    large = np.flatnonzero(counts >= 255)
+    write_file(f"{url}.small", np.minimum(counts, 255).astype("<u1").tobytes())
+    write_file(f"{url}.at", large.astype("<u4").tobytes())
+    write_file(f"{url}.large", counts[large].astype("<u8").tobytes())
+
+
+class Clipped:
+    """Counts written by ``write_clipped``."""
+
+    def __init__(self, urls: list[str | None]) -> None:
+        self.small, self.at, self.large = (
+            Parts([u and f"{u}.{kind}" for u in urls], dtype).arrays
+            for kind, dtype in (("small", "<u1"), ("at", "<u4"), ("large", "<u8")))
+
+    def of(self, file: int, places: np.ndarray) -> np.ndarray:
+        out = self.small[file][places].astype(np.int64)
+        large = np.flatnonzero(out == 255)
+        if len(large):
+            out[large] = self.large[file][np.searchsorted(self.at[file], places[large])]
+        return out
+
+    def take(self, places: np.ndarray, file: np.ndarray) -> np.ndarray:
+        """Counts at places within files; both arrays are sorted by file."""
+        out = np.zeros(len(places), np.int64)
+        edges = np.searchsorted(file, np.arange(len(self.small) + 1))
+        for b, (x, y) in enumerate(zip(edges[:-1], edges[1:])):
+            if y > x and len(self.small[b]):
+                out[x:y] = self.of(b, places[x:y])
+        return out
 
 
-def _triple_hashes(contexts: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    return mixed(contexts + (ids.astype(np.uint64) + np.uint64(1))
-                 * np.uint64(0x9E3779B97F4A7C15))
+def _run_starts(a: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
 
 
 def _summed_triples(contexts: np.ndarray, ids: np.ndarray, counts: np.ndarray):
@@ -291,11 +370,12 @@ def _summed_triples(contexts: np.ndarray, ids: np.ndarray, counts: np.ndarray):
     return contexts[starts], ids[starts], np.add.reduceat(counts, starts)
 
 
-def _triples(texts: DataFrame, vocabulary: Vocabulary, folder: str, buckets: int) -> DataFrame:
-    """Count triples into files by the hash of their first two words; passes on pairs.
+def _count_triples(texts: DataFrame, vocabulary: Vocabulary, folder: str, buckets: int
+                   ) -> dict[int, np.ndarray]:
+    """Count triples into files by the hash of their first two words.
 
-    A pair (v, w) comes back with the number of different words before it, in parts like those
-    of counted pairs. A text has two starts before it.
+    Gives, for each bucket with triples, how many were seen 1, 2, 3 and 4 times. A text has two
+    starts before it. The job ends here, so that its shuffle is gone when pairs are counted.
     """
     start, bounds = vocabulary.size, _bounds(buckets)
 
@@ -307,13 +387,18 @@ def _triples(texts: DataFrame, vocabulary: Vocabulary, folder: str, buckets: int
             contexts, words, counts = _summed_triples(contexts, words,
                                                       np.ones(len(words), np.int64))
             edges = [0, *np.searchsorted(contexts, bounds).tolist(), len(contexts)]
-            rows = [(b, x, y) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+            rows = []
+            for b, (x, y) in enumerate(zip(edges, edges[1:])):
+                if y > x:
+                    starts = _run_starts(contexts[x:y])
+                    rows.append((b, packed(unmixed(contexts[x:y][starts])),
+                                 packed(np.diff(starts, append=y - x).astype("<u4")),
+                                 packed(words[x:y].astype("<u4")),
+                                 packed(counts[x:y].astype("<u8"))))
             return pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _, _ in rows], pa.int32())] +
-                [pa.array([a[x:y].tobytes() for _, x, y in rows], pa.binary())
-                 for a in (contexts, words.astype("<u4"),
-                           np.minimum(counts, (1 << 32) - 1).astype("<u4"))],
-                names=["bucket", "keys", "words", "counts"])
+                [pa.array(c, pa.int32() if i == 0 else pa.binary())
+                 for i, c in enumerate(zip(*rows))],
+                names=["bucket", "keys", "runs", "words", "counts"])
 
         for batch in iterator:
             hashes = [word_hashes().of(text_words(x)) for x in batch.column(0).to_pylist()]
@@ -337,9 +422,10 @@ def _triples(texts: DataFrame, vocabulary: Vocabulary, folder: str, buckets: int
     def add(iterator) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list] = {}
         for batch in iterator:
-            for b, *data in zip(*(c.to_pylist() for c in batch.columns)):
-                new = [np.frombuffer(x, t).astype(u) for x, t, u in
-                       zip(data, ("<u8", "<u4", "<u4"), (np.uint64, np.int64, np.int64))]
+            for b, keys, runs, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                new = (np.repeat(mixed(unpacked(keys, "<u8")), unpacked(runs, "<u4")),
+                       unpacked(words, "<u4").astype(np.int64),
+                       unpacked(counts, "<u8").astype(np.int64))
                 held = sums.setdefault(b, [[], 0, 0])
                 held[0].append(new)
                 held[1] += len(new[0])
@@ -349,39 +435,77 @@ def _triples(texts: DataFrame, vocabulary: Vocabulary, folder: str, buckets: int
         for b, (parts, _, _) in sums.items():
             contexts, words, counts = _summed_triples(
                 *(np.concatenate(x) for x in zip(*parts)))
-            starts = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))
-            each = {"total": np.add.reduceat(counts, starts)}
-            for k, is_k in (("n1", counts == 1), ("n2", counts == 2), ("n3", counts > 2)):
-                each[k] = np.add.reduceat(is_k.astype(np.int64), starts)
-            several = each["total"] > 1
-            hashes = _triple_hashes(contexts, words)
-            order = np.argsort(hashes)
-            hashes, sorted_counts = hashes[order], counts[order]
-            again = sorted_counts > 1
-            files = {"single": contexts[starts][~several], "several": contexts[starts][several],
-                     **{k: np.minimum(x[several], (1 << 32) - 1) for k, x in each.items()},
-                     "once": hashes[~again], "more": hashes[again],
-                     "count": np.minimum(sorted_counts[again], (1 << 32) - 1)}
+            starts = _run_starts(contexts)
+            wide = np.flatnonzero(np.diff(starts, append=len(contexts)) > FEW)
+            each = {k: np.add.reduceat(x, starts)[wide] for k, x in
+                    (("total", counts), ("n1", (counts == 1).astype(np.int64)),
+                     ("n2", (counts == 2).astype(np.int64)))}
+            files = {"context": contexts[starts], "first": np.append(starts, len(contexts)),
+                     "word": words, "wide": wide, **each}
             for k, x in files.items():
                 write_file(f"{folder}/triples-{b:06d}.{k}", x.astype(TRIPLE_FILES[k]).tobytes())
-            write_file(f"{folder}/triples-{b:06d}.sums", np.array(
-                [(counts == k).sum() for k in (1, 2, 3, 4)], "<i8").tobytes())
-            pairs, n = np.unique(mixed(((unmixed(contexts) & np.uint64(0xFFFFFFFF))
-                                        << np.uint64(32)) | words.astype(np.uint64)),
-                                 return_counts=True)
-            yield _binary(_split(pairs, n, bounds))
+            write_clipped(f"{folder}/triples-{b:06d}.times", counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b], pa.int32())] + [pa.array([int((counts == k).sum())], pa.int64())
+                                               for k in (1, 2, 3, 4)],
+                names=["bucket", "n1", "n2", "n3", "n4"])
+
+    parts = texts.mapInArrow(count, "bucket int, keys binary, runs binary, words binary, "
+                                    "counts binary")
+    done = stored(parts.repartition(buckets, "bucket")
+                  .mapInArrow(add, "bucket int, n1 long, n2 long, n3 long, n4 long"), "triples")
+    return {r["bucket"]: np.array(r[1:], np.int64) for r in done.collect()}
+
+
+def _pairs_of_triples(spark: SparkSession, folder: str, buckets: int, written: set[int]
+                      ) -> DataFrame:
+    """Parts of counted pairs (v, w) with the number of different words before them, read from
+    the files of triples, a task for each."""
+    bounds = _bounds(buckets)
 
-    return (texts.mapInArrow(count, "bucket int, keys binary, words binary, counts binary")
-            .repartition(buckets, "bucket").mapInArrow(add, _PARTS))
+    def pairs(iterator) -> Iterator[pa.RecordBatch]:
+        for batch in iterator:
+            for b in batch.column(0).to_pylist():
+                if b in written:
+                    contexts, first, words = (
+                        mapped(f"{folder}/triples-{b:06d}.{k}", TRIPLE_FILES[k])
+                        for k in ("context", "first", "word"))
+                    second = np.repeat(unmixed(contexts) << np.uint64(32), np.diff(first))
+                    yield _packed_pairs(_split(*np.unique(mixed(second | words),
+                                                          return_counts=True), bounds))
+
+    return spark.range(0, buckets, 1, buckets).mapInArrow(pairs, _PARTS)
+
+
+def _find_within(a: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.ndarray
+                 ) -> np.ndarray:
+    """Place of each wanted value in its sorted run ``a[low:high]``, -1 if it is not there."""
+    low, end = low.copy(), high
+    high = high.copy()
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) // 2
+        less = a[middle] < wanted[open_]
+        low[open_[less]] = middle[less] + 1
+        high[open_[~less]] = middle[~less]
+        open_ = open_[low[open_] < high[open_]]
+    out = np.full(len(wanted), -1, np.int64)
+    inside = np.flatnonzero(low < end)
+    hit = inside[a[low[inside]] == wanted[inside]]
+    out[hit] = low[hit]
+    return out
 
 
 @dataclass(frozen=True)
-class BigramModel:
+class NgramModel:
     """The files of a model and the few numbers that go with them."""
 
     folder: str
     vocabulary: Vocabulary
     buckets: int
+    #: Buckets that hold pairs, and those that hold triples.
+    pair_files: frozenset[int]
+    triple_files: frozenset[int]
     pair_discounts: tuple[float, float, float]
     word_discounts: tuple[float, float, float]
     pair_types: int
@@ -389,19 +513,57 @@ class BigramModel:
     order: int = 2
     triple_discounts: tuple[float, float, float] = (0.5, 0.5, 0.5)
 
+    def _urls(self, name: str, written: frozenset[int]) -> list[str | None]:
+        return [f"{self.folder}/{name}-{b:06d}" if b in written else None
+                for b in range(self.buckets)]
+
     def _maps(self):
         def load():
-            urls = [f"{self.folder}/pairs-{b:06d}" for b in range(self.buckets)]
             blocks = [f"{self.folder}/block-{b:06d}"
                       for b in range(-(-(self.vocabulary.size + 1) // BLOCK))]
-            return (Parts([f"{u}.once" for u in urls], "<u8"),
-                    Parts([f"{u}.more" for u in urls], "<u8"),
-                    Parts([f"{u}.count" for u in urls], "<u4"), _bounds(self.buckets),
+            return (_bounds(self.buckets),
                     Parts([f"{u}.backoff" for u in blocks], "<f4"),
                     Parts([f"{u}.before" for u in blocks], "<i8"),
                     Parts([f"{u}.total" for u in blocks], "<i8") if self.order > 2 else None)
+        return worker_state(self.folder + "/blocks", load)
+
+    def _pair_maps(self) -> dict:
+        def load():
+            urls = self._urls("pairs", self.pair_files)
+            kinds = {"once": "<u8", "more": "<u8", "count": "<u4"} if self.order == 2 \
+                else {"end": "<u8", "end_count": "<u4"}
+            maps = {k: Parts([u and f"{u}.{k}" for u in urls], t) for k, t in kinds.items()}
+            if self.order > 2:
+                maps["before"] = Clipped([u and f"{u}.before" for u in urls])
+            return maps
         return worker_state(self.folder + "/pairs", load)
 
+    def _triple_maps(self) -> dict:
+        def load():
+            urls = self._urls("triples", self.triple_files)
+            return {"times": Clipped([u and f"{u}.times" for u in urls]),
+                    **{k: Parts([u and f"{u}.{k}" for u in urls], t)
+                       for k, t in TRIPLE_FILES.items()}}
+        return worker_state(self.folder + "/triples", load)
+
+    def _pair_counts(self, unique: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Counts of sorted pair hashes. With order 3 a pair is the context of a triple, unless
+        it ends a text."""
+        maps = self._pair_maps()
+        if self.order == 2:
+            seen = (maps["once"].find(unique, bounds) >= 0).astype(np.int64)
+            steps = [(maps["more"], maps["count"])]
+        else:
+            seen = np.zeros(len(unique), np.int64)
+            steps = [(self._triple_maps()["context"], maps["before"]),
+                     (maps["end"], maps["end_count"])]
+        for keys, counts in steps:
+            place = keys.find(unique, bounds)
+            hit = place >= 0
+            seen[hit] = counts.take(place[hit], np.searchsorted(bounds, unique[hit],
+                                                                side="right"))
+        return seen
+
     def _per_word(self, parts: Parts, ids: np.ndarray, missing: float) -> np.ndarray:
         unique, inverse = np.unique(ids, return_inverse=True)
         out = np.full(len(unique), missing, float)
@@ -412,7 +574,7 @@ class BigramModel:
     def log10_probabilities(self, ids: np.ndarray, n: np.ndarray, counts: list[int],
                             texts_learned: int) -> np.ndarray:
         """log10 P of every token; ``n`` holds the tokens' own counts."""
-        once, more, times, bounds, backoff, before, totals = self._maps()
+        bounds, backoff, before, totals = self._maps()
         start = self.vocabulary.size
         first = np.cumsum([0, *counts[:-1]])
         previous, previous_n = np.roll(ids, 1), np.roll(n, 1).astype(float)
@@ -422,10 +584,7 @@ class BigramModel:
         keys = mixed((np.maximum(previous, 0).astype(np.uint64) << np.uint64(32))
                      | np.maximum(ids, 0).astype(np.uint64))
         unique, inverse = np.unique(keys, return_inverse=True)
-        seen = (once.find(unique, bounds) >= 0).astype(np.int64)
-        place = more.find(unique, bounds)
-        hit = place >= 0
-        seen[hit] = times.take(place[hit], np.searchsorted(bounds, unique[hit], side="right"))
+        seen = self._pair_counts(unique, bounds)
         seen = np.where((ids >= 0) & (previous >= 0), seen[inverse], 0)
         d = np.array([0.0, *self.pair_discounts])[np.minimum(seen, 3)]
         k = self._per_word(before, ids, 0.0)
@@ -440,11 +599,25 @@ class BigramModel:
             p = self._with_triples(p, ids, previous, first)
         return np.log10(p)
 
-    def _triple_maps(self):
-        def load():
-            urls = [f"{self.folder}/triples-{b:06d}" for b in range(self.buckets)]
-            return {k: Parts([f"{u}.{k}" for u in urls], t) for k, t in TRIPLE_FILES.items()}
-        return worker_state(self.folder + "/triples", load)
+    def _followers(self, file: int, context: np.ndarray, low: np.ndarray, n: np.ndarray
+                   ) -> tuple[np.ndarray, np.ndarray]:
+        """(sum of counts, sum of discounts) of the ``n`` followers from ``low`` on."""
+        maps, d = self._triple_maps(), np.array([0.0, *self.triple_discounts])
+        total, taken = np.zeros(len(n)), np.zeros(len(n))
+        few = np.flatnonzero(n <= FEW)
+        if len(few):
+            first = np.cumsum(n[few]) - n[few]
+            counts = maps["times"].of(file, np.repeat(low[few] - first, n[few])
+                                      + np.arange(n[few].sum()))
+            total[few] = np.add.reduceat(counts, first)
+            taken[few] = np.add.reduceat(d[np.minimum(counts, 3)], first)
+        wide = np.flatnonzero(n > FEW)
+        if len(wide):
+            at = np.searchsorted(maps["wide"].arrays[file], context[wide])
+            n1, n2 = (maps[k].arrays[file][at].astype(np.int64) for k in ("n1", "n2"))
+            total[wide] = maps["total"].arrays[file][at]
+            taken[wide] = d[1] * n1 + d[2] * n2 + d[3] * (n[wide] - n1 - n2)
+        return total, taken
 
     def _with_triples(self, lower: np.ndarray, ids: np.ndarray, previous: np.ndarray,
                       first: np.ndarray) -> np.ndarray:
@@ -456,38 +629,37 @@ class BigramModel:
         context = mixed((np.maximum(earlier, 0).astype(np.uint64) << np.uint64(32))
                         | np.maximum(previous, 0).astype(np.uint64))
         unique, inverse = np.unique(context, return_inverse=True)
+        place = maps["context"].find(unique, bounds)
+        total, taken = np.zeros(len(unique)), np.zeros(len(unique))
+        low, n = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
+        seen = np.zeros(len(ids), np.int64)
+        tokens = np.argsort(inverse, kind="stable")       # by context, and so by file
+        files = np.arange(self.buckets + 1)
         file = np.searchsorted(bounds, unique, side="right")
-        place = maps["several"].find(unique, bounds)
-        hit = place >= 0
-        # A context seen once has one word that was seen once.
-        total = (maps["single"].find(unique, bounds) >= 0).astype(float)
-        taken = self.triple_discounts[0] * total
-        total[hit] = maps["total"].take(place[hit], file[hit])
-        taken[hit] = sum(d * maps[k].take(place[hit], file[hit])
-                         for d, k in zip(self.triple_discounts, ("n1", "n2", "n3")))
+        edges = np.searchsorted(file, files)
+        token_edges = np.searchsorted(file[inverse[tokens]], files)
+        for b in range(self.buckets):
+            at = edges[b] + np.flatnonzero(place[edges[b]:edges[b + 1]] >= 0)
+            if not len(at):
+                continue
+            starts = maps["first"].arrays[b]
+            low[at] = starts[place[at]]
+            n[at] = starts[place[at] + 1].astype(np.int64) - low[at]
+            total[at], taken[at] = self._followers(b, place[at], low[at], n[at])
+            own = tokens[token_edges[b]:token_edges[b + 1]]
+            own = own[known[own] & (ids[own] >= 0)]
+            begin = low[inverse[own]]
+            found = _find_within(maps["word"].arrays[b], ids[own], begin,
+                                 begin + n[inverse[own]])
+            own, found = own[found >= 0], found[found >= 0]
+            seen[own] = maps["times"].of(b, found)
         total, taken = np.where(known, total[inverse], 0), np.where(known, taken[inverse], 0)
-        keys, at = file[inverse], _triple_hashes(context, np.maximum(ids, 0))
-        order = np.lexsort((at, keys))
-        seen = np.zeros(len(ids), np.int64)
-        edges = np.searchsorted(keys[order], np.arange(self.buckets + 1))
-        for b, (x, y) in enumerate(zip(edges[:-1], edges[1:])):
-            if y > x:
-                wanted, found = at[order[x:y]], np.zeros(y - x, np.int64)
-                for kind in ("once", "more"):
-                    a = maps[kind].arrays[b]
-                    if len(a):
-                        i = np.searchsorted(a, wanted)
-                        i[i == len(a)] = 0
-                        n = maps["count"].arrays[b][i] if kind == "more" else 1
-                        found = np.where(a[i] == wanted, n, found)
-                seen[order[x:y]] = found
-        seen = np.where(known & (ids >= 0), seen, 0)
         d = np.array([0.0, *self.triple_discounts])[np.minimum(seen, 3)]
         some = np.maximum(total, 1)
         return np.where(total > 0, (seen - d) / some + taken / some * lower, lower)
 
 
-def fit_bigrams(texts: DataFrame, order: int = 2) -> tuple[BigramModel, int]:
+def fit_bigrams(texts: DataFrame, order: int = 2) -> tuple[NgramModel, int]:
     """(model of order 2 or 3, number of texts) learned from the column ``text`` of bytes."""
     if order not in (2, 3):
         raise ValueError("the order is 2 or 3")
@@ -497,7 +669,7 @@ def fit_bigrams(texts: DataFrame, order: int = 2) -> tuple[BigramModel, int]:
         return _fit_bigrams(spark, texts, order)
 
 
-def _fit_bigrams(spark: SparkSession, texts: DataFrame, order: int) -> tuple[BigramModel, int]:
+def _fit_bigrams(spark: SparkSession, texts: DataFrame, order: int) -> tuple[NgramModel, int]:
     buckets = _partitions(texts)
     folder = scratch_path(spark, "ngrams")
     learned = texts.count()
@@ -512,7 +684,7 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame, order: int) -> tuple[Big
 
         def flush():
             keys, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            return _binary(_split(keys, counts, bounds))
+            return _packed_pairs(_split(keys, counts, bounds))
 
         for batch in iterator:
             hashes = [word_hashes().of(text_words(x)) for x in batch.column(0).to_pylist()]
@@ -532,19 +704,31 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame, order: int) -> tuple[Big
 
         Kinds 1, 2, 3: first words' pairs seen once, twice, more often; 4: second words' pairs;
         5, for order 3: the sum of the counts of first words' pairs;
-        0 with block -1: how many pairs were seen 1, 2, 3 and 4 times, and in all.
+        0 with block -1 - bucket: how many pairs were seen 1, 2, 3 and 4 times, and in all.
         """
-        for b, adder in _added(iterator).items():
+        for b, adder in _added_pairs(iterator).items():
             keys, counts = adder.result()
             url = f"{folder}/pairs-{b:06d}"
             single = counts == 1
-            write_file(f"{url}.once", keys[single].astype("<u8").tobytes())
-            write_file(f"{url}.more", keys[~single].astype("<u8").tobytes())
-            write_file(f"{url}.count", np.minimum(counts[~single], (1 << 32) - 1)
-                       .astype("<u4").tobytes())
+            if order == 2:
+                write_file(f"{url}.once", keys[single].astype("<u8").tobytes())
+                write_file(f"{url}.more", keys[~single].astype("<u8").tobytes())
+                write_file(f"{url}.count", np.minimum(counts[~single], (1 << 32) - 1)
+                           .astype("<u4").tobytes())
+            else:
+                # A pair that does not end a text is a context of triples in the same bucket.
+                contexts = mapped(f"{folder}/triples-{b:06d}.context", "<u8") \
+                    if b in triples else np.empty(0, "<u8")
+                place = _places(contexts, keys)
+                before = np.zeros(len(contexts), np.int64)
+                before[place[place >= 0]] = counts[place >= 0]
+                write_clipped(f"{url}.before", before)
+                write_file(f"{url}.end", keys[place < 0].astype("<u8").tobytes())
+                write_file(f"{url}.end_count", np.minimum(counts[place < 0], (1 << 32) - 1)
+                           .astype("<u4").tobytes())
             pairs = unmixed(keys)
             left, right = pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
-            rows = [(-1, 0, np.arange(5, dtype=np.uint64),
+            rows = [(-1 - b, 0, np.arange(5, dtype=np.uint64),
                      np.array([(counts == k).sum() for k in (1, 2, 3, 4)] + [len(keys)]))]
             for kind, words in ((1, left[single]), (2, left[counts == 2]),
                                 (3, left[counts > 2]), (4, right),
@@ -566,13 +750,15 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame, order: int) -> tuple[Big
                  pa.array([r[3].astype("<i8" if r[0] < 0 else "<u4").tobytes() for r in rows],
                           pa.binary())], names=["block", "kind", "ids", "counts"])
 
+    triples = {} if order == 2 else _count_triples(texts, vocabulary, folder, buckets)
     counted = (texts.mapInArrow(count, _PARTS) if order == 2
-               else _triples(texts, vocabulary, folder, buckets))
+               else _pairs_of_triples(spark, folder, buckets, set(triples)))
     passed = stored(counted.repartition(buckets, "bucket")
                     .mapInArrow(add, "block int, kind int, ids binary, counts binary"), "pairs")
-    sums = np.zeros(5, np.int64)
-    for r in passed.where("block = -1").select("counts").toLocalIterator():
+    sums, pair_files = np.zeros(5, np.int64), set()
+    for r in passed.where("block < 0").select("block", "counts").collect():
         sums += np.frombuffer(r["counts"], "<i8")
+        pair_files.add(-1 - r["block"])
     pair_discounts = _discounts(sums[:4].tolist())
     blocks = -(-(start + 1) // BLOCK)
 
@@ -620,29 +806,16 @@ def _fit_bigrams(spark: SparkSession, texts: DataFrame, order: int) -> tuple[Big
     types = int(sums[4])
     left = (word_discounts[0] * n1 + word_discounts[1] * n2 + word_discounts[2] * more) / types \
         if types else 1.0
-    _fill(folder, buckets, blocks, {r["block"] for r in passed.select("block").distinct()
-                                    .collect()}, order)
-    triples = np.zeros(4, np.int64)
-    for b in range(buckets if order > 2 else 0):
-        triples += np.frombuffer(read_file(f"{folder}/triples-{b:06d}.sums"), "<i8")
-    return BigramModel(folder, vocabulary, buckets, pair_discounts, word_discounts, types,
-                       left, order, _discounts(triples.tolist())), learned
-
+    _fill(folder, blocks, {r["block"] for r in passed.select("block").distinct().collect()},
+          order)
+    seen = sum(triples.values(), np.zeros(4, np.int64))
+    return NgramModel(folder, vocabulary, buckets, frozenset(pair_files), frozenset(triples),
+                      pair_discounts, word_discounts, types, left, order,
+                      _discounts(seen.tolist())), learned
 
-def _fill(folder: str, buckets: int, blocks: int, written: set[int], order: int) -> None:
-    """Empty files for buckets without pairs and blocks without words."""
-    from tabulon.llm.shared_files import opened
 
-    for b in range(buckets):
-        store, path = opened(f"{folder}/pairs-{b:06d}.once")
-        if store.get_file_info(path).type.name == "NotFound":
-            for kind in ("once", "more", "count"):
-                write_file(f"{folder}/pairs-{b:06d}.{kind}", b"")
-        store, path = opened(f"{folder}/triples-{b:06d}.sums")
-        if order > 2 and store.get_file_info(path).type.name == "NotFound":
-            for kind in TRIPLE_FILES:
-                write_file(f"{folder}/triples-{b:06d}.{kind}", b"")
-            write_file(f"{folder}/triples-{b:06d}.sums", np.zeros(4, "<i8").tobytes())
+def _fill(folder: str, blocks: int, written: set[int], order: int) -> None:
+    """Files of blocks without words, of which there is at most one."""
     for b in set(range(blocks)) - written:
         if order > 2:
             write_file(f"{folder}/block-{b:06d}.total", np.zeros(BLOCK, "<i8").tobytes())
@@ -656,7 +829,7 @@ _SCORE = T.StructType([T.StructField("n_tokens", T.LongType()),
                        T.StructField("score", T.DoubleType())])
 
 
-def score_texts(docs: DataFrame, model: BigramModel, learned: int, text: str = "text"
+def score_texts(docs: DataFrame, model: NgramModel, learned: int, text: str = "text"
                 ) -> DataFrame:
     """``docs`` with n_tokens, n_known, train_tokens, base_score, score and perplexity."""
     small_batches(docs.sparkSession)

@@ -158,6 +158,28 @@ def test_order_three(spark, docs, edges, monkeypatch):
             assert r["score"] == pytest.approx(want, rel=1e-6)
 
 
+def test_large_counts_at_order_three(spark):
+    """Triples seen 255 times and more, and a pair with more followers than are added up."""
+    rows = ["a b c"] * 300 + ["a b d"] * 254 + ["a b e"] * 255
+    rows += [f"x{i} p q{i % 40}" for i in range(300)] + ["a b"] * 2 + [f"r s t{i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    p = brute_triples(enumerate(rows))
+    for r in ngram_lm.language_model(df, F.lit(True), order=3).collect():
+        w = tokens(r["text"])
+        want = sum(log10(p(*x)) for x in zip([START, START, *w], [START, *w], w))
+        assert r["score"] == pytest.approx(want, rel=1e-6)
+
+
+def test_packed_and_clipped_values(tmp_path):
+    a = np.array([0, 1, 255, 256, 70_000, (1 << 40) + 3], "<u8")
+    assert (ngram_lm.unpacked(ngram_lm.packed(a), "<u8") == a).all()
+    url = f"file://{tmp_path}/n"
+    ngram_lm.write_clipped(url, a.astype(np.int64))
+    places, files = np.array([5, 1, 2, 3, 4, 2]), np.zeros(6, np.int64)
+    assert (ngram_lm.Clipped([url]).take(places, files) == a[places]).all()
+    assert ngram_lm.Clipped([None]).take(places, files).sum() == 0
+
+
 def test_query_uses_two_words_of_context(spark, sf_dir, monkeypatch):
     orders, fit = [], ngram_lm.fit_bigrams
     monkeypatch.setattr(ngram_lm, "fit_bigrams",
