@@ -48,14 +48,29 @@ def hash_cuts(df: DataFrame, strata: Sequence[str], hashed: Column, cuts: DataFr
         return hash_cuts(df.select(one, hashed.alias("__hash")), ["__all"], F.col("__hash"),
                          cuts.select(one, *[col(c) for c in names]), names, largest, fits,
                          bucket_rows).drop("__all")
+    keys = [col(s) for s in strata]
+    slim = df.select(*keys, hashed.alias("__h")).withColumn(
+        "__b", _bucket("__h", largest, bucket_rows))
+    counts = slim.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    split = _split_buckets(counts, strata, cuts, names, fits)
+    # Only the buckets a cut falls into are ranked.
+    near = join_small(slim, split, list(strata) + ["__b"], how="inner", fits=fits)
+    return _hashes_at_cuts(near, strata, cuts, names, fits)
+
+
+def _bucket(hashed: str, largest: int, bucket_rows: int) -> Column:
+    """First digits of the hash, as many as leave about ``bucket_rows`` rows to a bucket."""
     digits = 1
     while largest / 16 ** digits > bucket_rows and digits < 5:
         digits += 1
+    return F.substring(hashed, 1, digits)
+
+
+def _split_buckets(counts: DataFrame, strata: Sequence[str], cuts: DataFrame,
+                   names: Sequence[str], fits: bool) -> DataFrame:
+    """(strata..., __b, __w, __from): buckets that cuts fall into, the cuts, the rows before."""
     keys = [col(s) for s in strata]
-    slim = df.select(*keys, hashed.alias("__h")).withColumn(
-        "__b", F.substring("__h", 1, digits))
-    counts = slim.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    # At most 16^digits rows per stratum.
+    # At most 16^5 rows per stratum.
     running = W.partitionBy(*keys).orderBy("__b").rowsBetween(W.unboundedPreceding, 0)
     counts = counts.withColumn("__to", F.sum("__n").over(running))
     counts = join_small(counts, cuts, strata, fits=fits)
@@ -64,10 +79,14 @@ def hash_cuts(df: DataFrame, strata: Sequence[str], hashed: Column, cuts: DataFr
     inside = counts.withColumn("__w", F.filter(wanted, lambda w: (
         w["cut"] > F.col("__to") - F.col("__n")) & (w["cut"] <= F.col("__to"))))
     # One row per stratum and cut at most.
-    split = settled(inside.filter(F.size("__w") > 0).select(
+    return settled(inside.filter(F.size("__w") > 0).select(
         *keys, "__b", "__w", (F.col("__to") - F.col("__n")).alias("__from")), fits, "cuts")
-    # Only the buckets a cut falls into are ranked.
-    near = join_small(slim, split, list(strata) + ["__b"], how="inner", fits=fits)
+
+
+def _hashes_at_cuts(near: DataFrame, strata: Sequence[str], cuts: DataFrame,
+                    names: Sequence[str], fits: bool) -> DataFrame:
+    """Rank the rows of split buckets and give the hash that stands at each cut."""
+    keys = [col(s) for s in strata]
     place = W.partitionBy(*keys, "__b").orderBy("__h")
     near = near.withColumn("__r", F.col("__from") + F.row_number().over(place))
     hits = (near.withColumn("__w", F.filter("__w", lambda w: w["cut"] == F.col("__r")))
@@ -246,29 +265,48 @@ def kfold(df: DataFrame, order: Sequence[str], k: int = 5, out: str = "fold") ->
     return df.withColumn(out, fold)
 
 
+def outside_counts(slim: DataFrame, folds: int) -> DataFrame:
+    """(__f, __b, __n): rows of each bucket outside each fold, from ``slim`` (__own, __b, ...).
+
+    Rows are counted once, by bucket and own fold; a bucket's rows outside a fold are all its
+    rows without those of the fold.
+    """
+    counts = slim.groupBy("__b", "__own").agg(F.count(F.lit(1)).alias("__n"))
+    buckets = counts.groupBy("__b").agg(
+        F.sum("__n").alias("__all"),
+        F.map_from_entries(F.collect_list(F.struct("__own", "__n"))).alias("__in"))
+    each = buckets.withColumn("__f", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    return each.select("__f", "__b", (F.col("__all") - F.coalesce(
+        F.try_element_at("__in", F.col("__f")), F.lit(0))).alias("__n"))
+
+
 def learning_subsets(df: DataFrame, key: Sequence[str], fold: str, folds: int,
-                     steps: int = 10, seed: int = 42, out: str = "steps_from") -> DataFrame:
+                     steps: int = 10, seed: int = 42, out: str = "steps_from",
+                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Add, per validation fold, the smallest training prefix each row belongs to.
 
     The new column is an array of length ``folds``: entry f is 1..steps (the row is in
     prefixes of that number and above, when fold f is held out) or 0 for rows of fold
     f itself. Prefix s holds floor(s / steps * rows outside the fold) rows in hash
-    order.
+    order. Rows are counted once; only those of buckets that a cut falls into meet every fold
+    they are outside of. Rows without a fold count for none, and get the entries of their hash.
     """
     hashed = hash_order(key, seed)
-    sizes = {r[0]: r[1] for r in
-             df.groupBy(col(fold)).agg(F.count(F.lit(1))).collect()}
+    slim = df.select(col(fold).cast("int").alias("__own"), hashed.alias("__h")) \
+        .filter("__own is not null")
+    sizes = {r[0]: r[1] for r in slim.groupBy("__own").agg(F.count(F.lit(1))).collect()}
     total = sum(sizes.values())
     names = [f"s{i}" for i in range(1, steps)]
     outside = {f: total - sizes.get(f, 0) for f in range(folds)}
     cuts = df.sparkSession.createDataFrame(
         [(f, *[outside[f] * i // steps for i in range(1, steps)]) for f in range(folds)],
         "__f int, " + ", ".join(f"{n} bigint" for n in names))
-    # Each row counts for every fold but its own.
-    others = df.select(col(fold).alias("__own"), hashed.alias("__hash")).withColumn(
-        "__f", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).filter("__f <> __own")
-    held = {r["__f"]: r for r in hash_cuts(others, ["__f"], F.col("__hash"), cuts, names,
-                                           max(outside.values())).collect()}
+    slim = slim.withColumn("__b", _bucket("__h", max(outside.values()), bucket_rows))
+    # At most a row for every fold and step.
+    split = _split_buckets(outside_counts(slim, folds), ["__f"], cuts, names, True)
+    near = join_small(slim, split, ["__b"], how="inner", fits=True).filter("__f <> __own")
+    held = {r["__f"]: r for r in
+            _hashes_at_cuts(near, ["__f"], cuts, names, True).collect()}
     per_fold = []
     for f in range(folds):
         passed = [(F.col("__hash") > F.lit(held[f][n])).cast("int") for n in names]

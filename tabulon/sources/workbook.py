@@ -55,8 +55,11 @@ def _rows(content: bytes, sheet: str | None) -> Iterator[dict[int, str | None]]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         texts = _shared_texts(book)
         with book.open(_sheet_file(book, sheet)) as f:
-            for _, row in ElementTree.iterparse(f):
-                if row.tag != f"{_MAIN}row":
+            data = None
+            for event, row in ElementTree.iterparse(f, ("start", "end")):
+                if event == "start" and row.tag == f"{_MAIN}sheetData":
+                    data = row
+                if event == "start" or row.tag != f"{_MAIN}row":
                     continue
                 cells: dict[int, str | None] = {}
                 for at, c in enumerate(row.iter(f"{_MAIN}c")):
@@ -71,7 +74,7 @@ def _rows(content: bytes, sheet: str | None) -> Iterator[dict[int, str | None]]:
                             value = texts[int(value)]
                     cells[where] = value
                 yield cells
-                row.clear()
+                data.clear()        # the rows read so far, and not only what is in them
 
 
 def workbook_rows(files: DataFrame, schema: T.StructType | str, sheet: str | None = None,

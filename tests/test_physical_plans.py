@@ -26,6 +26,16 @@ def test_split_and_folds_move_no_rows(spark, sf_dir):
     assert "Exchange" not in plan(split.kfold(orders, ["o_orderkey"], 5))
 
 
+def test_rows_are_counted_once_for_all_folds(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    slim = orders.select((F.col("o_orderkey") % 3).cast("int").alias("__own"),
+                         F.substring(F.md5(F.col("o_orderpriority")), 1, 2).alias("__b"))
+    text = plan(split.outside_counts(slim, 3))
+    assert text.count("FileScan") == text.count("Generate explode") == 1
+    # The one copy for every fold is made of buckets, after rows have been added up.
+    assert "partial_count" in text.split("Generate explode")[1]
+
+
 def test_top_counts_are_cut_before_the_shuffle(spark, sf_dir):
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     text = plan(profile.value_counts(part, ["p_name", "p_brand"], 5))

@@ -97,3 +97,31 @@ def test_tables(spark, tmp_path):
     df = spark.createDataFrame([(1, float("nan")), (2, 1.0)], "a int, b double")
     write_table(df, str(tmp_path / "t.parquet"))
     assert read_table(spark, str(tmp_path), "t", nan_as_null=True).filter("b is null").count() == 1
+
+
+def test_a_long_sheet_is_not_held_in_memory():
+    import io
+    import tracemalloc
+    import zipfile
+
+    from tabulon.sources import workbook
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as book:
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>'
+                      '<sheet name="s" r:id="r1"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.'
+                      'openxmlformats.org/package/2006/relationships"><Relationship Id="r1" '
+                      'Target="worksheets/s.xml"/></Relationships>')
+        rows = "".join(f"<row><c><v>{i}</v></c></row>" for i in range(100_000))
+        book.writestr("xl/worksheets/s.xml", f'<worksheet xmlns="{main}"><sheetData>{rows}'
+                      "</sheetData></worksheet>")
+    tracemalloc.start()
+    try:
+        total = sum(int(cells[0]) for cells in workbook._rows(data.getvalue(), None))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == sum(range(100_000)) and peak < 4 << 20

@@ -64,9 +64,10 @@ def test_folds_are_contiguous_and_even(spark):
         S.kfold(numbered(spark, 2), ["k"], 3)
 
 
-def test_learning_subsets_are_nested(spark):
+@pytest.mark.parametrize("bucket_rows", [2, 20_000])
+def test_learning_subsets_are_nested(spark, bucket_rows):
     df = S.kfold(numbered(spark, 100), ["k"], 4)
-    out = S.learning_subsets(df, ["k"], "fold", 4, steps=5).toPandas()
+    out = S.learning_subsets(df, ["k"], "fold", 4, steps=5, bucket_rows=bucket_rows).toPandas()
     for f in range(4):
         steps = out["steps_from"].str[f]
         assert (steps[out["fold"] == f] == 0).all()
@@ -74,6 +75,16 @@ def test_learning_subsets_are_nested(spark):
             assert ((steps > 0) & (steps <= s)).sum() == 75 * s // 5
 
 
+def test_learning_subsets_of_an_empty_fold_and_rows_without_fold(spark):
+    df = numbered(spark, 90).withColumn("fold", F.when(F.col("k") >= 10, F.col("k") % 2))
+    out = S.learning_subsets(df, ["k"], "fold", 3, steps=4, bucket_rows=5).toPandas()
+    known = out[out["k"] >= 10]
+    for f, n in ((0, 40), (1, 40), (2, 80)):
+        steps = known["steps_from"].str[f]
+        assert [((steps > 0) & (steps <= s)).sum() for s in (1, 2, 3, 4)] \
+            == [n * s // 4 for s in (1, 2, 3, 4)]
+
+
 TEXTS = ["", "a", "a\x00", "a\x00b", "aa", "abcdef", "abcdefg", "abcdefgh" * 4, "ä", "漢字", "😀",
          "z" * 40 + "1", "z" * 40 + "2", "Z"]
 
