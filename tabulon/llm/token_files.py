@@ -29,6 +29,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +49,10 @@ SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Pieces of text whose ids a worker remembers.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_200_000
 #: Unknown pieces encoded as one text.
 _ROW_PIECES = 1000
-_TEXTS = 32
+_TEXTS = 128
 
 # White space as the pre-tokenizer's pattern has it (the Unicode property).
 _WHITE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -118,36 +119,48 @@ class Encoder:
     def _encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > CACHE_PIECES // 2:
             self.known, self.older = {"": b""}, self.known
-        known, older = self.known, self.older
-        cuts = []
-        wanted: set[str] = set()
-        for text in texts:
+        cuts, whole = [], {}
+        for n, text in enumerate(texts):
             if text and any(t in text for t in self.added):     # rare; the library has its rules
-                cuts.append(text)
-                continue
-            cut = pieces(text or "")
-            cuts.append(cut)
-            wanted.update(cut)
+                whole[n] = array(self.code, self.tokenizer.encode(
+                    text, add_special_tokens=False).ids).tobytes()
+                text = None
+            cuts.append(pieces(text or ""))
+        every = list(chain.from_iterable(cuts))
+        ids = list(map(self.known.get, every))
+        unknown = [i for i, x in enumerate(ids) if x is None]
+        self._learn({every[i] for i in unknown})
+        for i in unknown:
+            ids[i] = self.known[every[i]]
+        stops = list(accumulate(map(len, cuts)))
+        return [whole[n] if n in whole else b"".join(ids[a:b])
+                for n, (a, b) in enumerate(zip([0, *stops], stops))]
+
+    def _learn(self, unknown: set[str]) -> None:
+        """Make the pieces known: from the generation before, or by encoding them."""
+        known, older = self.known, self.older
         new = []
-        for piece in wanted.difference(known):
+        for piece in unknown:
             ids = older.get(piece)
             if ids is None:
                 new.append(piece)
             else:
                 known[piece] = ids
         # Pieces that white space begins and something else ends may stand in a row.
-        rows = [p for p in new if p[:1] in (" ", "\n", "\t") and not p[-1].isspace()]
+        rows, rest = [], []
+        for p in new:
+            (rows if p[0] in " \n\t" and not p[-1].isspace() else rest).append(p)
         for start in range(0, len(rows), _ROW_PIECES):
-            known.update(self._in_a_row(rows[start:start + _ROW_PIECES]))
-        new = [p for p in new if p not in known]
-        for start in range(0, len(new), 10_000):
-            part = new[start:start + 10_000]
+            row = rows[start:start + _ROW_PIECES]
+            found = self._in_a_row(row)
+            known.update(found)
+            if not found:
+                rest += row
+        for start in range(0, len(rest), 10_000):
+            part = rest[start:start + 10_000]
             for piece, e in zip(part, self.tokenizer.encode_batch_fast(
                     part, add_special_tokens=False)):
                 known[piece] = array(self.code, e.ids).tobytes()
-        return [array(self.code, self.tokenizer.encode(cut, add_special_tokens=False).ids)
-                .tobytes() if isinstance(cut, str) else b"".join(map(known.__getitem__, cut))
-                for cut in cuts]
 
 
 def encoder(path: str) -> Encoder:
