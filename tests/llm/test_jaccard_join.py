@@ -97,6 +97,35 @@ def test_every_link_of_a_group_counts(spark, docs, edges):
         assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_links_of_a_large_group_are_counted_not_listed(spark, monkeypatch):
+    """One group with links just above and below 0.75, another around a core of two."""
+    monkeypatch.setattr(jaccard_join, "LARGE", 8)
+    rng = random.Random(4)
+    rows, n = [], 0
+    for k, (texts, most) in enumerate([(70, 4), (30, 1)]):
+        words = [f"g{k}x{i}" for i in range(150)]
+        for _ in range(texts):
+            other = list(words)
+            for at in rng.sample(range(150), rng.randint(0, most)):
+                other[at] = f"y{rng.randrange(40)}"
+            rows += [(n, " ".join(other))] * rng.choice([1, 1, 2])
+            n += 1
+    sets = [set(jaccard_join.text_set(t.encode(), 5).tolist()) for _, t in rows]
+    near = [[i != k and 100 * len(x & y) >= 75 * len(x | y) for k, y in enumerate(sets)]
+            for i, x in enumerate(sets)]
+    assert not all(sum(x) in (0, len(rows) - 1) for x in near)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], r["n_links"]) for r in jaccard_join.near_copies(df).collect()]
+    assert sorted(got) == sorted((rows[i][0], sum(x)) for i, x in enumerate(near))
+    links = jaccard_join.classes_and_links(df)[1].count()
+    texts = {}
+    for i, (_, text) in enumerate(rows):
+        texts.setdefault(text, i)
+    linked = sum(near[i][k] for i in texts.values() for k in texts.values()) // 2
+    assert 3 * links < linked
+    check(spark, rows)
+
+
 def test_hot_tokens_take_the_other_path(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT", 3)
     base = [f"b{i}" for i in range(50)]
