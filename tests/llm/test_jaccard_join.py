@@ -126,6 +126,30 @@ def test_links_of_a_large_group_are_counted_not_listed(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_pairs_of_a_large_group_are_not_verified_one_by_one(spark, monkeypatch):
+    """Also those that link by differences in common, or do not link, are told by a consensus."""
+    monkeypatch.setattr(jaccard_join, "LARGE", 8)
+    verified, verify = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *more: (
+        verified.append(pairs.count()), verify(pairs, *more))[1])
+    rng = random.Random(12)
+    words = [f"g{i}" for i in range(150)]
+    rows = []
+    for n in range(120):
+        other = list(words)
+        for at in rng.sample(range(0, 150, 3), rng.randint(0, 6)):
+            other[at] = f"y{at}x{rng.randrange(3)}"
+        rows.append((n, " ".join(other)))
+    sets = [set(jaccard_join.text_set(t.encode(), 5).tolist()) for _, t in rows]
+    near = [[i != k and 100 * len(x & y) >= 75 * len(x | y) for k, y in enumerate(sets)]
+            for i, x in enumerate(sets)]
+    assert sum(map(sum, near)) < 0.9 * 120 * 119
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], r["n_links"]) for r in jaccard_join.near_copies(df).collect()]
+    assert sorted(got) == [(i, sum(x)) for i, x in enumerate(near)]
+    assert sum(verified) < 3 * 120, verified
+
+
 def test_hot_tokens_take_the_other_path(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT", 3)
     base = [f"b{i}" for i in range(50)]
